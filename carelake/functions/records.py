@@ -32,6 +32,16 @@ def display_round(value: Column, digits: int = 1) -> Column:
     return F.round(value.cast("decimal(18,6)"), digits)
 
 
+def nearest(value: Column, digits: int) -> Column:
+    """Rounding of the scaled binary value, ties away from zero. Unlike ``round`` on a double it
+    does not go through decimal text, so 0.1364499999999999 stays below the tie it prints as."""
+    scale = F.lit(10.0**digits)
+    scaled = value.cast("double") * scale
+    whole = F.rint(scaled)
+    tie = F.abs(scaled - whole) == 0.5
+    return F.when(tie, scaled + F.signum(scaled) * 0.5).otherwise(whole) / scale
+
+
 def ratio_pct(part: Column, whole: Column, digits: int = 2) -> Column:
     """``part / whole`` in percent; a zero denominator gives null."""
     return F.round(F.try_divide(part.cast("decimal(20,0)"), whole.cast("decimal(20,0)")) * 100, digits)

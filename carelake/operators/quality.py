@@ -46,7 +46,7 @@ def _explode_columns(one_row: DataFrame, per_column: Mapping[str, Mapping[str, C
 
 def _pct(part: Column, whole: Column, digits: int | None = 2) -> Column:
     share = F.coalesce(F.try_divide(part, whole), F.lit(0.0)) * 100
-    return share if digits is None else F.round(share, digits)
+    return share if digits is None else records.nearest(share, digits)
 
 
 # -- basic report --------------------------------------------------------------------------------
@@ -213,7 +213,7 @@ def scorecard(
         F.lit(layer).alias("layer"),
         "total_records",
         F.lit(len(columns)).alias("total_columns"),
-        *[F.round(name, 4).alias(name) for name in (*fx.SCORE_WEIGHTS, "dqs_score")],
+        *[records.nearest(F.col(name), 4).alias(name) for name in (*fx.SCORE_WEIGHTS, "dqs_score")],
     )
 
 
@@ -303,8 +303,8 @@ def column_profile(df: DataFrame) -> DataFrame:
     measures = {
         "min": F.min,
         "max": F.max,
-        "mean": lambda v: F.round(F.mean(v), 4),
-        "stddev": lambda v: F.round(F.stddev_samp(v), 4),
+        "mean": lambda v: records.nearest(F.mean(v), 4),
+        "stddev": lambda v: records.nearest(F.stddev_samp(v), 4),
     }
     wide = df.agg(
         *[f(ref(c)).cast("double").alias(f"{k}{i}") for i, c in enumerate(numbers) for k, f in measures.items()]

@@ -19,6 +19,7 @@ from pyspark.sql import Window as W
 
 from carelake import fixed_values as fx
 from carelake.columns import refs
+from carelake.functions import records
 
 LOG_SCHEMA = (
     "run_id string, stage string, started timestamp, duration double, records bigint, source string, "
@@ -47,10 +48,10 @@ def stage_profile(log: DataFrame) -> DataFrame:
     return _per_stage(log).select(
         "run_id",
         "stage",
-        F.round("duration", 3).alias("duration_seconds"),
+        records.nearest(F.col("duration"), 3).alias("duration_seconds"),
         "records",
-        F.round(F.col("records") / floored, 2).alias("records_per_second"),
-        F.round(share, 1).alias("pct_of_total"),
+        records.nearest(F.col("records") / floored, 2).alias("records_per_second"),
+        records.nearest(share, 1).alias("pct_of_total"),
     )
 
 
@@ -60,8 +61,8 @@ def run_report(log: DataFrame) -> DataFrame:
     longest = F.max_by("stage", F.struct(F.col("duration"), -F.unix_micros("started")))
     total = F.sum("duration")
     return _per_stage(log).groupBy("run_id").agg(
-        F.round(total, 3).alias("total_duration_seconds"),
-        F.round(F.sum("records") / F.greatest(total, F.lit(_FLOOR_SECONDS)), 2).alias("records_per_second"),
+        records.nearest(total, 3).alias("total_duration_seconds"),
+        records.nearest(F.sum("records") / F.greatest(total, F.lit(_FLOOR_SECONDS)), 2).alias("records_per_second"),
         F.when(F.max("duration") > 0, longest).otherwise(F.lit("")).alias("bottleneck_stage"),
     )
 
@@ -109,12 +110,12 @@ def run_cost(
     if include_database:
         items["database_cost_usd"] = hours * prices["database_hour"]
     priced = per_run.select(
-        "run_id", "records_processed", *[F.round(cost, 4).alias(name) for name, cost in items.items()]
+        "run_id", "records_processed", *[records.nearest(cost, 4).alias(name) for name, cost in items.items()]
     )
     total = sum((F.col(name) for name in list(items)[1:]), F.col(next(iter(items))))
     per_record = total / F.greatest(F.col("records_processed"), F.lit(1))
     return priced.select(
-        "*", F.round(total, 4).alias("total_cost_usd"), F.round(per_record, 8).alias("cost_per_record_usd")
+        "*", records.nearest(total, 4).alias("total_cost_usd"), records.nearest(per_record, 8).alias("cost_per_record_usd")
     )
 
 

@@ -101,10 +101,9 @@ def enriched_sql(rows: str) -> str:
 SILVER_SQL = enriched_sql(CLEAN_SQL)
 
 
-def encounter_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Patients of all encounters, one row each."""
-    return encounters(spark, sf_dir).select("patient_id").dropna().distinct()
-
+# the landed copy of all encounters spreads them over four weeks, that is 28 date partitions
+LANDED_AT = "TIMESTAMP_NTZ '2001-07-01 00:00:00' + make_dt_interval(CAST(encounter_id % 28 AS INT))"
+LANDED_AT_SQL = "(TIMESTAMP '2001-07-01 00:00:00' + to_days(CAST(encounter_id % 28 AS INT)))"
 
 # -- state reference: nations and regions --------------------------------------------------------
 

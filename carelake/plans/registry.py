@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carelake.columns import ref
+from carelake.functions import records
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,4 +45,4 @@ def comparable(df: DataFrame) -> DataFrame:
 def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
     """Doubles rounded, so that the order of a distributed sum does not show."""
     doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-    return df.withColumns({c: F.round(ref(c), digits) for c in doubles}) if doubles else df
+    return df.withColumns({c: records.nearest(ref(c), digits) for c in doubles}) if doubles else df

@@ -65,6 +65,12 @@ def shared_folder(spark: SparkSession) -> str:
     return own
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether any file system Spark knows holds something at the path."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_folder(spark)}/carelake/{label}-{uuid.uuid4().hex}"

@@ -16,19 +16,16 @@ import json
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timedelta, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from carelake import schemas
 from carelake.columns import ref, refs
 from carelake.operators import history as hist
+from carelake.session import path_exists
 from carelake.sources.writers import balanced
 
-COMMIT_SCHEMA = T.StructType.fromDDL(
-    """version BIGINT, timestamp TIMESTAMP, operation STRING, user_name STRING, kind STRING,
-    metrics MAP<STRING, BIGINT>, columns STRING, partitions STRING"""
-)
 SNAPSHOT, APPEND = "snapshot", "append"
 RETENTION_HOURS = 168
 
@@ -43,10 +40,10 @@ class VersionedTable:
 
     def commits(self) -> DataFrame:
         """The commit log; empty for a table that does not exist yet."""
-        try:
-            return self.spark.read.schema(COMMIT_SCHEMA).parquet(f"{self.root}/commits")
-        except AnalysisException:
-            return self.spark.createDataFrame([], COMMIT_SCHEMA)
+        path = f"{self.root}/commits"
+        if path_exists(self.spark, path):
+            return self.spark.read.schema(schemas.COMMIT).parquet(path)
+        return self.spark.createDataFrame([], schemas.COMMIT)
 
     def exists(self) -> bool:
         return self.latest() is not None
@@ -118,7 +115,7 @@ class VersionedTable:
             out.schema.json(),
             json.dumps(list(partition_by)),
         )
-        row = self.spark.createDataFrame([record], COMMIT_SCHEMA).coalesce(1)
+        row = self.spark.createDataFrame([record], schemas.COMMIT).coalesce(1)
         row.write.mode("append").parquet(f"{self.root}/commits")
         return version
 
@@ -255,10 +252,10 @@ def _position(field: T.StructField) -> Column:
     return F.conv(head, 16, 10).cast("double")
 
 
-def _merged(schemas: Sequence[str]) -> T.StructType:
+def _merged(stored: Sequence[str]) -> T.StructType:
     """Fields of several schemas by name, in order of first appearance."""
     fields: dict[str, T.StructField] = {}
-    for text in schemas:
+    for text in stored:
         for field in T.StructType.fromJson(json.loads(text)).fields:
             fields[field.name] = T.StructField(field.name, field.dataType, True)
     return T.StructType(list(fields.values()))

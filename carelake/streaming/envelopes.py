@@ -53,7 +53,7 @@ def parse(
 ) -> DataFrame:
     """Payload columns under the enforced schema, ``kafka_timestamp`` and the watermarked
     ``event_time`` read from the payload. A payload that is no JSON gives null columns."""
-    payload = F.from_json(F.col("value").cast("string"), _nullable(schema)).alias("payload")
+    payload = F.from_json(F.col("value").cast("string"), schema).alias("payload")
     rows = envelopes.select(payload, F.col("timestamp").alias("kafka_timestamp"))
     rows = rows.select("payload.*", "kafka_timestamp")
     rows = rows.withColumn("event_time", records.event_instant(F.col("timestamp")))
@@ -62,7 +62,7 @@ def parse(
 
 def parse_simple(envelopes: DataFrame, schema: StructType = schemas.STREAM_EVENT) -> DataFrame:
     """Payload columns with the envelope's own time as ``event_time``; no watermark."""
-    payload = F.from_json(F.col("value").cast("string"), _nullable(schema)).alias("payload")
+    payload = F.from_json(F.col("value").cast("string"), schema).alias("payload")
     return envelopes.select(F.col("timestamp").cast("timestamp").alias("event_time"), payload).select(
         "event_time", "payload.*"
     )
@@ -72,11 +72,3 @@ def wrap(rows: DataFrame, event_time: str) -> DataFrame:
     """Rows as envelopes: the row's JSON text as bytes, and the given instant."""
     body = F.to_json(F.struct(*[F.col(c) for c in rows.columns]))
     return rows.select(body.cast("binary").alias("value"), F.col(event_time).cast("timestamp").alias("timestamp"))
-
-
-def _nullable(schema: StructType) -> StructType:
-    """A payload can always lack a field, whatever the record schema promises."""
-    loose = StructType()
-    for field in schema.fields:
-        loose = loose.add(field.name, field.dataType, True)
-    return loose

@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from carelake.session import path_exists
 from carelake.sources.tables import VersionedTable
 from carelake.sources.writers import LakeLayout
 
@@ -73,7 +74,9 @@ def print_rows(stream: DataFrame, every: str | None = "10 seconds", rows: int =
 
 def drain(query: StreamingQuery, timeout: float | None = None) -> None:
     """Wait for an available-now query; its failure is raised here."""
-    if not query.awaitTermination(timeout):
+    if timeout is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError(f"streaming query {query.name or query.id} still runs")
 
@@ -81,6 +84,8 @@ def drain(query: StreamingQuery, timeout: float | None = None) -> None:
 def with_stream(spark: SparkSession, stored: DataFrame, streamed_path: str) -> DataFrame:
     """Stored rows plus the rows a stream has landed so far; the stored rows alone when the stream
     has landed nothing readable."""
+    if not path_exists(spark, streamed_path):
+        return stored
     try:
         landed = spark.read.parquet(streamed_path)
     except AnalysisException:
