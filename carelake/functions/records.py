@@ -9,7 +9,12 @@ from carelake import fixed_values as fx
 
 
 def event_instant(text: Column) -> Column:
-    """Timestamp text to timestamp; unreadable text gives null."""
+    """Timestamp text in any form a cast reads; unreadable text gives null."""
+    return text.try_cast("timestamp")
+
+
+def strict_instant(text: Column) -> Column:
+    """Timestamp text of exactly the exchanged form; other text gives null."""
     return F.try_to_timestamp(text, F.lit(fx.TEXT_TIMESTAMP_FORMAT))
 
 

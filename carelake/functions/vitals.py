@@ -18,8 +18,8 @@ def whole_number(text: Column) -> Column:
 
 def pressure_reading(reading: Column, side: int) -> Column:
     """Side 0 (systolic) or 1 (diastolic) of a ``sys / dia`` text, null when absent or no number."""
-    compact = F.regexp_replace(reading, r"\s+", "")
-    return whole_number(F.get(F.split(compact, "/"), F.lit(side)))
+    compact = F.translate(reading, " \t\n\x0b\f\r", "")
+    return whole_number(F.split_part(compact, F.lit("/"), F.lit(side + 1)))
 
 
 def pressure_class(systolic: Column, diastolic: Column) -> Column:

@@ -150,7 +150,7 @@ def _timeliness(latest: Column, kind: T.DataType | None, as_of: Column, max_age_
     if kind is None:
         return F.lit(1.0)
     if isinstance(kind, T.StringType):
-        newest = records.event_instant(latest)
+        newest = records.strict_instant(latest)
     elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         newest = latest.cast("timestamp")
     else:
@@ -260,26 +260,51 @@ def timeliness(
 # -- profile -------------------------------------------------------------------------------------
 
 
-def _as_text(field: T.StructField) -> Column:
-    """A text that is equal exactly when the values are, for counting distinct values."""
-    value = ref(field.name)
-    if isinstance(field.dataType, T.BinaryType):
-        return F.hex(value)
-    if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
-        return (value + F.lit(0.0)).cast("string")
-    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-        options = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "ignoreNullFields": "false"}
-        return F.to_json(value, options)
-    return value.cast("string")
-
-
-def value_counts(df: DataFrame) -> DataFrame:
-    """(column, value, occurrences) for every column. Narrow rows are aggregated map-side on
-    (column, value), so neither a dominant value nor a wide table inflates the shuffle."""
-    pairs = F.array(
-        *[F.struct(F.lit(f.name).alias("column"), _as_text(f).alias("value")) for f in df.schema.fields]
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_NESTED = (T.ArrayType, T.MapType, T.StructType)
+
+
+def _exact_value(field: T.StructField) -> dict[str, Column]:
+    """The value in one of three typed slots; two values are equal exactly when their slots are.
+    Numbers and instants keep fixed-width slots, which are far cheaper to group than text."""
+    value, kind = ref(field.name), field.dataType
+    slots: dict[str, Column] = {}
+    if isinstance(kind, _WHOLE):
+        slots["whole"] = value
+    elif isinstance(kind, T.BooleanType):
+        slots["whole"] = value.cast("int")
+    elif isinstance(kind, T.DateType):
+        slots["whole"] = F.unix_date(value)
+    elif isinstance(kind, T.TimestampType):
+        slots["whole"] = F.unix_micros(value)
+    elif isinstance(kind, (T.FloatType, T.DoubleType)):
+        slots["real"] = value
+    elif isinstance(kind, T.BinaryType):
+        slots["text"] = F.hex(value)
+    elif isinstance(kind, _NESTED):
+        form = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "ignoreNullFields": "false"}
+        slots["text"] = F.to_json(value, form)
+    else:
+        slots["text"] = value
+    return {
+        "whole": slots.get("whole", F.lit(None)).cast("bigint"),
+        "real": slots.get("real", F.lit(None)).cast("double"),
+        "text": slots.get("text", F.lit(None)).cast("string"),
+    }
+
+
+def _value_groups(df: DataFrame) -> DataFrame:
+    """Distinct values of every column with their number of occurrences. The unpivoted rows are
+    narrow and are aggregated map-side, so neither a dominant value nor a wide table inflates the
+    shuffle. ``at`` is the column's position."""
+    slots = F.array(
+        *[
+            F.struct(F.lit(i).alias("at"), *[v.alias(k) for k, v in _exact_value(f).items()])
+            for i, f in enumerate(df.schema.fields)
+        ]
     )
-    return df.select(F.inline(pairs)).groupBy("column", "value").agg(F.count(F.lit(1)).alias("occurrences"))
+    grouped = df.select(F.inline(slots)).groupBy("at", "whole", "real", "text")
+    return grouped.agg(F.count(F.lit(1)).alias("occurrences"))
 
 
 def column_profile(df: DataFrame) -> DataFrame:
@@ -288,18 +313,21 @@ def column_profile(df: DataFrame) -> DataFrame:
     # the second grouping is partial per task, so even an all-distinct column sends one row per task
     occurrences = F.col("occurrences")
     total = F.sum(occurrences)
-    missing = F.coalesce(F.sum(F.when(F.col("value").isNull(), occurrences)), F.lit(0))
+    empty = F.col("whole").isNull() & F.col("real").isNull() & F.col("text").isNull()
+    missing = F.coalesce(F.sum(F.when(empty, occurrences)), F.lit(0))
     distinct = F.count(F.lit(1))
-    counted = value_counts(df).groupBy("column").agg(
+    named = F.element_at(F.array(*[F.lit(c) for c in df.columns]), F.col("at") + 1)
+    counted = _value_groups(df).groupBy("at").agg(
         missing.alias("null_count"),
         _pct(missing, total).alias("null_pct"),
         distinct.alias("distinct_count"),
         _pct(distinct, total).alias("distinct_pct"),
     )
+    counted = counted.select(named.alias("column"), *counted.columns[1:])
     numbers = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
     if not numbers:
-        empty = F.lit(None).cast("double")
-        return counted.select("*", *[empty.alias(k) for k in ("min", "max", "mean", "stddev")])
+        unknown = F.lit(None).cast("double")
+        return counted.select("*", *[unknown.alias(k) for k in ("min", "max", "mean", "stddev")])
     measures = {
         "min": F.min,
         "max": F.max,

@@ -68,9 +68,11 @@ def run_report(log: DataFrame) -> DataFrame:
 
 
 def stage_timing(log: DataFrame) -> DataFrame:
-    """Seconds per stage and, with a null stage, per run: both levels from one pass."""
+    """Seconds per stage and, with a null stage, per run. The log is read once, and only its
+    per-stage sums are expanded to the two levels."""
     return (
-        log.rollup("run_id", "stage")
+        _per_stage(log)
+        .rollup("run_id", "stage")
         .agg(F.sum("duration").alias("seconds"), F.grouping_id().alias("level"))
         .where(F.col("level") <= 1)
         .select("run_id", "stage", "seconds")

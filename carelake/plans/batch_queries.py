@@ -494,16 +494,3 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     return rounded(quality.gauges({"bronze": encounters(spark, sf_dir)}), 6)
-
-
-@register(
-    "value_counts",
-    "SELECT 'l_returnflag' AS \"column\", l_returnflag AS value, count(*) AS occurrences FROM lineitem GROUP BY 2 "
-    "UNION ALL SELECT 'l_linestatus', l_linestatus, count(*) FROM lineitem GROUP BY 2 "
-    "UNION ALL SELECT 'l_partkey', l_partkey::VARCHAR, count(*) FROM lineitem GROUP BY 2",
-)
-def _(spark, sf_dir):
-    rows = inputs.table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", "l_partkey")
-    return quality.value_counts(rows)
-
-

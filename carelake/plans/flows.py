@@ -77,7 +77,7 @@ def store_gold(spark: SparkSession, settings: FlowSettings) -> dict[str, Written
     """Gold from stored Silver; every aggregate scans only the columns it needs."""
     silver = writers.read_layer(spark, settings.layout, "silver", TABLE)
     return {
-        name: writers.write_layer(frame.coalesce(1), settings.layout, "gold", name)
+        name: writers.write_layer(frame, settings.layout, "gold", name)
         for name, frame in build_gold(silver).items()
     }
 

@@ -47,6 +47,9 @@ def cluster_settings() -> dict[str, str]:
         "spark.sql.autoBroadcastJoinThreshold": "64m",
         "spark.sql.parquet.filterPushdown": "true",
         "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
+        "spark.sql.streaming.stateStore.providerClass": (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        ),
     }
 
 

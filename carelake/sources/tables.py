@@ -174,12 +174,12 @@ class VersionedTable:
         return self.commit(clustered(self.read(), columns, files), "OPTIMIZE ZORDER", as_of=as_of)
 
     def expired(self, retention_hours: float = RETENTION_HOURS, as_of=None) -> DataFrame:
-        """Versions older than the retention time that no younger version is built on."""
+        """Versions that were no longer current when the retention time began, and that no later
+        version is built on. Every instant within the retention time stays readable."""
         limit = _instant_value(as_of) - timedelta(hours=retention_hours)
         log = self.commits()
-        oldest_needed = log.agg(
-            F.coalesce(F.min(F.when(F.col("timestamp") >= F.lit(limit), F.col("version"))), F.max("version"))
-        ).first()[0]
+        current_then = F.max(F.when(F.col("timestamp") <= F.lit(limit), F.col("version")))
+        oldest_needed = log.agg(F.coalesce(current_then, F.min("version"))).first()[0]
         base = log.where((F.col("kind") == SNAPSHOT) & (F.col("version") <= F.lit(oldest_needed)))
         keep_from = base.agg(F.max("version")).first()[0]
         return log.where(F.col("version") < F.lit(keep_from))
