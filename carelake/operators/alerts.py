@@ -55,6 +55,28 @@ def held(evaluations: DataFrame, labels: Sequence[str], step_seconds: int, hold_
     return spans.where(F.col("until") - F.col("since") >= hold_seconds).drop("island")
 
 
+def gauge_held(
+    samples: DataFrame, labels: Sequence[str], limit: float, step_seconds: int, hold_seconds: int
+) -> DataFrame:
+    """Spans over which a sampled gauge (``at``, ``value`` per label) stayed above its limit."""
+    above = samples.where(F.col("value") > limit)
+    ticks = above.select(*refs(labels), F.unix_seconds(F.col("at").cast("timestamp")).alias("tick"))
+    return held(ticks, labels, step_seconds, hold_seconds)
+
+
+def lag_held(
+    events: DataFrame,
+    query: str,
+    event_time: str,
+    limit_seconds: int = fx.STREAM_LAG_SECONDS,
+    hold_seconds: int = 300,
+    until: Column | None = None,
+) -> DataFrame:
+    """Spans in which a stream's lag stayed above the limit for the hold time. The lag exceeds the
+    limit from that long after an event until the next one, so this is a rule about gaps."""
+    return idle_spans(events, [query], event_time, limit_seconds, hold_seconds, until)
+
+
 def trailing_counts(
     events: DataFrame, labels: Sequence[str], at: str, span_seconds: int, step_seconds: int = 60
 ) -> DataFrame:

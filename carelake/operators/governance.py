@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,20 +18,25 @@ from carelake.columns import ref
 from carelake.operators import cleaning
 
 
+def _table(spark: SparkSession, columns: Mapping[str, list]) -> DataFrame:
+    """A driver-side table as a local relation. Unlike a frame made from a list of rows, its size
+    is known to the optimizer, which therefore broadcasts it instead of shuffling the other side."""
+    return spark.createDataFrame(pa.table(dict(columns)))
+
+
 def user_table(spark: SparkSession, users: Mapping[str, str] = fx.USER_ROLES) -> DataFrame:
-    return spark.createDataFrame(list(users.items()), "user_id string, role string")
+    return _table(spark, {"user_id": list(users), "role": list(users.values())})
 
 
 def role_table(
     spark: SparkSession, roles: Mapping[str, Sequence[str]] = fx.ROLE_PERMISSIONS
 ) -> DataFrame:
-    rows = [(role, list(allowed)) for role, allowed in roles.items()]
-    return spark.createDataFrame(rows, "role string, permissions array<string>")
+    return _table(spark, {"role": list(roles), "permissions": [list(allowed) for allowed in roles.values()]})
 
 
 def layer_table(spark: SparkSession, readers: Mapping[str, Sequence[str]] = fx.LAYER_READERS) -> DataFrame:
     pairs = [(layer, role) for layer, allowed in readers.items() for role in allowed]
-    return spark.createDataFrame(pairs, "layer string, role string")
+    return _table(spark, {"layer": [p[0] for p in pairs], "role": [p[1] for p in pairs]})
 
 
 def with_role(df: DataFrame, users: DataFrame) -> DataFrame:

@@ -202,13 +202,16 @@ def _(spark, sf_dir):
     return rounded(alerts.lagging_streams(lags), 3)
 
 
-@register(
-    "alert_idle_stage",
-    "SELECT stage, epoch_us(started) AS quiet_from, epoch_us(next) AS quiet_to, "
-    "round((epoch_us(next) - epoch_us(started)) / 1e6, 3) AS gap_seconds FROM (SELECT stage, started, coalesce(lead(started) OVER "
-    f"(PARTITION BY stage ORDER BY started), TIMESTAMP '{inputs.EVENTS_AS_OF}') AS next FROM ({LOG_SQL})) "
-    "WHERE epoch_us(next) - epoch_us(started) > 1500 * 1000000",
-)
+def _gap_sql(limit):
+    return (
+        "SELECT stage, epoch_us(started) AS quiet_from, epoch_us(next) AS quiet_to, "
+        "round((epoch_us(next) - epoch_us(started)) / 1e6, 3) AS gap_seconds FROM (SELECT stage, started, coalesce(lead(started) OVER "
+        f"(PARTITION BY stage ORDER BY started), TIMESTAMP '{inputs.EVENTS_AS_OF}') AS next FROM ({LOG_SQL})) "
+        f"WHERE epoch_us(next) - epoch_us(started) > {limit} * 1000000"
+    )
+
+
+@register("alert_idle_stage", _gap_sql(1500))
 def _(spark, sf_dir):
     now = F.lit(inputs.EVENTS_AS_OF).cast("timestamp")
     return rounded(alerts.idle_spans(inputs.stage_log(spark, sf_dir), ["stage"], "started", until=now), 3)
@@ -222,3 +225,48 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     log = inputs.stage_log(spark, sf_dir)
     return rounded(runlog.samples(log, ["stage"], "started", F.mean("duration"), "1 hour"), 6)
+
+
+@register("alert_stream_lag_held", _gap_sql(600))
+def _(spark, sf_dir):
+    now = F.lit(inputs.EVENTS_AS_OF).cast("timestamp")
+    return rounded(alerts.lag_held(inputs.stage_log(spark, sf_dir), "stage", "started", until=now), 3)
+
+
+_DAY = 86_400
+
+
+def _held_sql(samples, label, limit, hold):
+    return (
+        f"SELECT {label}, min(tick) AS since, max(tick) AS \"until\", count(*) AS evaluations FROM (SELECT *, tick - {_DAY} * "
+        f"row_number() OVER (PARTITION BY {label} ORDER BY tick) AS island FROM ({samples}) WHERE value > {limit}) "
+        f"GROUP BY {label}, island HAVING max(tick) - min(tick) >= {hold}"
+    )
+
+
+@register(
+    "alert_null_ratio_held",
+    _held_sql(
+        "SELECT sexo, CAST(epoch(date_trunc('day', \"timestamp\")) AS BIGINT) + 86400 AS tick, "
+        f"avg((medicamento IS NULL)::INT) AS value FROM ({ENC_SQL}) GROUP BY ALL",
+        "sexo", fx.NULL_ALERT_RATIO, 2 * _DAY,
+    ),
+)
+def _(spark, sf_dir):
+    """Days in a row on which a third of the medications of a group is missing."""
+    missing = F.mean(F.col("medicamento").isNull().cast("int"))
+    daily = runlog.samples(inputs.encounters(spark, sf_dir), ["sexo"], "timestamp", missing, "1 day")
+    return alerts.gauge_held(daily, ["sexo"], fx.NULL_ALERT_RATIO, _DAY, 2 * _DAY)
+
+
+@register(
+    "alert_stage_timeout_held",
+    _held_sql(
+        "SELECT stage, CAST(epoch(date_trunc('day', started)) AS BIGINT) + 86400 AS tick, sum(duration) AS value "
+        f"FROM ({LOG_SQL}) GROUP BY ALL",
+        "stage", fx.STAGE_TIMEOUT_SECONDS, _DAY,
+    ),
+)
+def _(spark, sf_dir):
+    daily = runlog.samples(inputs.stage_log(spark, sf_dir), ["stage"], "started", F.sum("duration"), "1 day")
+    return alerts.gauge_held(daily, ["stage"], fx.STAGE_TIMEOUT_SECONDS, _DAY, _DAY)
