@@ -226,11 +226,20 @@ def completeness(df: DataFrame) -> DataFrame:
     return df.agg(F.coalesce(1.0 - share, F.lit(0.0)).alias("completeness"))
 
 
-def uniqueness(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
-    """Distinct rows or keys over all rows; null is a key value like any other."""
-    groups = row_groups(df, keys)
-    share = F.try_divide(F.count(F.lit(1)), F.sum(COPIES))
-    return groups.agg(F.coalesce(share, F.lit(0.0)).alias("uniqueness"))
+def uniqueness(
+    df: DataFrame, keys: Sequence[str] | None = None, relative_error: float | None = None
+) -> DataFrame:
+    """Distinct rows or keys over all rows; null is a key value like any other.
+
+    With ``relative_error`` the distinct count is estimated by a sketch, which needs no shuffle.
+    """
+    if relative_error is None:
+        groups = row_groups(df, keys)
+        share = F.try_divide(F.count(F.lit(1)), F.sum(COPIES))
+        return groups.agg(F.coalesce(share, F.lit(0.0)).alias("uniqueness"))
+    distinct = F.approx_count_distinct(F.xxhash64(*refs(keys or df.columns)), relative_error)
+    share = F.least(F.try_divide(distinct, F.count(F.lit(1))), F.lit(1.0))
+    return df.agg(F.coalesce(share, F.lit(0.0)).alias("uniqueness"))
 
 
 def consistency(df: DataFrame) -> DataFrame:
@@ -307,9 +316,22 @@ def _value_groups(df: DataFrame) -> DataFrame:
     return grouped.agg(F.count(F.lit(1)).alias("occurrences"))
 
 
-def column_profile(df: DataFrame) -> DataFrame:
-    """Null and distinct count and share per column (null is a value of its own), and
-    min / max / mean / sample standard deviation of numeric columns."""
+_MEASURES = {
+    "min": F.min,
+    "max": F.max,
+    "mean": lambda v: records.nearest(F.mean(v), 4),
+    "stddev": lambda v: records.nearest(F.stddev_samp(v), 4),
+}
+
+
+def _numeric_stats(df: DataFrame) -> dict[str, dict[str, Column]]:
+    """Aggregates for the numeric columns, by column and measure."""
+    numbers = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
+    return {c: {k: f(ref(c)).cast("double") for k, f in _MEASURES.items()} for c in numbers}
+
+
+def _distinct_counts(df: DataFrame) -> DataFrame:
+    """Null and distinct count and share of every column, exact."""
     # the second grouping is partial per task, so even an all-distinct column sends one row per task
     occurrences = F.col("occurrences")
     total = F.sum(occurrences)
@@ -323,24 +345,50 @@ def column_profile(df: DataFrame) -> DataFrame:
         distinct.alias("distinct_count"),
         _pct(distinct, total).alias("distinct_pct"),
     )
-    counted = counted.select(named.alias("column"), *counted.columns[1:])
-    numbers = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
-    if not numbers:
-        unknown = F.lit(None).cast("double")
-        return counted.select("*", *[unknown.alias(k) for k in ("min", "max", "mean", "stddev")])
-    measures = {
-        "min": F.min,
-        "max": F.max,
-        "mean": lambda v: records.nearest(F.mean(v), 4),
-        "stddev": lambda v: records.nearest(F.stddev_samp(v), 4),
-    }
-    wide = df.agg(
-        *[f(ref(c)).cast("double").alias(f"{k}{i}") for i, c in enumerate(numbers) for k, f in measures.items()]
-    )
-    stats = _explode_columns(
-        wide, {c: {k: F.col(f"{k}{i}") for k in measures} for i, c in enumerate(numbers)}
-    )
-    return counted.join(stats, "column", "left")
+    return counted.select(named.alias("column"), *counted.columns[1:])
+
+
+def column_profile(df: DataFrame, relative_error: float | None = None) -> DataFrame:
+    """Null and distinct count and share per column (null is a value of its own), and
+    min / max / mean / sample standard deviation of numeric columns.
+
+    Exact distinct counts shuffle every distinct value once. With ``relative_error`` they are
+    estimated by sketches instead and the whole profile is one aggregate without a shuffle.
+    """
+    stats = _numeric_stats(df)
+    blank = {k: F.lit(None).cast("double") for k in _MEASURES}
+    place = {c: i for i, c in enumerate(df.columns)}
+    wide = [m.alias(f"{k}{place[c]}") for c, measures in stats.items() for k, m in measures.items()]
+
+    def measured(c: str) -> dict[str, Column]:
+        return {k: F.col(f"{k}{place[c]}") for k in _MEASURES} if c in stats else blank
+
+    if relative_error is None:
+        counted = _distinct_counts(df)
+        if not stats:
+            return counted.select("*", *[v.alias(k) for k, v in blank.items()])
+        long = _explode_columns(df.agg(*wide), {c: measured(c) for c in stats})
+        return counted.join(long, "column", "left")
+
+    total = F.col("total")
+    counts = [F.count_if(ref(c).isNull()).alias(f"n{i}") for c, i in place.items()]
+    sketches = [
+        F.approx_count_distinct(F.when(ref(c).isNotNull(), F.xxhash64(ref(c))), relative_error).alias(f"d{i}")
+        for c, i in place.items()
+    ]
+    folded = df.agg(F.count(F.lit(1)).alias("total"), *counts, *sketches, *wide)
+
+    def counted_columns(i: int) -> dict[str, Column]:
+        nulls = F.col(f"n{i}")
+        distinct = F.col(f"d{i}") + F.when(nulls > 0, 1).otherwise(0)
+        return {
+            "null_count": nulls,
+            "null_pct": _pct(nulls, total),
+            "distinct_count": distinct,
+            "distinct_pct": _pct(distinct, total),
+        }
+
+    return _explode_columns(folded, {c: {**counted_columns(i), **measured(c)} for c, i in place.items()})
 
 
 def anomalies(profile: DataFrame, null_limit_pct: float = fx.NULL_ALERT_PCT) -> DataFrame:

@@ -95,6 +95,19 @@ def test_profile_by_hand(spark):
     assert found == [("constant_column", "one", "info")]
 
 
+def test_estimated_distinct_counts(spark):
+    df = spark.range(20_000).selectExpr("id AS k", "id % 50 AS g", "IF(id % 2 = 0, NULL, 'x') AS v")
+    exact = {r["column"]: r for r in quality.column_profile(df).collect()}
+    guess = {r["column"]: r for r in quality.column_profile(df, relative_error=0.02).collect()}
+    assert guess.keys() == exact.keys()
+    for c in exact:
+        assert guess[c]["distinct_count"] == pytest.approx(exact[c]["distinct_count"], rel=0.1)
+        assert [guess[c][k] for k in ("null_count", "min", "max", "mean", "stddev")] == [
+            exact[c][k] for k in ("null_count", "min", "max", "mean", "stddev")
+        ]
+    assert quality.uniqueness(df, ["g"], 0.02).first()[0] == pytest.approx(50 / 20_000, rel=0.1)
+
+
 def test_anomalies_of_a_profile(spark):
     profile = spark.createDataFrame(
         [("a", 4, 40.0, 2, None), ("b", 0, 0.0, 1, 0.0), ("c", 0, 0.0, 3, 0.0), ("d", 3, 30.0, 1, None)],
