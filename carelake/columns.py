@@ -32,7 +32,13 @@ def all_of(conditions: Iterable[Column]) -> Column:
 
 
 def instant(as_of) -> Column:
-    """The reference clock: ``None`` reads the wall clock, otherwise a fixed instant."""
+    """The reference clock: ``None`` reads the wall clock, otherwise a fixed instant. Text without
+    a zone is in the session's time zone."""
     if as_of is None:
         return F.current_timestamp()
     return as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp")
+
+
+def before(as_of, hours: float) -> Column:
+    """The instant a number of hours before the reference instant."""
+    return F.timestamp_micros(F.unix_micros(instant(as_of)) - F.lit(int(hours * 3_600_000_000)))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelake.columns import instant, ref
+from carelake.columns import before, ref
 from carelake.functions import masking
 
 
@@ -49,8 +49,7 @@ def purge(
     """Rows left after erasure requests older than the retention time have been carried out."""
     due = erasures
     if requested is not None:
-        limit = instant(as_of) - F.make_dt_interval(hours=F.lit(int(retention_hours)))
-        due = erasures.where(ref(requested) <= limit)
+        due = erasures.where(ref(requested) <= before(as_of, retention_hours))
     return df.join(due.select(ref(column)).dropna().distinct(), column, "left_anti")
 
 

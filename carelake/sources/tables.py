@@ -14,14 +14,13 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
-from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carelake import schemas
-from carelake.columns import ref, refs
+from carelake.columns import before, instant, ref, refs
 from carelake.operators import history as hist
 from carelake.session import path_exists
 from carelake.sources.writers import balanced
@@ -52,7 +51,7 @@ class VersionedTable:
         """Newest version, or the newest committed at or before an instant."""
         log = self.commits()
         if at is not None:
-            log = log.where(F.col("timestamp") <= _instant(at))
+            log = log.where(F.col("timestamp") <= instant(at))
         return log.agg(F.max("version")).first()[0]
 
     def history(self, limit: int = 20) -> DataFrame:
@@ -105,18 +104,10 @@ class VersionedTable:
         writer = writer.partitionBy(*partition_by) if partition_by else writer
         writer.parquet(f"{self.root}/data/version={version}")
         counts = {name: int(n or 0) for name, n in seen.get.items()}
-        record = (
-            version,
-            _instant_value(as_of),
-            operation,
-            self.user,
-            kind,
-            counts,
-            out.schema.json(),
-            json.dumps(list(partition_by)),
-        )
-        row = self.spark.createDataFrame([record], schemas.COMMIT).coalesce(1)
-        row.write.mode("append").parquet(f"{self.root}/commits")
+        by = json.dumps(list(partition_by))
+        record = (version, None, operation, self.user, kind, counts, out.schema.json(), by)
+        row = self.spark.createDataFrame([record], schemas.COMMIT).withColumn("timestamp", instant(as_of))
+        row.coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
         return version
 
     def save(self, df: DataFrame, mode: str = "overwrite", partition_by: Sequence[str] = (), as_of=None) -> int:
@@ -176,9 +167,9 @@ class VersionedTable:
     def expired(self, retention_hours: float = RETENTION_HOURS, as_of=None) -> DataFrame:
         """Versions that were no longer current when the retention time began, and that no later
         version is built on. Every instant within the retention time stays readable."""
-        limit = _instant_value(as_of) - timedelta(hours=retention_hours)
         log = self.commits()
-        current_then = F.max(F.when(F.col("timestamp") <= F.lit(limit), F.col("version")))
+        past = F.col("timestamp") <= before(as_of, retention_hours)
+        current_then = F.max(F.when(past, F.col("version")))
         oldest_needed = log.agg(F.coalesce(current_then, F.min("version"))).first()[0]
         base = log.where((F.col("kind") == SNAPSHOT) & (F.col("version") <= F.lit(oldest_needed)))
         keep_from = base.agg(F.max("version")).first()[0]
@@ -259,15 +250,3 @@ def _merged(stored: Sequence[str]) -> T.StructType:
         for field in T.StructType.fromJson(json.loads(text)).fields:
             fields[field.name] = T.StructField(field.name, field.dataType, True)
     return T.StructType(list(fields.values()))
-
-
-def _instant_value(as_of) -> datetime:
-    if as_of is None:
-        return datetime.now(timezone.utc)
-    if isinstance(as_of, str):
-        as_of = datetime.fromisoformat(as_of)
-    return as_of if as_of.tzinfo else as_of.replace(tzinfo=timezone.utc)
-
-
-def _instant(as_of) -> Column:
-    return F.lit(_instant_value(as_of))

@@ -26,6 +26,8 @@ def broker_options(
         "subscribe": topic,
         "startingOffsets": starting_offsets,
         "failOnDataLoss": str(fail_on_data_loss).lower(),
+        "kafka.session.timeout.ms": "30000",
+        "kafka.request.timeout.ms": "40000",
         **extra,
     }
     if max_offsets_per_trigger is not None:

@@ -1,4 +1,9 @@
-"""Compare registered queries with their SQL: ``python tests/check_queries.py [sf_dir] [name...]``."""
+"""Compare registered queries with their SQL.
+
+``python tests/check_queries.py [sf_dir] [name...] [--large]``
+
+``--large`` takes the paths large data takes: no broadcasts, and AQE told to split small partitions.
+"""
 
 import os
 import sys
@@ -12,10 +17,23 @@ import oracle  # noqa: E402
 from carelake.session import local_session  # noqa: E402
 
 
+LARGE = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
+
 def main() -> int:
-    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    wanted = sys.argv[2:]
-    spark, db = local_session(8), oracle.connect(sf_dir)
+    words = [w for w in sys.argv[1:] if w != "--large"]
+    conf = LARGE if "--large" in sys.argv else {}
+    sf_dir = words[0] if words else "/root/testdata/sf0.01"
+    wanted = words[1:]
+    spark, db = local_session(8, **conf), oracle.connect(sf_dir)
     checks, bad = entry.oracle_sql(), 0
     for name, query in entry.queries().items():
         if wanted and name not in wanted:

@@ -30,7 +30,8 @@ def test_broker_options():
     options = envelopes.broker_options("h:9092", "events")
     assert options == {
         "kafka.bootstrap.servers": "h:9092", "subscribe": "events", "startingOffsets": "latest",
-        "failOnDataLoss": "false", "maxOffsetsPerTrigger": "10000",
+        "failOnDataLoss": "false", "maxOffsetsPerTrigger": "10000", "kafka.session.timeout.ms": "30000",
+        "kafka.request.timeout.ms": "40000",
     }
     assert "maxOffsetsPerTrigger" not in envelopes.broker_options("h", "t", max_offsets_per_trigger=None)
 
