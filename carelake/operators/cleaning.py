@@ -56,7 +56,8 @@ def clean(
 
     The null filter commutes with whole-row deduplication and goes first, so that it can reach
     the scan. ``counted`` takes two observations that receive ``rows`` before and after as part
-    of the action that consumes the result; nothing is scanned twice to count.
+    of the action that consumes the result; nothing is scanned twice to count. Read them with
+    ``session.observed``, which also answers for inputs found to be empty.
     """
     if counted:
         df = df.observe(counted[0], F.count(F.lit(1)).alias("rows"))

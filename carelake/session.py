@@ -7,8 +7,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
-from pyspark.sql import SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Observation, SparkSession
 
 
 def local_session(cores: int | str = "*", app: str = "carelake", **conf: str) -> SparkSession:
@@ -70,6 +72,16 @@ def shared_folder(spark: SparkSession) -> str:
     return own
 
 
+def observed(seen: Observation, names: Iterable[str]) -> dict[str, int]:
+    """Counts an observation collected; 0 where the optimizer proved the input empty and removed
+    the observation with it."""
+    try:
+        counts = seen.get
+    except Py4JJavaError:
+        counts = {}
+    return {name: int(counts.get(name) or 0) for name in names}
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether any file system Spark knows holds something at the path."""
     location = spark._jvm.org.apache.hadoop.fs.Path(path)

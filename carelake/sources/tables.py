@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from carelake import schemas
 from carelake.columns import before, instant, ref, refs
 from carelake.operators import history as hist
-from carelake.session import path_exists
+from carelake.session import observed, path_exists
 from carelake.sources.writers import balanced
 
 SNAPSHOT, APPEND = "snapshot", "append"
@@ -103,7 +103,7 @@ class VersionedTable:
         writer = out.write.mode("overwrite")
         writer = writer.partitionBy(*partition_by) if partition_by else writer
         writer.parquet(f"{self.root}/data/version={version}")
-        counts = {name: int(n or 0) for name, n in seen.get.items()}
+        counts = observed(seen, measured)
         by = json.dumps(list(partition_by))
         record = (version, None, operation, self.user, kind, counts, out.schema.json(), by)
         row = self.spark.createDataFrame([record], schemas.COMMIT).withColumn("timestamp", instant(as_of))

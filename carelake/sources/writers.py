@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from carelake import fixed_values as fx
 from carelake.columns import ref, refs
+from carelake.session import observed
 
 LAYERS = ("bronze", "silver", "gold", "checkpoints", "ops")
 
@@ -56,7 +57,7 @@ def write_layer(
     out = balanced(df, partition_by) if partition_by else df
     writer = out.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode)
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    return Written(path, seen.get["rows"])
+    return Written(path, observed(seen, ["rows"])["rows"])
 
 
 def read_layer(spark: SparkSession, layout: LakeLayout, layer: str, table: str, evolve: bool = False) -> DataFrame:
@@ -106,11 +107,14 @@ def layer_bytes(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
 # -- relational sinks ----------------------------------------------------------------------------
 
 
-def append_table(df: DataFrame, table: str, connection: Mapping[str, str], batch_size: int = 5_000) -> None:
-    """Append from the executors in batches; an empty frame writes no row."""
-    df.write.format("jdbc").options(**connection).option("dbtable", table).option("batchsize", batch_size).mode(
-        "append"
-    ).save()
+def append_table(
+    df: DataFrame, table: str, connection: Mapping[str, str], batch_size: int = 5_000, connections: int = 8
+) -> None:
+    """Append from the executors in batches over a limited number of connections; an empty frame
+    writes no row."""
+    limits = {"batchsize": str(batch_size), "numPartitions": str(connections)}
+    writer = df.write.format("jdbc").options(**connection, **limits).option("dbtable", table)
+    writer.mode("append").save()
 
 
 def without_generated(df: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from carelake.functions import records, vitals
 from carelake.operators import cleaning
+from carelake.session import observed
 from conftest import at, rows
 
 
@@ -10,7 +11,10 @@ def test_clean_removes_copies_and_counts_them(people):
     seen = Observation(), Observation()
     cleaned = cleaning.clean(people, "2024-02-01 00:00:00", counted=seen)
     assert len(cleaned.collect()) == 4
-    assert (seen[0].get["rows"], seen[1].get["rows"]) == (5, 4)
+    assert [observed(s, ["rows"])["rows"] for s in seen] == [5, 4]
+    seen = Observation(), Observation()
+    assert cleaning.clean(people.limit(0), counted=seen).collect() == []
+    assert [observed(s, ["rows"])["rows"] for s in seen] == [0, 0]
     assert cleaned.first()["processing_time"] == at("2024-02-01 00:00:00")
 
 

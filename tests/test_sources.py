@@ -112,6 +112,7 @@ def test_table_reads_are_split():
 def test_append_and_refresh():
     frame = Recorder()
     writers.append_table(frame, "gold", DB)
+    assert frame.told["numPartitions"] == "8"
     assert frame.told["mode"] == "append" and frame.told["dbtable"] == "gold" and frame.told["saved"]
     spark = Recorder()
     writers.refresh_table(spark, "gold", DB, DB)

@@ -147,6 +147,13 @@ def test_layers_roundtrip(spark, people, tmp_path):
         layout.path("platinum")
 
 
+def test_empty_frames_are_written_and_counted(spark, people, tmp_path):
+    layout = LakeLayout(str(tmp_path / "lake"))
+    nothing = people.where("idade > 1000")
+    for table, frame, by in (("a", nothing, ()), ("b", nothing.groupBy("sexo").count(), ["sexo"]), ("c", people.limit(0), ())):
+        assert writers.write_layer(frame, layout, "gold", table, by).rows == 0
+
+
 def test_dated_landing_prunes(spark, people, tmp_path):
     layout = LakeLayout(str(tmp_path / "lake"))
     written = writers.land_by_date(people, layout, "silver", "people")
