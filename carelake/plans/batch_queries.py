@@ -170,7 +170,7 @@ def _(spark, sf_dir):
 
 @register(
     "parse_event_time",
-    "SELECT o_orderkey, o_orderdate AS event_time, CAST(o_orderdate AS DATE) AS date FROM orders",
+    "SELECT o_orderkey, o_orderdate AS event_time, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS date FROM orders",
 )
 def _(spark, sf_dir):
     text = F.date_format("o_orderdate", fx.TEXT_TIMESTAMP_FORMAT)

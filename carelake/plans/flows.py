@@ -20,6 +20,7 @@ from carelake.sources.writers import LakeLayout, Written
 from carelake.streaming import sinks
 
 TABLE = "healthcare"
+DATA_LAYERS = ("bronze", "silver", "gold")
 GOLD_TABLES: dict[str, Callable[[DataFrame], DataFrame | None]] = {
     "por_diagnostico": gold.by_diagnosis,
     "por_estado": gold.by_state,
@@ -115,6 +116,8 @@ def run(
             written = store_gold(spark, settings)
             facts["records"] = sum(w.rows for w in written.values())
         stored = {name: writers.read_layer(spark, settings.layout, "gold", name) for name in written}
+        sizes = writers.layer_bytes(spark, {layer: settings.layout.path(layer) for layer in DATA_LAYERS})
+        writers.write_layer(sizes, settings.layout, "ops", "storage")
         if connection is not None:
             with timer.stage("publish"):
                 served = {f"gold_{name.removeprefix('por_')}": frame for name, frame in stored.items()}

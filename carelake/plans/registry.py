@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carelake.columns import ref
@@ -32,11 +31,13 @@ def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def comparable(df: DataFrame) -> DataFrame:
-    """Types every engine shares: zone-less timestamps, and doubles for decimals."""
+    """Types every engine shares: zone-less timestamps, dates as text, doubles for decimals."""
     casts = {}
     for field in df.schema.fields:
         if isinstance(field.dataType, T.TimestampType):
             casts[field.name] = ref(field.name).cast("timestamp_ntz")
+        elif isinstance(field.dataType, T.DateType):
+            casts[field.name] = ref(field.name).cast("string")
         elif isinstance(field.dataType, T.DecimalType):
             casts[field.name] = ref(field.name).cast("double")
     return df.withColumns(casts) if casts else df

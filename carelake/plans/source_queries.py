@@ -59,7 +59,7 @@ def _(spark, sf_dir):
 
 @register(
     "dated_landing",
-    "SELECT CAST(ts AS DATE) AS date, count(*) AS events, round(sum(value), 4) AS value FROM events GROUP BY 1",
+    "SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS date, count(*) AS events, round(sum(value), 4) AS value FROM events GROUP BY 1",
 )
 def _(spark, sf_dir):
     layout = LakeLayout(fresh_path(spark, "dated"))
@@ -97,7 +97,7 @@ def _layer(spark, sf_dir, layer, table=flows.TABLE):
 
 @register(
     "medallion_bronze",
-    f'SELECT patient_id, cpf, blood_pressure, heart_rate, temperatura, medicamento, {inputs.LANDED_AT_SQL} AS "timestamp", CAST({inputs.LANDED_AT_SQL} AS DATE) AS date FROM ({ENC_SQL})',
+    f'SELECT patient_id, cpf, blood_pressure, heart_rate, temperatura, medicamento, {inputs.LANDED_AT_SQL} AS "timestamp", CAST(CAST({inputs.LANDED_AT_SQL} AS DATE) AS VARCHAR) AS date FROM ({ENC_SQL})',
 )
 def _(spark, sf_dir):
     names = ("patient_id", "cpf", "blood_pressure", "heart_rate", "temperatura", "medicamento", "timestamp", "date")
@@ -108,7 +108,7 @@ def _(spark, sf_dir):
     "medallion_silver",
     f"SELECT sha256(concat(patient_id, '{inputs.KEY}')) AS patient_id, sistolica, diastolica, categoria_pressao, categoria_fc, febre, "
     f"CAST(epoch(TIMESTAMP '{inputs.AS_OF}') - epoch({inputs.LANDED_AT_SQL}) AS BIGINT) * 1000 AS processing_lag_ms, "
-    f'CAST({inputs.LANDED_AT_SQL} AS DATE) AS date FROM ({SILVER_SQL})',
+    f'CAST(CAST({inputs.LANDED_AT_SQL} AS DATE) AS VARCHAR) AS date FROM ({SILVER_SQL})',
 )
 def _(spark, sf_dir):
     names = (

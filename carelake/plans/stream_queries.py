@@ -49,7 +49,7 @@ def _(spark, sf_dir):
     return envelopes.parse_simple(spark.read.parquet(staging.vital_messages(spark, sf_dir)))
 
 
-@register("stream_to_lake", f"SELECT CAST(event_time AS DATE) AS date, count(*) AS events FROM ({VITALS_SQL}) GROUP BY 1")
+@register("stream_to_lake", f"SELECT CAST(CAST(event_time AS DATE) AS VARCHAR) AS date, count(*) AS events FROM ({VITALS_SQL}) GROUP BY 1")
 def _(spark, sf_dir):
     layout = LakeLayout(fresh_path(spark, "streamed"))
     rows = envelopes.parse(_messages(spark, staging.vital_messages(spark, sf_dir)))

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from carelake import schemas
 from carelake.columns import before, instant, ref, refs
 from carelake.operators import history as hist
-from carelake.session import observed, path_exists
+from carelake.session import fresh_path, observed, path_exists
 from carelake.sources.writers import balanced
 
 SNAPSHOT, APPEND = "snapshot", "append"
@@ -130,6 +130,7 @@ class VersionedTable:
         """Upsert and commit. Match on ``keys``, or on any SQL ``condition`` over ``target.`` and
         ``source.`` with ``row_id`` columns that identify a target row."""
         target = self.read() if self.exists() else None
+        source = source if target is None else self._settled(source)
         action = "__action"
         if target is None:
             merged = hist.upsert(None, source, keys or (), action_column=action)
@@ -144,10 +145,19 @@ class VersionedTable:
     def merge_history(self, source: DataFrame, keys: Sequence[str], as_of=None) -> dict[str, int]:
         """Slowly-changing load and commit."""
         target = self.read() if self.exists() else None
+        source = source if target is None else self._settled(source)
         action = "__action"
         merged = hist.scd2_apply(target, source, keys, as_of, action)
         return self._commit_actions(merged, "MERGE HISTORY", action, ("inserted", "closed"), as_of)
 
+    def _settled(self, source: DataFrame) -> DataFrame:
+        """The source as a stored scratch table. A merge reads its source more than once: stored,
+        it is computed once, gives the same rows every time, also after a lost executor, and has a
+        known size for the choice of join."""
+        path = fresh_path(self.spark, "merge-source")
+        source.write.parquet(path)
+        return self.spark.read.schema(source.schema).parquet(path)
+
     def _commit_actions(self, merged: DataFrame, operation: str, action: str, kinds: Sequence[str], as_of) -> dict:
         counts = {k: F.count_if(F.col(action) == k) for k in kinds}
         version = self.commit(merged, operation, as_of=as_of, metrics=counts, drop=[action])

@@ -29,6 +29,8 @@ def test_whole_flow(spark, landing, tmp_path):
     assert {"processing_lag_ms", "record_size_bytes", "date"} <= set(silver.columns)
     log = writers.read_layer(spark, s.layout, "ops", "runs")
     assert dict(rows(log, "stage", "records")) == {"ingest": 5, "silver": 5, "gold": 5 + 5 + 3, "publish": None}
+    sizes = dict(rows(spark.read.parquet(s.layout.path("ops", "storage")), "layer", "size_bytes"))
+    assert set(sizes) == {"bronze", "silver", "gold"} and all(sizes.values())
     reports = spark.read.parquet(s.layout.path("ops", "quality/bronze"))
     assert rows(reports, "total_records", "duplicates") == [(5, 1)]
 

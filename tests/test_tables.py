@@ -50,6 +50,16 @@ def test_merge_returns_counts(spark, tmp_path):
         t.merge(newer)
 
 
+def test_merge_settles_a_source_that_changes(spark, tmp_path):
+    """Every read of this source would give other values; the merge sees one of them only."""
+    t = VersionedTable(spark, str(tmp_path / "n"))
+    t.save(spark.range(50).selectExpr("id AS k", "'old' AS v"))
+    source = spark.range(100).selectExpr("CAST(rand() * 1000000 AS BIGINT) + id * 1000000 AS k", "uuid() AS v")
+    counts = t.merge(source, keys=["k"])
+    assert counts["inserted"] + counts["updated"] == 100
+    assert t.read().count() == 50 + counts["inserted"]
+
+
 def test_history_merge(spark, tmp_path):
     t = VersionedTable(spark, str(tmp_path / "h"))
     one = spark.createDataFrame([(1, "a")], "k int, v string")
