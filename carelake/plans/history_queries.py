@@ -253,8 +253,6 @@ _SUBJECT = "PAC-000007"
     f"WHERE patient_id = '{_SUBJECT}'",
 )
 def _(spark, sf_dir):
-
-
     stored = cleaning.mask_sensitive(
         inputs.encounters(spark, sf_dir).select("encounter_id", "patient_id", "blood_pressure"), KEY
     )

@@ -64,9 +64,7 @@ def party_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 def vital_messages(spark: SparkSession, sf_dir: str) -> str:
     """Folder with one message envelope per event."""
     path = fresh_path(spark, "messages")
-    rows = inputs.vitals(spark, sf_dir).withColumn("at", F.col("timestamp").cast("timestamp"))
-    wrapped = envelopes.wrap(rows.drop("at").withColumn("sent", F.col("timestamp")), "sent")
-    wrapped.write.parquet(path)
+    envelopes.wrap(inputs.vitals(spark, sf_dir), "timestamp").write.parquet(path)
     return path
 
 
