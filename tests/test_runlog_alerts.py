@@ -164,3 +164,19 @@ def test_limits(spark):
 def test_samples(log):
     got = runlog.samples(log, ["stage"], "started", F.max("duration"), "1 minute")
     assert ("load", at("2024-01-01 00:02:00"), 6.0) in rows(got)
+
+
+def test_gauge_must_stay_above_its_limit(spark):
+    minutes = {"a": [0.4, 0.4, 0.4, 0.2, 0.5], "b": [0.4, 0.1, 0.4, 0.1, 0.4], "c": [0.3] * 5}
+    data = [(k, START + timedelta(minutes=i), v) for k, vs in minutes.items() for i, v in enumerate(vs)]
+    samples = spark.createDataFrame(data, "layer string, at timestamp, value double")
+    got = alerts.gauge_held(samples, ["layer"], 0.3, 60, 120)
+    epoch = int(START.timestamp())
+    assert rows(got) == [("a", epoch, epoch + 120, 3)]
+    assert alerts.gauge_held(samples, ["layer"], 0.3, 60, 0).where("layer = 'b'").count() == 3
+
+
+def test_lag_must_last(spark):
+    events = spark.createDataFrame([("q", START + timedelta(seconds=s)) for s in (0, 600, 1201)], "q string, ts timestamp")
+    got = alerts.lag_held(events, "q", "ts", until=F.lit(START + timedelta(seconds=1500)))
+    assert rows(got, "gap_seconds") == [(601.0,)]
