@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from carelake.llm import queries_native
+from carelake.llm import queries_native, queries_near
 
-QUERIES = {**queries_native.QUERIES}
+QUERIES = {**queries_native.QUERIES, **queries_near.QUERIES}
 CHECKS = {**queries_native.CHECKS}
