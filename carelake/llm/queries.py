@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from carelake.llm import queries_mixing, queries_native, queries_near, queries_quality, queries_tokens
+from carelake.llm import queries_mixing, queries_native, queries_near, queries_passages, queries_quality, queries_tokens
 
-QUERIES = {**queries_mixing.QUERIES, **queries_native.QUERIES, **queries_near.QUERIES, **queries_quality.QUERIES, **queries_tokens.QUERIES}
+QUERIES = {**queries_mixing.QUERIES, **queries_native.QUERIES, **queries_near.QUERIES, **queries_passages.QUERIES, **queries_quality.QUERIES, **queries_tokens.QUERIES}
 CHECKS = {**queries_native.CHECKS}
