@@ -49,7 +49,7 @@ RUNS = 3
 
 
 def main() -> None:
-    from carelake.plans import catalog
+    from carelake.plans import catalog, staging
     from carelake.session import local_session
 
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -58,6 +58,7 @@ def main() -> None:
     names = sys.argv[1:] or HEADLINE
 
     def run(name: str) -> float:
+        staging.forget()
         start = time.perf_counter()
         catalog.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - start

@@ -83,3 +83,6 @@ LAYER_READERS = {
 
 # -- serving columns a refresh never copies ------------------------------------------------------
 GENERATED_COLUMNS = ("id", "created_at")
+
+# fixed values: findings about a column's profile and their severities
+FINDINGS = {"high_null_ratio": "warning", "constant_column": "info", "zero_variance": "warning"}

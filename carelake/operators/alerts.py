@@ -83,8 +83,10 @@ def trailing_counts(
     """Events of the last ``span_seconds`` at every step, per label.
 
     Events are counted per step first (map-side combined); the few panes, not the events, are then
-    copied to the evaluations they take part in.
+    copied to the evaluations they take part in. The span must be whole steps.
     """
+    if span_seconds % step_seconds:
+        raise ValueError("the span must be a multiple of the step")
     panes = span_seconds // step_seconds
     epoch = F.unix_seconds(ref(at).cast("timestamp"))
     pane_end = F.floor(epoch / step_seconds) * step_seconds + step_seconds
@@ -101,11 +103,12 @@ def error_rate(
     limit_per_second: float = fx.ERROR_RATE_PER_SECOND,
     span_seconds: int = 300,
     hold_seconds: int = 120,
+    step_seconds: int = 60,
 ) -> DataFrame:
-    """Spans in which the trailing error rate stayed above the limit, evaluated each minute."""
+    """Spans in which the trailing error rate stayed above the limit, evaluated at each step."""
     rate = F.col("n") / F.lit(float(span_seconds))
-    above = trailing_counts(errors, labels, at, span_seconds).where(rate > limit_per_second)
-    return held(above, labels, 60, hold_seconds)
+    above = trailing_counts(errors, labels, at, span_seconds, step_seconds).where(rate > limit_per_second)
+    return held(above, labels, step_seconds, hold_seconds)
 
 
 def idle_spans(

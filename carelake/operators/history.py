@@ -2,17 +2,20 @@
 
 Both split the work so that no step can pile a hot key onto one task:
 
-* the source is first folded to one row per key (map-side), so the target always meets a unique
-  side. A small source is then broadcast by size and the target is not shuffled at all; a large
-  one is sort-merge joined, where AQE can split skewed *left* partitions of a left outer join
-  (it cannot for a full outer join);
-* rows to insert are found by an anti join against the target's distinct keys, a keys-only scan.
+* source rows are counted by their keys alone, a hash aggregate, and joined to the target as they
+  are. A small source is broadcast by size and the target is not shuffled at all; a large one is
+  sort-merge joined, where AQE can split skewed *left* partitions of a left outer join (it cannot
+  for a full outer join);
+* rows to insert are found by an anti join against those target keys that the source has at all: a
+  keys-only scan, from which a small source filters the rest before anything is shuffled.
 
 Null keys never match, as in SQL ``MERGE``: such source rows are inserted, such target rows kept.
+The source is read several times: hand in a stored table, or one whose rows do not change.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -28,12 +31,20 @@ def _complete(keys: Sequence[str]) -> Column:
     return all_of(ref(k).isNotNull() for k in keys)
 
 
-def _one_per_key(source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Key columns renamed to __k<i>, one source row per key, and how many there were."""
-    return (
-        source.where(_complete(keys))
-        .groupBy(*[ref(k).alias(f"{_KEY}{i}") for i, k in enumerate(keys)])
-        .agg(F.count(F.lit(1)).alias(_N), F.any_value(F.struct(*refs(source.columns))).alias(_ROW))
+def _counted(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Source rows with complete keys: the keys as __k<i>, the row, and how many rows share them."""
+    names = [f"{_KEY}{i}" for i in range(len(keys))]
+    keyed = source.where(_complete(keys)).select(
+        *[ref(k).alias(n) for k, n in zip(keys, names)], F.struct(*refs(source.columns)).alias(_ROW)
+    )
+    return keyed.join(keyed.groupBy(*names).agg(F.count(F.lit(1)).alias(_N)), names)
+
+
+def _known(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Target keys that the source has too, as __k<i>."""
+    wanted = source.where(_complete(keys)).select(*[ref(k).alias(f"{_KEY}{i}") for i, k in enumerate(keys)])
+    return target.select(*[ref(k).alias(f"{_KEY}{i}") for i, k in enumerate(keys)]).join(
+        wanted, [f"{_KEY}{i}" for i in range(len(keys))], "left_semi"
     )
 
 
@@ -43,9 +54,7 @@ def _same_key(keys: Sequence[str]) -> Column:
 
 def _unmatched(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Source rows whose key the target lacks (null keys included)."""
-    known = target.select(*[ref(k).alias(f"{_KEY}{i}") for i, k in enumerate(keys)])
-    known = known.dropna().distinct()
-    return source.join(known, _same_key(keys), "left_anti")
+    return source.join(_known(target, source, keys), _same_key(keys), "left_anti")
 
 
 def _single_match(what: str) -> Column:
@@ -106,7 +115,7 @@ def upsert(
     if target is None:
         return source.select("*", *([F.lit("inserted").alias(action_column)] if action_column else []))
     _check_columns(target, source)
-    joined = target.join(_one_per_key(source, keys), _same_key(keys), "left")
+    joined = target.join(_counted(source, keys), _same_key(keys), "left")
     added = _unmatched(source, target, keys)
     return _applied(joined, added, target, source, update_columns, action_column)
 
@@ -122,23 +131,41 @@ def upsert_where(
     """Upsert on any SQL condition over ``target.`` and ``source.`` columns.
 
     ``row_id`` names columns that identify one target row; they tell a row matched twice (an
-    error) from two rows matched once. Equality terms of the condition become join keys.
+    error) from two rows matched once. Equality terms of the condition become join keys; without
+    one every pair of rows would have to be tried, so such a condition is refused.
     """
     _check_columns(target, source)
+    if not has_equality(condition):
+        raise ValueError(f"the condition needs a term like target.a = source.b: {condition}")
     t, s, on = target.alias("target"), source.alias("source"), F.expr(condition)
+    names = [f"{_KEY}{i}" for i in range(len(row_id))]
     claims = t.join(s, on, "inner").select(
-        *[ref(c, "target").alias(f"{_KEY}{i}") for i, c in enumerate(row_id)],
+        *[ref(c, "target").alias(n) for c, n in zip(row_id, names)],
         F.struct(*refs(source.columns, "source")).alias(_ROW),
     )
-    claims = claims.groupBy(*[f"{_KEY}{i}" for i in range(len(row_id))]).agg(
-        F.count(F.lit(1)).alias(_N), F.any_value(_ROW).alias(_ROW)
-    )
+    counts = claims.groupBy(*names).agg(F.count(F.lit(1)).alias(_N))
+    same_claim = all_of(F.col(n).eqNullSafe(F.col(f"{n}c")) for n in names)
+    claims = claims.join(counts.toDF(*[f"{n}c" for n in names], _N), same_claim).select(*names, _ROW, _N)
     same_row = all_of(ref(c).eqNullSafe(F.col(f"{_KEY}{i}")) for i, c in enumerate(row_id))
     joined = target.join(claims, same_row, "left")
     added = s.join(t, on, "left_anti")
     return _applied(joined, added, target, source, update_columns, action_column)
 
 
+def has_equality(condition: str) -> bool:
+    """Whether an equality of a target and a source column must hold for the whole condition."""
+    flat, depth = "", 0
+    for char in condition:
+        depth -= char == ")"
+        flat += char if depth == 0 else " "
+        depth += char == "("
+    side = r"(?:target|source)\.`?\w+`?"
+    terms = re.split(r"(?i)\band\b", flat)
+    found = [re.fullmatch(rf"\s*({side})\s*={{1,2}}\s*({side})\s*", t) for t in terms]
+    crossing = any(m and m[1].split(".")[0] != m[2].split(".")[0] for m in found)
+    return crossing and not re.search(r"(?i)\bor\b", flat)
+
+
 def _check_columns(target: DataFrame, source: DataFrame) -> None:
     unknown = [c for c in source.columns if c not in target.columns]
     if unknown:
@@ -181,7 +208,7 @@ def scd2_apply(
     values = [c for c in source.columns if c not in keys]
     current = target.where(F.col(IS_CURRENT))
     closed_before = target.where(~F.coalesce(F.col(IS_CURRENT), F.lit(False)))
-    folded = _one_per_key(source, keys)
+    folded = _counted(source, keys)
 
     joined = current.join(folded, _same_key(keys), "left").where(_single_match("history load"))
     differs = F.col(_N).isNotNull() & any_of(
@@ -204,8 +231,7 @@ def scd2_apply(
     versions = F.when(differs, F.array(closed, successor)).otherwise(F.array(version("kept")))
     carried = joined.select(F.inline(versions))
 
-    known = current.select(*[ref(k).alias(f"{_KEY}{i}") for i, k in enumerate(keys)]).dropna().distinct()
-    fresh = folded.join(known, [f"{_KEY}{i}" for i in range(len(keys))], "left_anti")
+    fresh = folded.join(_known(current, source, keys), [f"{_KEY}{i}" for i in range(len(keys))], "left_anti")
     fresh = fresh.where(_single_match("history load")).select(F.inline(F.array(successor)))
     keyless = source.where(~_complete(keys)).select(F.struct(*refs(source.columns)).alias(_ROW))
     keyless = keyless.select(F.inline(F.array(successor)))

@@ -1,8 +1,9 @@
 """Data-quality reports, scores, profiles and alerts, each from one or two passes over the data.
 
-Null counts, domain rules and newest instants are plain aggregates. Duplicates need equal rows to
-meet, so those reports first group whole rows (or the given keys) with a copy count, which
-collapses copies map-side, and then weight everything else by that count: one scan, one shuffle.
+Null counts, domain rules and newest instants are plain aggregates. Copies of whole rows are counted
+by a hash of the row: only hashes are shuffled, and only rows whose hash occurs more than once are
+compared whole, so the count is exact at the cost of a second scan. Keys are narrow and are grouped as
+they are, everything else combined map-side along with them.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from carelake import fixed_values as fx
 from carelake.columns import instant, ref, refs
 from carelake.functions import records
 
-COPIES = "__copies"
+COPIES, HASH = "__copies", "__hash"
 
 
 # -- building blocks -----------------------------------------------------------------------------
@@ -74,16 +75,37 @@ def null_profile(df: DataFrame) -> DataFrame:
     )
 
 
-def _weighted_totals(df: DataFrame) -> DataFrame:
+def row_counts(df: DataFrame, row_hash: Column | None = None) -> DataFrame:
+    """One row: ``total_records`` and ``distinct_records``, exact.
+
+    Rows are grouped by their hash; a hash that occurs once is one distinct row. The others choose
+    the rows that are then grouped whole, which also tells apart rows that share a hash.
+    """
+    names = df.columns
+    signed = df.withColumn(HASH, F.xxhash64(*refs(names)) if row_hash is None else row_hash)
+    hashes = signed.groupBy(HASH).agg(F.count(F.lit(1)).alias(COPIES))
+    once = F.count_if(F.col(COPIES) == 1)
+    by_hash = hashes.agg(F.coalesce(F.sum(COPIES), F.lit(0)).alias("total_records"), once.alias("distinct_records"))
+    several = signed.join(hashes.where(F.col(COPIES) > 1).select(HASH), HASH, "left_semi")
+    whole = several.groupBy(*refs(names)).agg(F.count(F.lit(1)).alias(COPIES))
+    by_row = whole.agg(F.lit(0).cast("bigint").alias("total_records"), F.count(F.lit(1)).alias("distinct_records"))
+    return by_hash.unionByName(by_row).agg(
+        F.sum("total_records").alias("total_records"), F.sum("distinct_records").alias("distinct_records")
+    )
+
+
+def _totals(df: DataFrame) -> DataFrame:
     """One row: all rows, surplus copies, and the null count of column i as ``n<i>``."""
-    weight = F.col(COPIES)
-    return row_groups(df).agg(
-        F.coalesce(F.sum(weight), F.lit(0)).alias("total_records"),
-        F.coalesce(F.sum(weight - 1), F.lit(0)).alias("duplicates"),
-        *[
-            F.coalesce(F.sum(F.when(ref(c).isNull(), weight)), F.lit(0)).alias(f"n{i}")
-            for i, c in enumerate(df.columns)
-        ],
+    places = range(len(df.columns))
+    nulls = df.agg(*[F.count_if(ref(c).isNull()).alias(f"n{i}") for i, c in enumerate(df.columns)])
+    nothing = F.lit(0).cast("bigint")
+    counts = row_counts(df).select("*", *[nothing.alias(f"n{i}") for i in places])
+    nulls = nulls.select(nothing.alias("total_records"), nothing.alias("distinct_records"), *nulls.columns)
+    both = counts.unionByName(nulls)
+    return both.agg(
+        F.sum("total_records").alias("total_records"),
+        (F.sum("total_records") - F.sum("distinct_records")).alias("duplicates"),
+        *[F.sum(f"n{i}").alias(f"n{i}") for i in places],
     )
 
 
@@ -96,7 +118,7 @@ def quality_report(df: DataFrame, stage: str = "") -> DataFrame:
     )
     with_nulls = F.map_filter(counts, lambda _, n: n > 0)
     total = F.col("total_records")
-    return _weighted_totals(df).select(
+    return _totals(df).select(
         F.lit(stage).alias("stage"),
         total,
         F.lit(len(columns)).alias("columns"),
@@ -108,13 +130,14 @@ def quality_report(df: DataFrame, stage: str = "") -> DataFrame:
 
 def duplicate_report(df: DataFrame, layer: str = "") -> DataFrame:
     """Total rows, distinct rows, surplus copies and their share."""
-    weight = F.col(COPIES)
-    return row_groups(df).agg(
-        F.coalesce(F.sum(weight), F.lit(0)).alias("total_records"),
-        F.count(F.lit(1)).alias("distinct_records"),
-        F.coalesce(F.sum(weight - 1), F.lit(0)).alias("duplicates"),
-        F.coalesce(F.try_divide(F.sum(weight - 1), F.sum(weight)), F.lit(0.0)).alias("duplicate_ratio"),
-    ).select(F.lit(layer).alias("layer"), "*")
+    surplus = F.col("total_records") - F.col("distinct_records")
+    return row_counts(df).select(
+        F.lit(layer).alias("layer"),
+        "total_records",
+        "distinct_records",
+        surplus.alias("duplicates"),
+        F.coalesce(F.try_divide(surplus, F.col("total_records")), F.lit(0.0)).alias("duplicate_ratio"),
+    )
 
 
 def threshold_alerts(df: DataFrame, limit_pct: float = fx.NULL_ALERT_PCT) -> DataFrame:
@@ -142,6 +165,21 @@ def threshold_alerts(df: DataFrame, limit_pct: float = fx.NULL_ALERT_PCT) -> Dat
     return counted.select(F.inline(F.when(total == 0, nothing).otherwise(warnings)))
 
 
+def report_alerts(report: DataFrame, limit_pct: float = fx.NULL_ALERT_PCT) -> DataFrame:
+    """The rows of ``threshold_alerts``, with their ``stage``, from quality reports alone."""
+    total = F.col("total_records")
+
+    def entry(severity: str, name: Column, pct: Column) -> Column:
+        return F.struct(F.lit(severity).alias("severity"), name.alias("column"), pct.cast("double").alias("null_pct"))
+
+    shares = F.transform(
+        F.map_entries("null_columns"), lambda e: entry("WARNING", e["key"], _pct(e["value"], total, None))
+    )
+    above = F.filter(shares, lambda alert: alert["null_pct"] > limit_pct)
+    nothing = F.array(entry("ERROR", F.lit(None).cast("string"), F.lit(None)))
+    return report.select("stage", F.inline(F.when(total == 0, nothing).otherwise(above)))
+
+
 # -- scores --------------------------------------------------------------------------------------
 
 
@@ -234,9 +272,9 @@ def uniqueness(
     With ``relative_error`` the distinct count is estimated by a sketch, which needs no shuffle.
     """
     if relative_error is None:
-        groups = row_groups(df, keys)
-        share = F.try_divide(F.count(F.lit(1)), F.sum(COPIES))
-        return groups.agg(F.coalesce(share, F.lit(0.0)).alias("uniqueness"))
+        counted = row_counts(df.select(*refs(keys or df.columns)))
+        share = F.try_divide(F.col("distinct_records"), F.col("total_records"))
+        return counted.select(F.coalesce(share, F.lit(0.0)).alias("uniqueness"))
     distinct = F.approx_count_distinct(F.xxhash64(*refs(keys or df.columns)), relative_error)
     share = F.least(F.try_divide(distinct, F.count(F.lit(1))), F.lit(1.0))
     return df.agg(F.coalesce(share, F.lit(0.0)).alias("uniqueness"))
@@ -330,31 +368,57 @@ def _numeric_stats(df: DataFrame) -> dict[str, dict[str, Column]]:
     return {c: {k: f(ref(c)).cast("double") for k, f in _MEASURES.items()} for c in numbers}
 
 
-def _distinct_counts(df: DataFrame) -> DataFrame:
-    """Null and distinct count and share of every column, exact."""
-    # the second grouping is partial per task, so even an all-distinct column sends one row per task
-    occurrences = F.col("occurrences")
-    total = F.sum(occurrences)
+def _exact_profile(df: DataFrame) -> DataFrame:
+    """The profile from the value groups: the deviations need the means, so the groups, not the
+    source, are gone through twice."""
+    # the second groupings are partial per task, so even an all-distinct column sends one row per task
+    groups, n = _value_groups(df), F.col("occurrences")
+    kinds = {i: f.dataType for i, f in enumerate(df.schema.fields) if isinstance(f.dataType, T.NumericType)}
+    written = [i for i, kind in kinds.items() if isinstance(kind, T.DecimalType)]
+    number = F.coalesce(F.col("real"), F.col("whole").cast("double"))
+    if written:
+        number = F.when(F.col("at").isin(written), F.col("text").cast("double")).otherwise(number)
+    value = F.when(F.col("at").isin(list(kinds)), number) if kinds else F.lit(None).cast("double")
+    valued = groups.withColumn("value", value)
+    total, present = F.sum(n), F.sum(F.when(F.col("value").isNotNull(), n))
     empty = F.col("whole").isNull() & F.col("real").isNull() & F.col("text").isNull()
-    missing = F.coalesce(F.sum(F.when(empty, occurrences)), F.lit(0))
+    missing = F.coalesce(F.sum(F.when(empty, n)), F.lit(0))
     distinct = F.count(F.lit(1))
-    named = F.element_at(F.array(*[F.lit(c) for c in df.columns]), F.col("at") + 1)
-    counted = _value_groups(df).groupBy("at").agg(
+    first = valued.groupBy("at").agg(
         missing.alias("null_count"),
         _pct(missing, total).alias("null_pct"),
         distinct.alias("distinct_count"),
         _pct(distinct, total).alias("distinct_pct"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+        F.try_divide(F.sum(F.col("value") * n), present).alias("middle"),
+    )
+    # one row per column
+    means = F.broadcast(first.select(F.col("at").alias("of"), "middle"))
+    off = F.col("value") - F.col("middle")
+    deviation = F.sqrt(F.try_divide(F.sum(off * off * n), present - 1))
+    second = valued.join(means, F.col("at") == F.col("of")).groupBy("of").agg(F.when(present > 1, deviation).alias("deviation"))
+    named = F.element_at(F.array(*[F.lit(c) for c in df.columns]), F.col("at") + 1)
+    return first.join(F.broadcast(second), F.col("at") == F.col("of")).select(
+        named.alias("column"),
+        *first.columns[1:5],
+        "min",
+        "max",
+        records.nearest(F.col("middle"), 4).alias("mean"),
+        records.nearest(F.col("deviation"), 4).alias("stddev"),
     )
-    return counted.select(named.alias("column"), *counted.columns[1:])
 
 
 def column_profile(df: DataFrame, relative_error: float | None = None) -> DataFrame:
     """Null and distinct count and share per column (null is a value of its own), and
     min / max / mean / sample standard deviation of numeric columns.
 
-    Exact distinct counts shuffle every distinct value once. With ``relative_error`` they are
-    estimated by sketches instead and the whole profile is one aggregate without a shuffle.
+    Exact distinct counts shuffle every distinct value once, and all measures come from these. With
+    ``relative_error`` they are estimated by sketches instead and the whole profile is one aggregate
+    without a shuffle.
     """
+    if relative_error is None:
+        return _exact_profile(df)
     stats = _numeric_stats(df)
     blank = {k: F.lit(None).cast("double") for k in _MEASURES}
     place = {c: i for i, c in enumerate(df.columns)}
@@ -363,13 +427,6 @@ def column_profile(df: DataFrame, relative_error: float | None = None) -> DataFr
     def measured(c: str) -> dict[str, Column]:
         return {k: F.col(f"{k}{place[c]}") for k in _MEASURES} if c in stats else blank
 
-    if relative_error is None:
-        counted = _distinct_counts(df)
-        if not stats:
-            return counted.select("*", *[v.alias(k) for k, v in blank.items()])
-        long = _explode_columns(df.agg(*wide), {c: measured(c) for c in stats})
-        return counted.join(long, "column", "left")
-
     total = F.col("total")
     counts = [F.count_if(ref(c).isNull()).alias(f"n{i}") for c, i in place.items()]
     sketches = [
@@ -394,7 +451,7 @@ def column_profile(df: DataFrame, relative_error: float | None = None) -> DataFr
 def anomalies(profile: DataFrame, null_limit_pct: float = fx.NULL_ALERT_PCT) -> DataFrame:
     """Suspicious columns of a profile: many nulls, one value only, no variance."""
 
-    def finding(kind: str, severity: str, when: Column, value: Column, limit: Column) -> Column:
+    def finding(kind: str, when: Column, value: Column, limit: Column) -> Column:
         return F.when(
             when,
             F.struct(
@@ -402,18 +459,16 @@ def anomalies(profile: DataFrame, null_limit_pct: float = fx.NULL_ALERT_PCT) ->
                 F.col("column"),
                 value.cast("double").alias("value"),
                 limit.cast("double").alias("threshold"),
-                F.lit(severity).alias("severity"),
+                F.lit(fx.FINDINGS[kind]).alias("severity"),
             ),
         )
 
     none = F.lit(None)
     distinct, nulls = F.col("distinct_count"), F.col("null_count")
     found = F.array(
-        finding(
-            "high_null_ratio", "warning", F.col("null_pct") > null_limit_pct, F.col("null_pct"), F.lit(null_limit_pct)
-        ),
-        finding("constant_column", "info", (distinct == 1) & (nulls == 0), none, none),
-        finding("zero_variance", "warning", (F.col("stddev") == 0) & (distinct > 1), none, none),
+        finding("high_null_ratio", F.col("null_pct") > null_limit_pct, F.col("null_pct"), F.lit(null_limit_pct)),
+        finding("constant_column", (distinct == 1) & (nulls == 0), none, none),
+        finding("zero_variance", (F.col("stddev") == 0) & (distinct > 1), none, none),
     )
     return profile.select(F.inline(F.array_compact(found)))
 
@@ -442,6 +497,6 @@ def gauges(layers: Mapping[str, DataFrame]) -> DataFrame:
             gauge("duplicate_ratio", None, share("duplicates")),
             gauge("active_records", None, total),
         ]
-        frame = _weighted_totals(df).select(F.lit(layer).alias("layer"), F.inline(F.array(*values)))
+        frame = _totals(df).select(F.lit(layer).alias("layer"), F.inline(F.array(*values)))
         whole = frame if whole is None else whole.unionByName(frame)
     return whole

@@ -185,7 +185,8 @@ class StageTimer:
 
     @contextmanager
     def stage(self, name: str, source: str = "batch") -> Iterator[dict]:
-        """Yields a dict the step may fill with ``records`` and byte counts."""
+        """Yields a dict the step may fill with ``records``, byte counts, and ``error_type`` for a
+        failure that did not stop it."""
         facts: dict = {}
         begun, clock, error = datetime.now(timezone.utc), time.monotonic(), None
         try:
@@ -202,7 +203,7 @@ class StageTimer:
                     time.monotonic() - clock,
                     facts.get("records"),
                     source,
-                    error,
+                    error or facts.get("error_type"),
                     facts.get("bytes_written"),
                     facts.get("bytes_transferred"),
                 )

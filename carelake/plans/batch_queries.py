@@ -226,29 +226,29 @@ def gold_by_diagnosis(spark, sf_dir):
     return rounded(gold.ranked(gold_frame(spark, sf_dir), "total_pacientes", "diagnostico"))
 
 
-@register(
-    "gold_by_state",
+_STATE_SQL = (
     "SELECT estado, count(*) AS total_pacientes, round(avg(heart_rate), 4) AS media_freq_cardiaca, "
-    f"count(*) FILTER (categoria_pressao = 'alta') AS pacientes_pressao_alta FROM ({SILVER_SQL}) GROUP BY estado",
+    f"count(*) FILTER (categoria_pressao = 'alta') AS pacientes_pressao_alta FROM ({SILVER_SQL}) GROUP BY estado"
+)
+_PRESSURE_SQL = (
+    "SELECT categoria_pressao, count(*) AS total, round(avg(sistolica), 4) AS media_sistolica, "
+    f"round(avg(diastolica), 4) AS media_diastolica FROM ({SILVER_SQL}) GROUP BY categoria_pressao"
 )
+
+
+@register("gold_by_state", _STATE_SQL)
 def _(spark, sf_dir):
     return rounded(gold.ranked(gold.by_state(silver(spark, sf_dir)), "total_pacientes", "estado"))
 
 
-@register(
-    "gold_by_pressure",
-    "SELECT categoria_pressao, count(*) AS total, round(avg(sistolica), 4) AS media_sistolica, "
-    f"round(avg(diastolica), 4) AS media_diastolica FROM ({SILVER_SQL}) GROUP BY categoria_pressao",
-)
+@register("gold_by_pressure", _PRESSURE_SQL)
 def _(spark, sf_dir):
     return rounded(gold.by_pressure(silver(spark, sf_dir)))
 
 
 @register(
     "gold_top10_states",
-    "SELECT estado, count(*) AS total_pacientes, round(avg(heart_rate), 4) AS media_freq_cardiaca, "
-    f"count(*) FILTER (categoria_pressao = 'alta') AS pacientes_pressao_alta FROM ({SILVER_SQL}) GROUP BY estado "
-    "ORDER BY total_pacientes DESC, estado LIMIT 10",
+    f"SELECT * FROM ({_STATE_SQL}) ORDER BY total_pacientes DESC, estado LIMIT 10",
 )
 def _(spark, sf_dir):
     return rounded(gold.ranked(gold.by_state(silver(spark, sf_dir)), "total_pacientes", "estado", top=10))
@@ -460,7 +460,20 @@ def _(spark, sf_dir):
     return quality.column_profile(inputs.table(spark, sf_dir, "lineitem"))
 
 
-_PROFILED = {"patient_id": False, "idade": True, "sexo": False, "temperatura": True, "medicamento": False, "unit": True}
+_NUMBERS = ("encounter_id", "idade", "heart_rate", "temperatura", "saturacao_o2", "unit")
+_PROFILED = {name: name in _NUMBERS for name in (*inputs.ENCOUNTER_COLUMNS, "unit")}
+
+
+@register(
+    "column_profile_sketch",
+    "SELECT \"column\", null_count, true AS close FROM (" + _profile_sql("lineitem", _LINEITEM) + ")",
+)
+def _(spark, sf_dir):
+    """Estimated distinct counts lie within four times their stated error of the exact ones."""
+    rows = inputs.table(spark, sf_dir, "lineitem")
+    exact = quality.column_profile(rows).select("column", F.col("distinct_count").alias("exact"))
+    near = F.abs(F.col("distinct_count") - F.col("exact")) <= F.greatest(F.lit(1.0), 0.08 * F.col("exact"))
+    return quality.column_profile(rows, relative_error=0.02).join(exact, "column").select("column", "null_count", near.alias("close"))
 
 
 @register("column_profile_with_nulls", _profile_sql(f"(SELECT *, 1 AS unit FROM ({ENC_SQL}))", _PROFILED))

@@ -11,11 +11,13 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from carelake.columns import instant
 from carelake.operators import cleaning, gold, governance, quality
 from carelake.operators.runlog import StageTimer
-from carelake.sources import readers, writers
+from carelake.sources import feeds, readers, writers
 from carelake.sources.writers import LakeLayout, Written
 from carelake.streaming import sinks
 
@@ -45,7 +47,7 @@ def ingest(
     schema: StructType | str | None = None,
 ) -> Written:
     """CSV and JSON records into Bronze, one date partition per event day, with a quality report."""
-    governance.demand(settings.user, "read")
+    _guard(spark, settings, "read", "bronze")
     parts = [readers.read_csv(spark, csv_path, schema), readers.read_json(spark, json_path, schema)]
     whole = cleaning.stack(*[cleaning.with_event_instant(p) for p in parts])
     written = writers.land_by_date(whole, settings.layout, "bronze", TABLE)
@@ -55,19 +57,30 @@ def ingest(
 
 def build_silver(spark: SparkSession, settings: FlowSettings, streamed_path: str | None = None) -> Written:
     """Bronze, plus streamed rows if there are any, into cleaned, enriched, masked Silver."""
-    governance.demand(settings.user, "write")
+    _guard(spark, settings, "write", "silver")
     rows = writers.read_layer(spark, settings.layout, "bronze", TABLE)
     if streamed_path is not None:
         rows = cleaning.with_event_instant(sinks.with_stream(spark, rows, streamed_path))
     silver = rows.drop("date").transform(cleaning.to_silver, settings.masking_key, settings.as_of)
     silver = silver.transform(cleaning.add_record_metrics, settings.as_of)
     written = writers.land_by_date(silver, settings.layout, "silver", TABLE)
-    _report(spark, settings, "silver")
-    stored = writers.read_layer(spark, settings.layout, "silver", TABLE)
-    writers.write_layer(quality.threshold_alerts(stored), settings.layout, "ops", "alerts")
+    report = _report(spark, settings, "silver")
+    alerts = quality.report_alerts(report).withColumn("run_id", F.lit(settings.run_id))
+    writers.write_layer(alerts, settings.layout, "ops", "alerts", mode="append")
     return written
 
 
+def land_feeds(spark: SparkSession, settings: FlowSettings, paths: Mapping[str, str]) -> dict[str, DataFrame]:
+    """Reference feeds into Bronze, those with rows; what could not be read is noted in ``ops``."""
+    _guard(spark, settings, "write", "bronze")
+    loads = feeds.load_feeds(spark, paths)
+    noted = [(settings.run_id, name, load.broken, load.failure) for name, load in loads.items()]
+    schema = "run_id string, feed string, broken_records bigint, failure string"
+    writers.write_layer(spark.createDataFrame(noted, schema), settings.layout, "ops", "feeds", mode="append")
+    landed = feeds.land_feeds({n: load.rows for n, load in loads.items()}, settings.layout.path("bronze", "feeds"))
+    return {name: readers.read_json(spark, path, loads[name].rows.schema) for name, path in landed.items()}
+
+
 def build_gold(silver: DataFrame) -> dict[str, DataFrame]:
     """The Gold aggregates that apply to the columns of this Silver table."""
     built = {name: aggregate(silver) for name, aggregate in GOLD_TABLES.items()}
@@ -102,12 +115,19 @@ def run(
     json_path: str,
     schema: StructType | str | None = None,
     streamed_path: str | None = None,
-    feeds: Mapping[str, DataFrame] | None = None,
+    feed_paths: Mapping[str, str] | None = None,
     connection: Mapping[str, str] | None = None,
 ) -> dict[str, DataFrame]:
-    """All steps in order. Returns the stored Gold tables; the run log is appended to ``ops``."""
+    """All steps in order. Returns the stored Gold tables; run log, audit, quality reports, alerts
+    and the outcome of publishing are appended to ``ops``."""
     timer = StageTimer(settings.run_id)
     try:
+        served: dict[str, DataFrame] = {}
+        if feed_paths is not None:
+            with timer.stage("feeds") as facts:
+                landed = land_feeds(spark, settings, feed_paths)
+                facts["records"] = sum(frame.count() for frame in landed.values())
+                served |= {f"api_{name}": frame for name, frame in landed.items()}
         with timer.stage("ingest") as facts:
             facts["records"] = ingest(spark, settings, csv_path, json_path, schema).rows
         with timer.stage("silver") as facts:
@@ -119,15 +139,34 @@ def run(
         sizes = writers.layer_bytes(spark, {layer: settings.layout.path(layer) for layer in DATA_LAYERS})
         writers.write_layer(sizes, settings.layout, "ops", "storage")
         if connection is not None:
-            with timer.stage("publish"):
-                served = {f"gold_{name.removeprefix('por_')}": frame for name, frame in stored.items()}
-                publish({**served, **{f"api_{n}": f for n, f in (feeds or {}).items()}}, connection)
+            with timer.stage("publish") as facts:
+                served |= {f"gold_{name.removeprefix('por_')}": frame for name, frame in stored.items()}
+                outcome = publish(served, connection)
+                noted = [(settings.run_id, name, failure) for name, failure in outcome.items()]
+                rows = spark.createDataFrame(noted, "run_id string, target string, failure string")
+                writers.write_layer(rows, settings.layout, "ops", "published", mode="append")
+                if any(outcome.values()):
+                    facts["error_type"] = "PublishFailure"
         return stored
     finally:
         timer.append(spark, settings.layout.path("ops", "runs"))
 
 
-def _report(spark: SparkSession, settings: FlowSettings, layer: str) -> None:
+def _guard(spark: SparkSession, settings: FlowSettings, action: str, resource: str) -> None:
+    """Leave an audit row for the step, then let it go on only if the user may take it."""
+    request = spark.range(1).select(
+        F.lit(settings.user).alias("user_id"), F.lit(action).alias("action"), F.lit(resource).alias("resource")
+    )
+    stamped = request.withColumn("timestamp", instant(settings.as_of))
+    audit = governance.audit_rows(stamped, governance.user_table(spark), governance.role_table(spark))
+    governance.append_audit(audit, settings.layout.path("ops", "audit"))
+    governance.demand(settings.user, action)
+
+
+def _report(spark: SparkSession, settings: FlowSettings, layer: str) -> DataFrame:
+    """The quality report of a stored layer, appended to ``ops`` and returned as it was stored."""
     stored = writers.read_layer(spark, settings.layout, layer, TABLE)
-    report = quality.quality_report(stored, layer)
-    writers.write_layer(report, settings.layout, "ops", f"quality/{layer}")
+    report = quality.quality_report(stored, layer).withColumn("run_id", F.lit(settings.run_id))
+    writers.write_layer(report, settings.layout, "ops", f"quality/{layer}", mode="append")
+    reports = writers.read_layer(spark, settings.layout, "ops", f"quality/{layer}")
+    return reports.where(F.col("run_id") == settings.run_id)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from carelake.columns import ref
@@ -148,23 +149,47 @@ def _(spark, sf_dir):
     )
 
 
-@register("commit_history_last", "SELECT 3::BIGINT AS version, 'OPTIMIZE' AS operation")
+@register(
+    "commit_history_last",
+    f"SELECT 3::BIGINT AS version, 'OPTIMIZE' AS operation, (SELECT count(*) FROM ({_V2})) AS rows",
+)
 def _(spark, sf_dir):
-    return staging.party_table(spark, sf_dir).history(limit=1).select("version", "operation")
+    last = staging.party_table(spark, sf_dir).history(limit=1)
+    return last.select("version", "operation", F.col("metrics")["numOutputRows"].alias("rows"))
 
 
-@register("expired_versions", f"SELECT 0::BIGINT AS version, TIMESTAMP '{T0}' AS timestamp")
+@register(
+    "expired_versions",
+    f"SELECT 0::BIGINT AS version, TIMESTAMP '{T0}' AS timestamp, (SELECT count(*) FROM customer) AS rows",
+)
 def _(spark, sf_dir):
     expired = staging.party_table(spark, sf_dir).expired(as_of=T3)
-    return expired.select("version", "timestamp")
+    return expired.select("version", "timestamp", F.col("metrics")["numOutputRows"].alias("rows"))
 
 
 @register("retain_versions", f"SELECT 1::BIGINT AS kept_version, {_COLUMNS} FROM ({_UPSERT})")
 def _(spark, sf_dir):
-    table = staging.party_table(spark, sf_dir)
-    kept = table.retain_into(fresh_path(spark, "retained"), as_of=T3)
-    oldest = kept.commits().agg(F.min("version")).first()[0]
-    return kept.read(version=oldest).withColumn("kept_version", F.lit(oldest).cast("bigint"))
+    table = tables.VersionedTable(spark, fresh_path(spark, "retained"))
+    table.save(inputs.party_target(spark, sf_dir), as_of=T0)
+    table.merge(inputs.party_source(spark, sf_dir), keys=["party_id"], as_of=T1)
+    table.compact(as_of=T2)
+    oldest = table.retain(as_of=T3)
+    return table.read(version=oldest).withColumn("kept_version", F.lit(oldest).cast("bigint"))
+
+
+@register(
+    "upsert_partitions",
+    "SELECT coalesce(t.nation, s.nation) AS nation, coalesce(t.party_id, s.party_id) AS party_id, "
+    + ", ".join(f"CASE WHEN s.party_id IS NOT NULL THEN s.{c} ELSE t.{c} END AS {c}" for c in ("name", "segment", "balance"))
+    + f" FROM ({TARGET_SQL}) t FULL JOIN (SELECT * FROM ({SOURCE_SQL}) WHERE nation < 10) s ON t.party_id = s.party_id AND t.nation = s.nation",
+)
+def _(spark, sf_dir):
+    """A load for some nations: only their partitions are written again."""
+    path = fresh_path(spark, "parties-by-nation")
+    inputs.party_target(spark, sf_dir).write.partitionBy("nation").parquet(path)
+    source = inputs.party_source(spark, sf_dir).where("nation < 10")
+    tables.upsert_partitions(spark, path, source, ["nation", "party_id"], ["nation"])
+    return spark.read.parquet(path)
 
 
 @register("compact", "SELECT * FROM lineitem")
@@ -175,12 +200,55 @@ def _(spark, sf_dir):
     return table.read()
 
 
+@register(
+    "compact_files",
+    "SELECT count(*) AS rows, 24::BIGINT AS files_before, true AS fewer_files, sum(l_orderkey)::BIGINT AS keys FROM lineitem",
+)
+def _(spark, sf_dir):
+    """Many small files become fewer; the rows stay."""
+    table = tables.VersionedTable(spark, fresh_path(spark, "scattered"))
+    table.save(inputs.table(spark, sf_dir, "lineitem").repartition(24), as_of=T0)
+    table.compact(as_of=T1)
+
+    def files(version):
+        rows = table.read(version=version).groupBy(F.input_file_name().alias("file"))
+        per_file = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("l_orderkey").alias("k"))
+        return per_file.select(F.lit(version).alias("version"), "n", "k")
+
+    old, new = F.col("version") == 0, F.col("version") == 1
+    return files(0).unionByName(files(1)).agg(
+        F.sum(F.when(new, F.col("n"))).alias("rows"),
+        F.count_if(old).alias("files_before"),
+        (F.count_if(new) < F.count_if(old)).alias("fewer_files"),
+        F.sum(F.when(new, F.col("k"))).alias("keys"),
+    )
+
+
 @register("cluster", "SELECT * FROM lineitem")
 def _(spark, sf_dir):
     rows = inputs.table(spark, sf_dir, "lineitem")
     return tables.clustered(rows, ["l_shipdate", "l_partkey"])
 
 
+@register("cluster_ranges", "SELECT true AS several_files, 0::BIGINT AS overlaps, count(*) AS rows FROM part")
+def _(spark, sf_dir):
+    """The text ranges of the stored files of a clustered table follow each other."""
+    table = tables.VersionedTable(spark, fresh_path(spark, "clustered"))
+    table.save(inputs.table(spark, sf_dir, "part").repartition(8), as_of=T0)
+    table.cluster(["p_name"], files=8, as_of=T1)
+    files = table.read().groupBy(F.input_file_name().alias("file")).agg(
+        F.min("p_name").alias("low"), F.max("p_name").alias("high"), F.count(F.lit(1)).alias("n")
+    )
+    # one row for each file
+    before = F.max("high").over(W.orderBy("low", "high").rowsBetween(W.unboundedPreceding, -1))
+    ranges = files.withColumn("before", before)
+    return ranges.agg(
+        (F.count(F.lit(1)) > 1).alias("several_files"),
+        F.count_if(F.col("low") < F.col("before")).alias("overlaps"),
+        F.sum("n").alias("rows"),
+    )
+
+
 # -- rights of the data subject --------------------------------------------------------------------
 
 # erasure is asked for by customers with a negative balance, on a day drawn from their key
@@ -203,33 +271,30 @@ def erasures(spark, sf_dir):
 
 @register(
     "soft_delete",
-    f"SELECT e.encounter_id, e.patient_id, coalesce(e.patient_id IN (SELECT patient_id FROM ({_ERASURES_SQL})), false) AS is_deleted "
+    f"SELECT e.*, coalesce(e.patient_id IN (SELECT patient_id FROM ({_ERASURES_SQL})), false) AS is_deleted "
     f"FROM ({ENC_SQL}) e",
 )
 def _(spark, sf_dir):
-    rows = inputs.encounters(spark, sf_dir).select("encounter_id", "patient_id")
-    return privacy.soft_delete(rows, erasures(spark, sf_dir))
+    return privacy.soft_delete(inputs.encounters(spark, sf_dir), erasures(spark, sf_dir))
 
 
 @register(
     "soft_delete_visible",
-    f"SELECT encounter_id, patient_id FROM ({ENC_SQL}) e WHERE NOT EXISTS "
+    f"SELECT * FROM ({ENC_SQL}) e WHERE NOT EXISTS "
     f"(SELECT 1 FROM ({_ERASURES_SQL}) x WHERE x.patient_id = e.patient_id)",
 )
 def _(spark, sf_dir):
-    rows = inputs.encounters(spark, sf_dir).select("encounter_id", "patient_id")
-    return privacy.visible(privacy.soft_delete(rows, erasures(spark, sf_dir)))
+    return privacy.visible(privacy.soft_delete(inputs.encounters(spark, sf_dir), erasures(spark, sf_dir)))
 
 
 @register(
     "purge",
-    f"SELECT encounter_id, patient_id FROM ({ENC_SQL}) e WHERE NOT EXISTS (SELECT 1 FROM ({_ERASURES_SQL}) x "
+    f"SELECT * FROM ({ENC_SQL}) e WHERE NOT EXISTS (SELECT 1 FROM ({_ERASURES_SQL}) x "
     f"WHERE x.patient_id = e.patient_id AND x.requested_at <= TIMESTAMP '{inputs.AS_OF}' - INTERVAL 168 HOUR)",
 )
 def _(spark, sf_dir):
-    rows = inputs.encounters(spark, sf_dir).select("encounter_id", "patient_id")
     return privacy.purge(
-        rows, erasures(spark, sf_dir), requested="requested_at", retention_hours=168, as_of=inputs.AS_OF
+        inputs.encounters(spark, sf_dir), erasures(spark, sf_dir), requested="requested_at", retention_hours=168, as_of=inputs.AS_OF
     )
 
 
@@ -271,11 +336,11 @@ def _(spark, sf_dir):
 def _register_export(fmt):
     @register(
         f"subject_export_{fmt}",
-        f"SELECT encounter_id, patient_id, blood_pressure FROM ({ENC_SQL}) WHERE patient_id IN "
+        f"SELECT * FROM ({ENC_SQL}) WHERE patient_id IN "
         f"(SELECT patient_id FROM ({_ERASURES_SQL}))",
     )
     def _(spark, sf_dir):
-        rows = inputs.encounters(spark, sf_dir).select("encounter_id", "patient_id", "blood_pressure")
+        rows = inputs.encounters(spark, sf_dir)
         wanted = privacy.subjects_rows(rows, erasures(spark, sf_dir)).select(*[ref(c) for c in rows.columns])
         path = privacy.export_subject(wanted, fresh_path(spark, "export"), fmt)
         return readers.read_file(spark, path, fmt, schema=rows.schema)

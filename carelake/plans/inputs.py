@@ -65,6 +65,7 @@ _ENCOUNTER = {
     "medicamento": "CASE WHEN o_orderkey % 5 < 2 THEN NULL ELSE o_orderstatus END",
     "`timestamp`": "o_orderdate",
 }
+ENCOUNTER_COLUMNS = tuple(name.strip("`") for name in _ENCOUNTER)
 # every 50th encounter is there twice
 _TWICE = "o_orderkey % 50 = 0"
 
@@ -132,9 +133,10 @@ STATES_SQL = (
     "r_name AS regiao FROM nation JOIN region ON n_regionkey = r_regionkey"
 )
 
-# -- parties: customers as the stored table, later orders and suppliers as the load ----------------
+# -- parties: customers as the stored table, their orders and all suppliers as the load ------------
 
-_LOAD_FROM = "2001-05-01"
+# finished orders above this sum withdraw the balance
+_WITHDRAWN = 1_000_000
 
 
 def party_target(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,18 +150,17 @@ def party_target(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def party_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers who ordered lately, with finished orders added to their balance (or the balance
+    """Customers who ordered, with all finished orders added to their balance (or the balance
     withdrawn above a limit), and all suppliers as new parties."""
     customers = table(spark, sf_dir, "customer")
-    recent = table(spark, sf_dir, "orders").where(F.col("o_orderdate") >= F.lit(_LOAD_FROM).cast("timestamp_ntz"))
     finished = F.sum(F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice")).otherwise(0.0))
-    spent = recent.groupBy("o_custkey").agg(finished.alias("spent"))
+    spent = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(finished.alias("spent"))
     touched = customers.join(spent, F.col("c_custkey") == F.col("o_custkey")).selectExpr(
         "concat('C', CAST(c_custkey AS VARCHAR(20))) AS party_id",
         "c_name AS name",
         "c_nationkey AS nation",
         "c_mktsegment AS segment",
-        "CASE WHEN spent > 400000 THEN NULL ELSE round(c_acctbal + spent, 2) END AS balance",
+        f"CASE WHEN spent > {_WITHDRAWN} THEN NULL ELSE round(c_acctbal + spent, 2) END AS balance",
     )
     new = table(spark, sf_dir, "supplier").selectExpr(
         "concat('S', CAST(s_suppkey AS VARCHAR(20))) AS party_id",
@@ -177,9 +178,9 @@ TARGET_SQL = (
 )
 SOURCE_SQL = (
     "SELECT concat('C', CAST(c_custkey AS VARCHAR)) AS party_id, c_name AS name, c_nationkey AS nation, "
-    "c_mktsegment AS segment, CASE WHEN spent > 400000 THEN NULL ELSE round(c_acctbal + spent, 2) END AS balance "
+    f"c_mktsegment AS segment, CASE WHEN spent > {_WITHDRAWN} THEN NULL ELSE round(c_acctbal + spent, 2) END AS balance "
     "FROM customer JOIN (SELECT o_custkey, sum(CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE 0 END) AS spent "
-    f"FROM orders WHERE o_orderdate >= TIMESTAMP '{_LOAD_FROM} 00:00:00' GROUP BY o_custkey) ON o_custkey = c_custkey "
+    "FROM orders GROUP BY o_custkey) ON o_custkey = c_custkey "
     "UNION ALL SELECT concat('S', CAST(s_suppkey AS VARCHAR)), s_name, s_nationkey, 'SUPPLIER', s_acctbal FROM supplier"
 )
 

@@ -177,12 +177,14 @@ def _(spark, sf_dir):
 
 @register(
     "alert_duplicate_ratio",
-    "SELECT 'bronze' AS layer, round(1 - (SELECT count(*) FROM (SELECT DISTINCT cidade, estado, sexo FROM "
-    f"({ENC_SQL}))) / (SELECT count(*) FROM ({ENC_SQL})), 6) AS value",
+    f"WITH c AS (SELECT (SELECT count(*) FROM ({ENC_SQL})) AS n, (SELECT count(*) FROM (SELECT DISTINCT * FROM ({ENC_SQL}))) AS d), "
+    "shares AS (SELECT 'bronze' AS layer, 1 - d / n AS value FROM c UNION ALL SELECT 'twice', 1 - d / (2 * n) FROM c) "
+    "SELECT layer, round(value, 6) AS value FROM shares WHERE value > 0.05",
 )
 def _(spark, sf_dir):
-    rows = inputs.encounters(spark, sf_dir).select("cidade", "estado", "sexo")
-    return rounded(alerts.high_duplicates(quality.gauges({"bronze": rows})), 6)
+    """All encounters, whose copies stay below the limit, and all of them landed twice."""
+    rows = inputs.encounters(spark, sf_dir)
+    return rounded(alerts.high_duplicates(quality.gauges({"bronze": rows, "twice": rows.unionAll(rows)})), 6)
 
 
 _LAG = (

@@ -8,7 +8,14 @@ from carelake import schemas
 from carelake.columns import refs
 from carelake.operators import cleaning, gold, quality
 from carelake.plans import flows, inputs, staging
-from carelake.plans.batch_queries import _DIAGNOSIS_SQL, _ROUNDED, _round_sql
+from carelake.plans.batch_queries import (
+    _DIAGNOSIS_SQL,
+    _MASK_SQL,
+    _PRESSURE_SQL,
+    _ROUNDED,
+    _STATE_SQL,
+    _round_sql,
+)
 from carelake.plans.inputs import ENC_SQL, SILVER_SQL
 from carelake.plans.registry import register, rounded
 from carelake.session import fresh_path
@@ -44,19 +51,28 @@ def _(spark, sf_dir):
     return readers.read_csv(spark, path)
 
 
-@register(
-    "paired_landing",
-    'SELECT encounter_id, patient_id, diagnostico, "timestamp" FROM ' + f"({ENC_SQL})",
-)
+@register("paired_landing", f"SELECT * FROM ({ENC_SQL})")
 def _(spark, sf_dir):
-    rows = inputs.encounters(spark, sf_dir).select("encounter_id", "patient_id", "diagnostico", "timestamp")
+    rows = inputs.encounters(spark, sf_dir)
     text = rows.withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"))
     root = fresh_path(spark, "pair")
-    csv, json = writers.write_pair(text, f"{root}/a.csv", f"{root}/b.jsonl")
+    csv, json = writers.write_pair(text, f"{root}/a.csv", f"{root}/b.jsonl", f"{root}/scratch")
     parts = [readers.read_csv(spark, csv, text.schema), readers.read_json(spark, json, text.schema)]
     return cleaning.stack(*[cleaning.with_event_instant(p) for p in parts])
 
 
+@register("response_body", "SELECT c_custkey, c_name, c_acctbal, c_mktsegment, c_nationkey FROM customer")
+def _(spark, sf_dir):
+    """One response body for each nation, a JSON array of its customers."""
+    rows = inputs.table(spark, sf_dir, "customer")
+    one = F.struct("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    bodies = rows.groupBy("c_nationkey").agg(F.to_json(F.collect_list(one)).alias("body"))
+    path = fresh_path(spark, "bodies")
+    bodies.select("body", "c_nationkey").write.partitionBy("c_nationkey").text(path)
+    schema = "c_custkey bigint, c_name string, c_acctbal double, c_mktsegment string, c_nationkey int"
+    return readers.read_response(spark, path, schema)
+
+
 @register(
     "dated_landing",
     "SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS date, count(*) AS events, round(sum(value), 4) AS value FROM events GROUP BY 1",
@@ -95,25 +111,28 @@ def _layer(spark, sf_dir, layer, table=flows.TABLE):
     return writers.read_layer(spark, staging.medallion(spark, sf_dir).layout, layer, table)
 
 
-@register(
-    "medallion_bronze",
-    f'SELECT patient_id, cpf, blood_pressure, heart_rate, temperatura, medicamento, {inputs.LANDED_AT_SQL} AS "timestamp", CAST(CAST({inputs.LANDED_AT_SQL} AS DATE) AS VARCHAR) AS date FROM ({ENC_SQL})',
-)
+_LANDED = [c for c in inputs.ENCOUNTER_COLUMNS if c not in ("encounter_id", "timestamp")]
+_AT = inputs.LANDED_AT_SQL
+_DAY = f"CAST(CAST({_AT} AS DATE) AS VARCHAR) AS date"
+
+
+@register("medallion_bronze", f'SELECT {", ".join(_LANDED)}, {_AT} AS "timestamp", {_DAY} FROM ({ENC_SQL})')
 def _(spark, sf_dir):
-    names = ("patient_id", "cpf", "blood_pressure", "heart_rate", "temperatura", "medicamento", "timestamp", "date")
-    return _layer(spark, sf_dir, "bronze").select(*refs(names))
+    return _layer(spark, sf_dir, "bronze")
+
+
+_MASKED = ("cpf", "patient_id", "nome", "email", "telefone")
+_DERIVED = ("sistolica", "diastolica", "categoria_pressao", "categoria_fc", "febre")
 
 
 @register(
     "medallion_silver",
-    f"SELECT sha256(concat(patient_id, '{inputs.KEY}')) AS patient_id, sistolica, diastolica, categoria_pressao, categoria_fc, febre, "
-    f"CAST(epoch(TIMESTAMP '{inputs.AS_OF}') - epoch({inputs.LANDED_AT_SQL}) AS BIGINT) * 1000 AS processing_lag_ms, "
-    f'CAST(CAST({inputs.LANDED_AT_SQL} AS DATE) AS VARCHAR) AS date FROM ({SILVER_SQL})',
+    "SELECT " + ", ".join(f"{_MASK_SQL[c]} AS {c}" if c in _MASKED else c for c in (*_LANDED, *_DERIVED))
+    + f", CAST(epoch(TIMESTAMP '{inputs.AS_OF}') - epoch({_AT}) AS BIGINT) * 1000 AS processing_lag_ms, "
+    f'{_AT} AS "timestamp", {_DAY} FROM ({SILVER_SQL})',
 )
 def _(spark, sf_dir):
-    names = (
-        "patient_id", "sistolica", "diastolica", "categoria_pressao", "categoria_fc", "febre", "processing_lag_ms", "date",
-    )
+    names = (*_LANDED, *_DERIVED, "processing_lag_ms", "timestamp", "date")
     return _layer(spark, sf_dir, "silver").select(*refs(names))
 
 
@@ -122,6 +141,32 @@ def _(spark, sf_dir):
     return rounded(_layer(spark, sf_dir, "gold", "por_diagnostico"))
 
 
+@register("medallion_gold_states", _STATE_SQL)
+def _(spark, sf_dir):
+    return rounded(_layer(spark, sf_dir, "gold", "por_estado"))
+
+
+@register("medallion_gold_pressure", _PRESSURE_SQL)
+def _(spark, sf_dir):
+    return rounded(_layer(spark, sf_dir, "gold", "por_pressao"))
+
+
+@register(
+    "medallion_audit",
+    "SELECT * FROM (VALUES ('admin', 'admin', 'write', 'bronze', true), ('admin', 'admin', 'read', 'bronze', true), "
+    "('admin', 'admin', 'write', 'silver', true)) a(user_id, role, action, resource, authorized) WHERE (SELECT count(*) FROM orders) > 0",
+)
+def _(spark, sf_dir):
+    """The guarded steps of the flow over all encounters."""
+    return _layer(spark, sf_dir, "ops", "audit").select("user_id", "role", "action", "resource", "authorized")
+
+
+@register("medallion_feeds", inputs.STATES_SQL)
+def _(spark, sf_dir):
+    path = staging.medallion(spark, sf_dir).layout.path("bronze", "feeds") + "/api_estados_ibge.json"
+    return readers.read_json(spark, path, "estado_id int, sigla string, nome_estado string, regiao string")
+
+
 @register(
     "medallion_quality",
     f"SELECT 'bronze' AS stage, count(*) AS total_records, count(*) FILTER (diagnostico IS NULL) AS null_diagnostico FROM ({ENC_SQL}) "
@@ -130,12 +175,13 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     reports = [_layer(spark, sf_dir, "ops", f"quality/{layer}") for layer in ("bronze", "silver")]
     both = cleaning.stack(*reports)
-    return both.select("stage", "total_records", F.col("null_columns")["diagnostico"].alias("null_diagnostico"))
+    nulls = F.col("null_columns")["diagnostico"].alias("null_diagnostico")
+    return both.select("stage", "total_records", nulls)
 
 
 @register(
     "medallion_run_log",
-    f"SELECT 'ingest' AS stage, count(*) AS records FROM ({ENC_SQL}) UNION ALL SELECT 'silver', count(*) FROM ({SILVER_SQL}) "
+    f"SELECT 'feeds' AS stage, count(*) AS records FROM nation UNION ALL SELECT 'ingest', count(*) FROM ({ENC_SQL}) UNION ALL SELECT 'silver', count(*) FROM ({SILVER_SQL}) "
     f"UNION ALL SELECT 'gold', (SELECT count(DISTINCT coalesce(diagnostico, '')) + count(DISTINCT estado) + count(DISTINCT categoria_pressao) FROM ({SILVER_SQL}))",
 )
 def _(spark, sf_dir):
@@ -145,11 +191,14 @@ def _(spark, sf_dir):
 @register(
     "medallion_gauges",
     f"SELECT 'active_records' AS metric, 'bronze' AS layer, count(*)::DOUBLE AS value FROM ({ENC_SQL}) "
-    f"UNION ALL SELECT 'active_records', 'silver', count(*)::DOUBLE FROM ({SILVER_SQL})",
+    f"UNION ALL SELECT 'active_records', 'silver', count(*)::DOUBLE FROM ({SILVER_SQL}) "
+    f"UNION ALL SELECT 'duplicate_ratio', 'bronze', round(1 - (SELECT count(*) FROM (SELECT DISTINCT * FROM ({ENC_SQL}))) / count(*), 4) FROM ({ENC_SQL}) "
+    "UNION ALL SELECT 'duplicate_ratio', 'silver', 0 FROM (SELECT count(*) FROM orders)",
 )
 def _(spark, sf_dir):
-    layers = {layer: _layer(spark, sf_dir, layer).select("patient_id", "timestamp") for layer in ("bronze", "silver")}
-    return quality.gauges(layers).where(F.col("metric") == "active_records").select("metric", "layer", "value")
+    layers = {layer: _layer(spark, sf_dir, layer) for layer in ("bronze", "silver")}
+    whole = quality.gauges(layers).where("column IS NULL").select("metric", "layer", "value")
+    return rounded(whole)
 
 
 # -- feeds -----------------------------------------------------------------------------------------
@@ -264,6 +313,26 @@ def _(spark, sf_dir):
     return gold.timeline(timeline(spark, sf_dir))
 
 
+@register(
+    "feed_faults",
+    "SELECT n_name AS pais, count(*) AS casos_total, (SELECT count(*) FROM nation WHERE n_nationkey % 5 = 0 "
+    "AND n_nationkey IN (SELECT c_nationkey FROM customer)) AS broken FROM customer JOIN nation ON c_nationkey = n_nationkey "
+    "WHERE n_nationkey % 5 <> 0 GROUP BY n_name",
+)
+def _(spark, sf_dir):
+    """One payload for each nation, every fifth of them cut off: the others are loaded."""
+    customers = inputs.table(spark, sf_dir, "customer")
+    nations = inputs.table(spark, sf_dir, "nation")
+    counted = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey")).groupBy("n_nationkey", "n_name")
+    body = F.to_json(F.struct(F.col("n_name").alias("country"), "cases"))
+    cut = F.when(F.col("n_nationkey") % 5 == 0, F.substring(body, 1, 12)).otherwise(body)
+    payloads = counted.agg(F.count(F.lit(1)).alias("cases")).select(cut.alias("value"), "n_nationkey")
+    path = fresh_path(spark, "payloads")
+    payloads.write.partitionBy("n_nationkey").text(path)
+    load = feeds.read_feed(spark, "covid_brasil", path)
+    return load.rows.select("pais", "casos_total").withColumn("broken", F.lit(load.broken).cast("bigint"))
+
+
 @register("feeds_landed", _FEED_SUMMARY)
 def _(spark, sf_dir):
     """Feeds with rows are landed under their names, empty ones are not."""

@@ -26,19 +26,26 @@ T0, T1, T2, T3 = ("2024-01-01 00:00:00", "2024-01-05 00:00:00", "2024-01-08 00:0
 
 
 def once(build: Callable) -> Callable:
-    """Remember what was built for a session and data set."""
-    built: dict[tuple[str, str], object] = {}
+    """Remember what was built for a session and data set, until `forget` is called."""
 
     @wraps(build)
     def staged(spark: SparkSession, sf_dir: str):
-        key = (spark.sparkContext.applicationId, sf_dir)
-        if key not in built:
-            built[key] = build(spark, sf_dir)
-        return built[key]
+        key = (build.__name__, spark.sparkContext.applicationId, sf_dir)
+        if key not in _BUILT:
+            _BUILT[key] = build(spark, sf_dir)
+        return _BUILT[key]
 
     return staged
 
 
+_BUILT: dict[tuple[str, str, str], object] = {}
+
+
+def forget() -> None:
+    """Build everything anew from now on."""
+    _BUILT.clear()
+
+
 @once
 def party_table(spark: SparkSession, sf_dir: str) -> VersionedTable:
     """Four versions: customers, the load merged in, parts appended with a new column, compacted."""
@@ -68,6 +75,16 @@ def vital_messages(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+def state_payload(spark: SparkSession, sf_dir: str) -> str:
+    """The response of a state service: one JSON array of all nations."""
+    states = inputs.state_reference(spark, sf_dir).selectExpr(
+        "estado_id AS id", "sigla", "nome_estado AS nome", "named_struct('nome', regiao) AS regiao"
+    )
+    path = fresh_path(spark, "state-payload")
+    states.select(F.to_json(F.collect_list(F.struct(*states.columns)))).write.text(path)
+    return path
+
+
 @once
 def medallion(spark: SparkSession, sf_dir: str) -> flows.FlowSettings:
     """A lake filled by the whole flow from a CSV and a JSON landing of all encounters."""
@@ -76,6 +93,6 @@ def medallion(spark: SparkSession, sf_dir: str) -> flows.FlowSettings:
     names = schemas.ENCOUNTER.fieldNames()
     text = F.date_format(F.expr(inputs.LANDED_AT), "yyyy-MM-dd HH:mm:ss")
     records = inputs.encounters(spark, sf_dir).withColumn("timestamp", text).select(*refs(names))
-    landing = writers.write_pair(records, f"{root}/landing/batch1.csv", f"{root}/landing/batch2.jsonl")
-    flows.run(spark, settings, *landing, schema=schemas.ENCOUNTER)
+    landing = writers.write_pair(records, f"{root}/landing/batch1.csv", f"{root}/landing/batch2.jsonl", f"{root}/scratch")
+    flows.run(spark, settings, *landing, schema=schemas.ENCOUNTER, feed_paths={"estados_ibge": state_payload(spark, sf_dir)})
     return settings

@@ -67,11 +67,11 @@ TIMELINE_PAYLOAD = T.StructType().add("timeline", record(cases="counts", deaths=
 # one record per commit of a versioned table
 COMMIT = record(
     version="bigint",
+    base="bigint",
     timestamp="timestamp",
     operation="string",
     user_name="string",
-    kind="string",
     metrics="counts",
     columns="string",
-    partitions="string",
+    token="string",
 )

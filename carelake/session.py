@@ -10,7 +10,7 @@ import uuid
 from collections.abc import Iterable
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 
 def local_session(cores: int | str = "*", app: str = "carelake", **conf: str) -> SparkSession:
@@ -72,12 +72,18 @@ def shared_folder(spark: SparkSession) -> str:
     return own
 
 
-def observed(seen: Observation, names: Iterable[str]) -> dict[str, int]:
-    """Counts an observation collected; 0 where the optimizer proved the input empty and removed
-    the observation with it."""
+def observed(seen: Observation, names: Iterable[str], source: DataFrame | None = None) -> dict[str, int]:
+    """Counts an observation collected while its rows were written.
+
+    The optimizer removes an observation together with an input that it proves empty; reading it
+    then fails. ``source`` is what was observed: the counts are 0 if it is shown to have no rows,
+    and any other failure is raised.
+    """
     try:
         counts = seen.get
     except Py4JJavaError:
+        if source is None or not source.isEmpty():
+            raise
         counts = {}
     return {name: int(counts.get(name) or 0) for name in names}
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -72,28 +73,41 @@ FEEDS = {
 }
 
 
-def load_feed(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """One landed feed, normalised. A missing or unreadable payload gives the empty table."""
+@dataclass(frozen=True)
+class FeedLoad:
+    """The readable records of a feed, how many files were not readable, and why it has none at all."""
+
+    rows: DataFrame
+    broken: int = 0
+    failure: str | None = None
+
+
+def read_feed(spark: SparkSession, name: str, path: str) -> FeedLoad:
+    """One landed feed, normalised. A payload file is one response, an object or an array of them;
+    files that do not parse are counted and left out. A payload that is missing or cannot be read at
+    all gives the empty table and the failure."""
     schema, shape = FEEDS[name]
-    broken = "__broken"
     try:
-        raw = spark.read.schema(T.StructType([*schema.fields, T.StructField(broken, T.StringType())])).json(
-            path, multiLine=True, columnNameOfCorruptRecord=broken
-        )
-        # one broken record answers this; a payload file is one response of a public service
-        if raw.where(F.col(broken).isNotNull()).take(1):
-            raise ValueError(f"feed {name} does not parse")
-    except (PySparkException, ValueError):
-        raw = spark.createDataFrame([], schema)
-    return shape(raw.select(*schema.fieldNames()))
-
-
-def load_feeds(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
-    """Every known feed; those without a path, or failing, are empty."""
+        bodies = spark.read.text(path, wholetext=True)
+        parsed = bodies.select(F.from_json("value", T.ArrayType(schema)).alias("records"))
+        bad = parsed.where(F.col("records").isNull()).count()
+    except PySparkException as failure:
+        nothing = spark.createDataFrame([], schema)
+        return FeedLoad(shape(nothing), 0, f"{type(failure).__name__}: {failure}".splitlines()[0])
+    return FeedLoad(shape(parsed.select(F.inline("records"))), bad)
+
+
+def load_feed(spark: SparkSession, name: str, path: str) -> DataFrame:
+    """The readable records of one landed feed."""
+    return read_feed(spark, name, path).rows
+
+
+def load_feeds(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, FeedLoad]:
+    """Every known feed; those without a path are empty."""
     return {
-        name: load_feed(spark, name, paths[name])
+        name: read_feed(spark, name, paths[name])
         if name in paths
-        else shape(spark.createDataFrame([], schema))
+        else FeedLoad(shape(spark.createDataFrame([], schema)), 0, "no path")
         for name, (schema, shape) in FEEDS.items()
     }
 

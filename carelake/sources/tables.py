@@ -1,13 +1,14 @@
-"""Versioned tables over Parquet.
+"""Versioned tables over plain Parquet.
 
-Layout: ``<root>/data/version=N/`` holds the rows a commit wrote, ``<root>/commits/`` one small
-record per commit. A commit is either a snapshot (the whole table) or an append (only new rows),
-so version N is the newest snapshot at or below N plus the appends after it. Readers open exactly
-those folders; anything without a commit record, such as the output of a failed job, is ignored.
+Layout: ``<root>/data`` is one Parquet table with a partition column ``version``; ``<root>/commits``
+is another, with a row per commit. A commit is a snapshot (its partition is the whole table) or an
+append (its partition holds only new rows) and says from which version on partitions belong to it,
+so reading a version is a filter on the partition column. Partitions without a commit row, such as
+the output of a failed job, are never read.
 
-This gives repeatable reads, time travel and cheap appends with one writer at a time. It is a
-convention on top of Spark's own readers and writers, not a transaction protocol: tables that
-several writers change at once belong in a table format with a log of its own.
+This is a convention on top of Spark's own readers and writers for one writer at a time, with no
+protocol behind it: a commit fails if its partition exists already. Tables that several writers
+change at once belong in a table format with a log of its own.
 """
 
 from __future__ import annotations
@@ -20,25 +21,32 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carelake import schemas
-from carelake.columns import before, instant, ref, refs
+from carelake.columns import all_of, before, instant, ref, refs
 from carelake.operators import history as hist
 from carelake.session import fresh_path, observed, path_exists
 from carelake.sources.writers import balanced
 
-SNAPSHOT, APPEND = "snapshot", "append"
 RETENTION_HOURS = 168
+VERSION = "version"
 
 
 class VersionedTable:
-    def __init__(self, spark: SparkSession, root: str, user: str = ""):
+    """``partition_by``: further partition columns, the same for all versions. ``scratch``: where
+    merges put a stored copy of their source; by default below the session's shared folder."""
+
+    def __init__(
+        self, spark: SparkSession, root: str, user: str = "", partition_by: Sequence[str] = (), scratch: str | None = None
+    ):
         self.spark = spark
         self.root = root.rstrip("/")
         self.user = user
+        self.partition_by = list(partition_by)
+        self.scratch = scratch
 
-    # -- commit log ------------------------------------------------------------------------------
+    # -- commits ---------------------------------------------------------------------------------
 
     def commits(self) -> DataFrame:
-        """The commit log; empty for a table that does not exist yet."""
+        """One row per commit; empty for a table that does not exist yet."""
         path = f"{self.root}/commits"
         if path_exists(self.spark, path):
             return self.spark.read.schema(schemas.COMMIT).parquet(path)
@@ -52,12 +60,12 @@ class VersionedTable:
         log = self.commits()
         if at is not None:
             log = log.where(F.col("timestamp") <= instant(at))
-        return log.agg(F.max("version")).first()[0]
+        return log.agg(F.max(VERSION)).first()[0]
 
     def history(self, limit: int = 20) -> DataFrame:
         """Newest commits first."""
-        shown = self.commits().select("version", "timestamp", "operation", "user_name", "metrics")
-        return shown.orderBy(F.col("version").desc()).limit(limit)
+        shown = self.commits().select(VERSION, "timestamp", "operation", "user_name", "metrics")
+        return shown.orderBy(F.col(VERSION).desc()).limit(limit)
 
     # -- reading ---------------------------------------------------------------------------------
 
@@ -67,17 +75,14 @@ class VersionedTable:
             version = self.latest(at)
             if version is None:
                 raise LookupError(f"no version of {self.root} at {at or 'all'}")
-        log = self.commits().where(F.col("version") <= version)
-        base = F.max(F.when(F.col("kind") == SNAPSHOT, F.col("version")))
-        newest = log.agg(F.max("version").alias("newest"), F.coalesce(base, F.min("version")).alias("base")).first()
-        if newest["newest"] != version:
+        commit = self.commits().where(F.col(VERSION) == version).first()
+        if commit is None or version < self._kept_from():
             raise LookupError(f"{self.root} has no version {version}")
-        # one record per append since the last snapshot: driver-side metadata, never rows
-        parts = log.where(F.col("version") >= newest["base"]).orderBy("version").collect()
-        folders = [f"{self.root}/data/version={p['version']}" for p in parts]
-        schema = _merged([p["columns"] for p in parts])
-        # each folder is read as a root of its own, so "version" does not appear as a column
-        return self.spark.read.schema(schema).parquet(*folders).select(*refs(schema.fieldNames()))
+        schema = T.StructType.fromJson(json.loads(commit["columns"]))
+        with_version = T.StructType([*schema.fields, T.StructField(VERSION, T.LongType())])
+        stored = self.spark.read.schema(with_version).parquet(f"{self.root}/data")
+        # versions follow each other and an unfinished one stops the next, so all of these are committed
+        return stored.where(F.col(VERSION).between(commit["base"], version)).select(*refs(schema.fieldNames()))
 
     # -- writing ---------------------------------------------------------------------------------
 
@@ -85,38 +90,43 @@ class VersionedTable:
         self,
         df: DataFrame,
         operation: str,
-        kind: str = SNAPSHOT,
-        partition_by: Sequence[str] = (),
+        append: bool = False,
         as_of=None,
         metrics: Mapping[str, Column] | None = None,
         drop: Sequence[str] = (),
-        version: int | None = None,
+        token: str | None = None,
     ) -> int:
         """Write rows as the next version and record it. ``metrics`` are aggregates observed while
-        writing; ``drop`` names helper columns they need that are not stored."""
-        if version is None:
-            newest = self.latest()
-            version = 0 if newest is None else newest + 1
+        writing; ``drop`` names helper columns they need that are not stored. ``token`` names a
+        commit that may be tried again: a second try writes the same version once more."""
+        log = self.commits()
+        newest = log.agg(F.max_by(F.struct(VERSION, "base", "columns"), VERSION)).first()[0]
+        again = None if token is None else log.where(F.col("token") == token).agg(F.max(VERSION)).first()[0]
+        version = again if again is not None else 0 if newest is None else newest[VERSION] + 1
         seen = Observation()
         measured = {"numOutputRows": F.count(F.lit(1)), **(metrics or {})}
         out = df.observe(seen, *[m.alias(name) for name, m in measured.items()]).drop(*drop)
-        writer = out.write.mode("overwrite")
-        writer = writer.partitionBy(*partition_by) if partition_by else writer
-        writer.parquet(f"{self.root}/data/version={version}")
-        counts = observed(seen, measured)
-        by = json.dumps(list(partition_by))
-        record = (version, None, operation, self.user, kind, counts, out.schema.json(), by)
+        if VERSION in out.columns:
+            raise ValueError(f"{VERSION} is the table's own partition column")
+        writer = out.write.mode("errorifexists" if token is None else "overwrite")
+        writer = writer.partitionBy(*self.partition_by) if self.partition_by else writer
+        writer.parquet(f"{self.root}/data/{VERSION}={version}")
+        if again is not None:
+            return version
+        counts = observed(seen, measured, df)
+        added = append and newest is not None
+        schema = _widened(T.StructType.fromJson(json.loads(newest["columns"])), out.schema) if added else out.schema
+        record = (version, newest["base"] if added else version, None, operation, self.user, counts, schema.json(), token)
         row = self.spark.createDataFrame([record], schemas.COMMIT).withColumn("timestamp", instant(as_of))
         row.coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
         return version
 
-    def save(self, df: DataFrame, mode: str = "overwrite", partition_by: Sequence[str] = (), as_of=None) -> int:
+    def save(self, df: DataFrame, mode: str = "overwrite", as_of=None) -> int:
         """Overwrite (a new snapshot) or append; appended rows may bring new columns."""
         if mode not in ("overwrite", "append"):
             raise ValueError(f"unsupported mode: {mode}")
-        kind = APPEND if mode == "append" and self.exists() else SNAPSHOT
-        laid = balanced(df, partition_by) if partition_by else df
-        return self.commit(laid, "WRITE", kind, partition_by, as_of)
+        laid = balanced(df, self.partition_by) if self.partition_by else df
+        return self.commit(laid, "WRITE", mode == "append", as_of)
 
     def merge(
         self,
@@ -127,8 +137,9 @@ class VersionedTable:
         update_columns: Sequence[str] | None = None,
         as_of=None,
     ) -> dict[str, int]:
-        """Upsert and commit. Match on ``keys``, or on any SQL ``condition`` over ``target.`` and
-        ``source.`` with ``row_id`` columns that identify a target row."""
+        """Upsert and commit a snapshot. Match on ``keys``, or on any SQL ``condition`` over
+        ``target.`` and ``source.`` with ``row_id`` columns that identify a target row. For tables
+        too large to write anew, see ``upsert_partitions``."""
         target = self.read() if self.exists() else None
         source = source if target is None else self._settled(source)
         action = "__action"
@@ -154,109 +165,101 @@ class VersionedTable:
         """The source as a stored scratch table. A merge reads its source more than once: stored,
         it is computed once, gives the same rows every time, also after a lost executor, and has a
         known size for the choice of join."""
-        path = fresh_path(self.spark, "merge-source")
-        source.write.parquet(path)
+        path = f"{self.scratch}/merge-source" if self.scratch else fresh_path(self.spark, "merge-source")
+        source.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(source.schema).parquet(path)
 
     def _commit_actions(self, merged: DataFrame, operation: str, action: str, kinds: Sequence[str], as_of) -> dict:
         counts = {k: F.count_if(F.col(action) == k) for k in kinds}
         version = self.commit(merged, operation, as_of=as_of, metrics=counts, drop=[action])
-        metrics = self.commits().where(F.col("version") == version).select("metrics").first()[0]
+        metrics = self.commits().where(F.col(VERSION) == version).select("metrics").first()[0]
         return {k: metrics[k] for k in kinds}
 
     # -- maintenance -----------------------------------------------------------------------------
 
-    def compact(self, partition_by: Sequence[str] = (), as_of=None) -> int:
+    def compact(self, as_of=None) -> int:
         """Rewrite the newest version into files of the advisory size."""
-        return self.commit(balanced(self.read(), partition_by), "OPTIMIZE", SNAPSHOT, partition_by, as_of)
+        return self.commit(balanced(self.read(), self.partition_by), "OPTIMIZE", as_of=as_of)
 
     def cluster(self, columns: Sequence[str], files: int | None = None, as_of=None) -> int:
-        """Rewrite the newest version so that filters on any of the columns skip files."""
+        """Rewrite the newest version so that filters on the columns skip files."""
         return self.commit(clustered(self.read(), columns, files), "OPTIMIZE ZORDER", as_of=as_of)
 
     def expired(self, retention_hours: float = RETENTION_HOURS, as_of=None) -> DataFrame:
-        """Versions that were no longer current when the retention time began, and that no later
+        """Commits that were no longer current when the retention time began, and that no later
         version is built on. Every instant within the retention time stays readable."""
+        return self.commits().where(F.col(VERSION) < F.lit(self._needed_from(retention_hours, as_of)))
+
+    def retain(self, retention_hours: float = RETENTION_HOURS, as_of=None) -> int:
+        """Empty the partitions of expired versions, which cannot be read any more then; returns the
+        oldest version kept. Nothing is copied: an expired partition is overwritten with no rows."""
+        keep_from, already = self._needed_from(retention_hours, as_of), self._kept_from()
+        # one row per expired commit since the last retention
+        gone = self.commits().where(F.col(VERSION).between(already, keep_from - 1)).select(VERSION, "columns").collect()
+        self.spark.range(1).select(F.lit(keep_from).cast("bigint").alias("from")).coalesce(1).write.mode("append").parquet(
+            f"{self.root}/retained"
+        )
+        for commit in gone:
+            names = [f for f in T.StructType.fromJson(json.loads(commit["columns"])).fields if f.name not in self.partition_by]
+            nothing = self.spark.createDataFrame([], T.StructType(names))
+            nothing.write.mode("overwrite").parquet(f"{self.root}/data/{VERSION}={commit[VERSION]}")
+        return keep_from
+
+    def _needed_from(self, retention_hours: float, as_of) -> int:
+        """Base of the version that was current when the retention time began."""
         log = self.commits()
         past = F.col("timestamp") <= before(as_of, retention_hours)
-        current_then = F.max(F.when(past, F.col("version")))
-        oldest_needed = log.agg(F.coalesce(current_then, F.min("version"))).first()[0]
-        base = log.where((F.col("kind") == SNAPSHOT) & (F.col("version") <= F.lit(oldest_needed)))
-        keep_from = base.agg(F.max("version")).first()[0]
-        return log.where(F.col("version") < F.lit(keep_from))
-
-    def retained(self, retention_hours: float = RETENTION_HOURS, as_of=None) -> DataFrame:
-        """Commits that stay readable after expiry."""
-        return self.commits().join(self.expired(retention_hours, as_of).select("version"), "version", "left_anti")
-
-    def retain_into(self, root: str, retention_hours: float = RETENTION_HOURS, as_of=None) -> "VersionedTable":
-        """Write a table holding only retained versions; the old root can then be dropped by the
-        storage's own lifecycle rules. Versions are copied one after the other, each by Spark."""
-        kept = VersionedTable(self.spark, root, self.user)
-        log = self.retained(retention_hours, as_of).orderBy("version")
-        for commit in log.collect():
-            folder = f"data/version={commit['version']}"
-            rows = self.spark.read.schema(_merged([commit["columns"]])).parquet(f"{self.root}/{folder}")
-            writer = rows.write.mode("overwrite")
-            by = json.loads(commit["partitions"])
-            (writer.partitionBy(*by) if by else writer).parquet(f"{kept.root}/{folder}")
-        log.coalesce(1).write.mode("overwrite").parquet(f"{kept.root}/commits")
-        return kept
+        current = F.max_by("base", F.when(past, F.col(VERSION)))
+        return log.agg(F.coalesce(current, F.min(VERSION))).first()[0]
 
+    def _kept_from(self) -> int:
+        path = f"{self.root}/retained"
+        if not path_exists(self.spark, path):
+            return 0
+        return self.spark.read.schema("`from` bigint").parquet(path).agg(F.max("from")).first()[0]
 
-# -- layout --------------------------------------------------------------------------------------
+
+# -- tables too large to write anew ----------------------------------------------------------------
 
 
-def clustered(df: DataFrame, columns: Sequence[str], files: int | None = None, bits: int = 8) -> DataFrame:
-    """Rows range-partitioned along a curve through the given columns.
+def upsert_partitions(
+    spark: SparkSession,
+    path: str,
+    source: DataFrame,
+    keys: Sequence[str],
+    partition_by: Sequence[str],
+    update_columns: Sequence[str] | None = None,
+) -> None:
+    """Upsert into a partitioned Parquet table by rewriting only the partitions the source touches.
 
-    Each column is cut into ``2**bits`` cells between its minimum and maximum, and the bits of the
-    cells are interleaved, so each file covers a narrow range of every column and Parquet
-    statistics can skip it. A row hash ends the sort key, which lets one frequent value spread
-    over several files.
+    The partition columns must be among the keys, so that no row can change its partition. The
+    partitions are chosen by a semi join, from which Spark prunes the scan, and replaced with dynamic
+    partition overwrite when all of them are written. One writer at a time.
     """
-    columns = list(columns)
-    positions = {c: _position(df.schema[c]) for c in columns}
-    bounds = df.agg(
-        *[f(p).alias(f"{end}{i}") for i, p in enumerate(positions.values()) for end, f in (("lo", F.min), ("hi", F.max))]
-    ).first()
-    cells = []
-    for i, position in enumerate(positions.values()):
-        lo, hi = bounds[f"lo{i}"], bounds[f"hi{i}"]
-        if lo is None or lo == hi:
-            cells.append(F.lit(0))
-            continue
-        share = (position - F.lit(float(lo))) / F.lit(float(hi) - float(lo))
-        cells.append(F.coalesce(F.least(F.floor(share * 2**bits), F.lit(2**bits - 1)), F.lit(0)).cast("int"))
-    curve = F.lit(0).cast("bigint")
-    for level in range(bits):
-        for i, cell in enumerate(cells):
-            bit = F.shiftright(cell, level).bitwiseAND(F.lit(1)).cast("bigint")
-            curve = curve.bitwiseOR(F.shiftleft(bit, level * len(cells) + i))
-    order = {"__curve": curve, "__spread": F.xxhash64(*refs(df.columns))}
-    tagged = df.withColumns(order)
-    cut = [files] if files else []
-    ranged = tagged.repartitionByRange(*cut, *order) if cut else tagged.repartitionByRange(*order)
-    return ranged.sortWithinPartitions("__curve", *columns).drop(*order)
-
-
-def _position(field: T.StructField) -> Column:
-    """A number that grows with the value; text is placed by its first six bytes."""
-    value, kind = ref(field.name), field.dataType
-    if isinstance(kind, T.NumericType):
-        return value.cast("double")
-    if isinstance(kind, T.DateType):
-        return F.unix_date(value).cast("double")
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(value.cast("timestamp")).cast("double")
-    head = F.rpad(F.hex(F.substring(value.cast("binary"), 1, 6)), 12, "0")
-    return F.conv(head, 16, 10).cast("double")
-
-
-def _merged(stored: Sequence[str]) -> T.StructType:
-    """Fields of several schemas by name, in order of first appearance."""
-    fields: dict[str, T.StructField] = {}
-    for text in stored:
-        for field in T.StructType.fromJson(json.loads(text)).fields:
-            fields[field.name] = T.StructField(field.name, field.dataType, True)
-    return T.StructType(list(fields.values()))
+    if not set(partition_by) <= set(keys):
+        raise ValueError("the partition columns must be among the keys")
+    target = spark.read.parquet(path)
+    touched = source.select(*refs(partition_by)).distinct().alias("touched")
+    same = all_of(ref(c, "target").eqNullSafe(ref(c, "touched")) for c in partition_by)
+    affected = target.alias("target").join(touched, same, "left_semi")
+    merged = hist.upsert(affected, source, keys, update_columns)
+    writer = balanced(merged, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partition_by).parquet(path)
+
+
+# -- layout --------------------------------------------------------------------------------------
+
+
+def clustered(df: DataFrame, columns: Sequence[str], files: int | None = None) -> DataFrame:
+    """Rows range-partitioned and sorted by the columns, so that each file covers a narrow range and
+    Parquet statistics can skip it. A row hash ends the range key, which lets one frequent value
+    spread over several files."""
+    order = [*refs(columns), F.xxhash64(*refs(df.columns))]
+    ranged = df.repartitionByRange(files, *order) if files else df.repartitionByRange(*order)
+    return ranged.sortWithinPartitions(*refs(columns))
+
+
+def _widened(known: T.StructType, more: T.StructType) -> T.StructType:
+    """Fields of both by name, in order of first appearance."""
+    fields = {f.name: T.StructField(f.name, f.dataType, True) for f in [*known.fields, *more.fields][::-1]}
+    return T.StructType([fields[n] for n in dict.fromkeys([*known.fieldNames(), *more.fieldNames()])])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from carelake import fixed_values as fx
 from carelake.columns import ref, refs
-from carelake.session import observed
+from carelake.session import fresh_path, observed
 
 LAYERS = ("bronze", "silver", "gold", "checkpoints", "ops")
 
@@ -46,18 +46,22 @@ def write_layer(
     table: str,
     partition_by: Sequence[str] = (),
     mode: str = "overwrite",
+    replace_all: bool = False,
 ) -> Written:
     """Write Parquet and report the row count, observed during the write itself.
 
     Partitioned output is balanced on its partition columns first; otherwise every task would
-    open a file in every partition.
+    open a file in every partition. Overwriting replaces only the partitions that rows are written
+    to; ``replace_all`` replaces the table.
     """
     path = layout.path(layer, table)
     seen = Observation()
     out = balanced(df, partition_by) if partition_by else df
     writer = out.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode)
+    if partition_by and not replace_all:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    return Written(path, observed(seen, ["rows"])["rows"])
+    return Written(path, observed(seen, ["rows"], df)["rows"])
 
 
 def read_layer(spark: SparkSession, layout: LakeLayout, layer: str, table: str, evolve: bool = False) -> DataFrame:
@@ -78,17 +82,23 @@ def with_date(df: DataFrame, column: str = "timestamp") -> DataFrame:
 def land_by_date(
     df: DataFrame, layout: LakeLayout, layer: str, table: str, column: str = "timestamp", mode: str = "overwrite"
 ) -> Written:
+    """Land rows by day. A day that rows are landed for is replaced whole, other days stay."""
     return write_layer(with_date(df, column), layout, layer, table, ["date"], mode)
 
 
-def write_pair(df: DataFrame, csv_path: str, json_path: str) -> tuple[str, str]:
+def write_pair(df: DataFrame, csv_path: str, json_path: str, scratch: str | None = None) -> tuple[str, str]:
     """Land one half of the records as CSV with header and the other as JSON lines.
 
-    Halves are chosen by a hash of the whole record: repeatable, and no row has to be counted.
+    Halves are chosen by a hash of the whole record: repeatable, and no row has to be counted. The
+    records are stored once first, below ``scratch`` or the session's shared folder, so that both
+    halves are of the same rows.
     """
+    path = f"{scratch}/pair" if scratch else fresh_path(df.sparkSession, "pair")
+    df.write.mode("overwrite").parquet(path)
+    held = df.sparkSession.read.schema(df.schema).parquet(path)
     side = F.pmod(F.xxhash64(*refs(df.columns)), F.lit(2))
-    df.where(side == 0).write.mode("overwrite").csv(csv_path, header=True)
-    df.where(side == 1).write.mode("overwrite").json(json_path)
+    held.where(side == 0).write.mode("overwrite").csv(csv_path, header=True)
+    held.where(side == 1).write.mode("overwrite").json(json_path)
     return csv_path, json_path
 
 
@@ -108,12 +118,17 @@ def layer_bytes(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
 
 
 def append_table(
-    df: DataFrame, table: str, connection: Mapping[str, str], batch_size: int = 5_000, connections: int = 8
+    df: DataFrame, table: str, connection: Mapping[str, str], batch_size: int = 5_000, connections: int | None = None
 ) -> None:
-    """Append from the executors in batches over a limited number of connections; an empty frame
-    writes no row."""
-    limits = {"batchsize": str(batch_size), "numPartitions": str(connections)}
-    writer = df.write.format("jdbc").options(**connection, **limits).option("dbtable", table)
+    """Append from the executors in batches; an empty frame writes no row.
+
+    Every task has a connection of its own, as many as the frame has partitions. ``connections`` is
+    the most that the database bears: the frame is dealt to that many tasks by a shuffle, which leaves
+    the stage that computes it as wide as it is. A task that is retried appends its batches once more;
+    where that matters, append to a staging table and move its rows in one transaction.
+    """
+    out = df if connections is None else df.repartition(connections)
+    writer = out.write.format("jdbc").options(**connection, batchsize=str(batch_size)).option("dbtable", table)
     writer.mode("append").save()
 
 
@@ -123,12 +138,26 @@ def without_generated(df: DataFrame) -> DataFrame:
 
 
 def refresh_table(
-    spark: SparkSession, table: str, source: Mapping[str, str], target: Mapping[str, str], batch_size: int = 5_000
+    spark: SparkSession,
+    table: str,
+    source: Mapping[str, str],
+    target: Mapping[str, str],
+    batch_size: int = 5_000,
+    split: Mapping[str, str] | None = None,
+    fetch_size: int = 10_000,
+    staging: str | None = None,
 ) -> None:
     """Replace the rows of a table by those of another database; the target's definition stays.
-    An empty source leaves an empty target."""
-    rows = spark.read.format("jdbc").options(**source).option("dbtable", table).load()
-    writer = without_generated(rows).write.format("jdbc").options(**target).option("dbtable", table)
+    An empty source leaves an empty target.
+
+    ``split`` holds Spark's options for reading over several connections (partitionColumn, lowerBound,
+    upperBound, numPartitions); without it one task reads the table. The target is emptied before it
+    is filled, so a failure leaves it incomplete: name a ``staging`` table to fill that instead, and let
+    the database swap the two.
+    """
+    reader = spark.read.format("jdbc").options(**source, fetchsize=str(fetch_size), **(split or {}))
+    rows = reader.option("dbtable", table).load()
+    writer = without_generated(rows).write.format("jdbc").options(**target).option("dbtable", staging or table)
     writer.option("truncate", "true").option("batchsize", batch_size).mode("overwrite").save()
 
 

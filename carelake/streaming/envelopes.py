@@ -15,19 +15,18 @@ WATERMARK = "10 minutes"
 def broker_options(
     servers: str,
     topic: str,
-    starting_offsets: str = "latest",
-    max_offsets_per_trigger: int | None = 10_000,
-    fail_on_data_loss: bool = False,
+    starting_offsets: str = "earliest",
+    max_offsets_per_trigger: int | None = None,
+    fail_on_data_loss: bool = True,
     **extra: str,
 ) -> dict[str, str]:
-    """Options of the Kafka source."""
+    """Options of the Kafka source. By default every offset is read, nothing limits a trigger, and
+    offsets that are gone end the query."""
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting_offsets,
         "failOnDataLoss": str(fail_on_data_loss).lower(),
-        "kafka.session.timeout.ms": "30000",
-        "kafka.request.timeout.ms": "40000",
         **extra,
     }
     if max_offsets_per_trigger is not None:

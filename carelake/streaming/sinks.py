@@ -53,13 +53,12 @@ def replace_result(
     aggregate: DataFrame, root: str, checkpoint_root: str, name: str, every: str | None = "1 minute"
 ) -> StreamingQuery:
     """Keep the whole current result of an aggregate: every trigger commits it as a new version of
-    a versioned table. The batch number is the version, so a replayed batch rewrites its own."""
+    a versioned table. The commit is named by query and batch number, so a batch that runs again
+    writes its own version once more, and a query with a new checkpoint goes on after the last."""
 
     def publish(rows: DataFrame, batch: int) -> None:
-        table = VersionedTable(rows.sparkSession, root)
-        newest = table.latest()
-        if newest is None or newest < batch:
-            table.commit(rows, "STREAMING UPDATE", version=batch)
+        query = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        VersionedTable(rows.sparkSession, root).commit(rows, "STREAMING UPDATE", token=f"{query}/{batch}")
 
     writer = aggregate.writeStream.outputMode("complete").foreachBatch(publish)
     writer = writer.option("checkpointLocation", f"{checkpoint_root.rstrip('/')}/{name}")
@@ -83,13 +82,15 @@ def drain(query: StreamingQuery, timeout: float | None = None) -> None:
 
 def with_stream(spark: SparkSession, stored: DataFrame, streamed_path: str) -> DataFrame:
     """Stored rows plus the rows a stream has landed so far; the stored rows alone when the stream
-    has landed nothing readable."""
+    has landed no file yet. Anything else that cannot be read is an error."""
     if not path_exists(spark, streamed_path):
         return stored
     try:
         landed = spark.read.parquet(streamed_path)
-    except AnalysisException:
-        return stored
+    except AnalysisException as failure:
+        if failure.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            return stored
+        raise
     return stored.unionByName(landed, allowMissingColumns=True)
 
 

@@ -28,6 +28,32 @@ def sliding(
     )
 
 
+def sliding_panes(
+    events: DataFrame,
+    window: str = "5 minutes",
+    slide: str = "1 minute",
+    by: str = "diagnostico",
+    at: str = "event_time",
+) -> DataFrame:
+    """``sliding`` for a watermarked stream in append mode, through panes of one slide: events are
+    not copied to the windows they are in, only their panes are. A late event counts until its pane
+    is closed, and then in all of its windows."""
+    panes = events.groupBy(F.window(ref(at), slide), ref(by)).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.col("heart_rate").cast("double")).alias("hr"),
+        F.count("heart_rate").alias("hr_n"),
+        F.sum("temperatura").alias("temp"),
+        F.count("temperatura").alias("temp_n"),
+        F.min("saturacao_o2").alias("low"),
+    )
+    return panes.groupBy(F.window(F.window_time("window"), window, slide), ref(by)).agg(
+        F.sum("n").alias("total_eventos"),
+        F.try_divide(F.sum("hr"), F.sum("hr_n")).alias("media_freq_cardiaca"),
+        F.try_divide(F.sum("temp"), F.sum("temp_n")).alias("media_temperatura"),
+        F.min("low").alias("min_saturacao"),
+    )
+
+
 def sliding_batch(
     events: DataFrame,
     window_seconds: int = 300,

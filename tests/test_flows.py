@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from carelake import schemas
 from carelake.plans import flows
@@ -33,6 +34,33 @@ def test_whole_flow(spark, landing, tmp_path):
     assert set(sizes) == {"bronze", "silver", "gold"} and all(sizes.values())
     reports = spark.read.parquet(s.layout.path("ops", "quality/bronze"))
     assert rows(reports, "total_records", "duplicates") == [(5, 1)]
+    audit = spark.read.parquet(s.layout.path("ops", "audit"))
+    assert rows(audit, "user_id", "action", "resource", "authorized") == [("admin", "read", "bronze", True), ("admin", "write", "silver", True)]
+    published = spark.read.parquet(s.layout.path("ops", "published"))
+    assert published.count() == 3 and published.where("failure IS NULL").count() == 0
+    assert rows(log.where("stage = 'publish'"), "error_type") == [("PublishFailure",)]
+
+
+def test_runs_of_different_days_are_both_kept(spark, people, tmp_path):
+    s = settings(tmp_path)
+    for day in ("2024-01-15", "2024-01-16"):
+        moved = people.withColumn("timestamp", F.concat(F.lit(day), F.substring("timestamp", 11, 9)))
+        pair = writers.write_pair(moved, str(tmp_path / f"{day}.csv"), str(tmp_path / f"{day}.jsonl"))
+        flows.run(spark, s, *pair, schema=schemas.ENCOUNTER)
+    for layer, each in (("bronze", 5), ("silver", 4)):
+        days = writers.read_layer(spark, s.layout, layer, flows.TABLE).groupBy("date").count()
+        assert [n for _, n in rows(days.selectExpr("cast(date AS string)", "count"))] == [each, each]
+    assert spark.read.parquet(s.layout.path("ops", "quality/silver")).count() == 2
+
+
+def test_feeds_are_landed_by_the_flow(spark, landing, tmp_path):
+    s = settings(tmp_path)
+    (tmp_path / "states.json").write_text('[{"id": 1, "sigla": "PE", "nome": "x", "regiao": {"nome": "y"}}]')
+    flows.run(spark, s, *landing, schema=schemas.ENCOUNTER, feed_paths={"estados_ibge": str(tmp_path / "states.json")})
+    assert spark.read.json(s.layout.path("bronze", "feeds") + "/api_estados_ibge.json").count() == 1
+    noted = spark.read.parquet(s.layout.path("ops", "feeds"))
+    assert dict(rows(noted, "feed", "broken_records")) == {"estados_ibge": 0, "covid_brasil": 0, "covid_historico": 0}
+    assert noted.where("failure = 'no path'").count() == 2
 
 
 def test_flow_needs_permission(spark, landing, tmp_path):
@@ -40,6 +68,8 @@ def test_flow_needs_permission(spark, landing, tmp_path):
         flows.run(spark, settings(tmp_path, "nobody"), *landing, schema=schemas.ENCOUNTER)
     log = spark.read.parquet(settings(tmp_path).layout.path("ops", "runs"))
     assert rows(log, "stage", "error_type") == [("ingest", "PermissionError")]
+    audit = spark.read.parquet(settings(tmp_path).layout.path("ops", "audit"))
+    assert rows(audit, "user_id", "authorized") == [("nobody", False)]
 
 
 def test_inferred_schemas_meet(spark, landing, tmp_path):

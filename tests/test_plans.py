@@ -16,7 +16,7 @@ STAGED = {
     if name.startswith(("medallion", "version", "commit_history", "roundtrip", "subject_export", "sliding_window", "envelope"))
 } | {
     "layer_bytes", "retain_versions", "expired_versions", "compact", "late_rows", "stream_to_lake", "batch_and_stream",
-    "paired_landing", "dated_landing", "schema_evolution", "csv_inferred_types", "feeds_landed",
+    "paired_landing", "dated_landing", "upsert_partitions", "compact_files", "cluster_ranges", "schema_evolution", "csv_inferred_types", "feeds_landed",
 }
 FORBIDDEN = re.compile(r"CartesianProduct|BroadcastNestedLoopJoin|BatchEvalPython|ArrowEvalPython|MapInPandas|FlatMapGroups")
 
@@ -53,13 +53,19 @@ def test_one_scan_for_all_scores(spark, tmp_path, people):
     stored = spark.read.parquet(str(tmp_path / "p"))
     for df in (
         quality.scorecard(stored, keys=["patient_id"], timestamp_column="timestamp"),
-        quality.quality_report(stored),
-        quality.gauges({"x": stored}),
         quality.threshold_alerts(stored),
     ):
         assert plan(df).count("FileScan") == 1
 
 
+def test_counting_copies_shuffles_hashes_only(spark, tmp_path, people):
+    people.write.parquet(str(tmp_path / "h"))
+    text = plan(quality.duplicate_report(spark.read.parquet(str(tmp_path / "h"))))
+    keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", text)
+    assert keys and any(k.startswith("__hash") for k in keys)
+    assert "LeftSemi" in text
+
+
 @pytest.mark.parametrize("name", ["role_of_user", "authorize", "audit_table", "layer_access"])
 def test_decisions_do_not_shuffle_the_requests(spark, name):
     text = plan(catalog.QUERIES[name](spark, SMALL))
@@ -68,9 +74,23 @@ def test_decisions_do_not_shuffle_the_requests(spark, name):
 
 
 def test_small_source_does_not_shuffle_the_target(spark, tmp_path):
+    """In the whole plan: target rows are never exchanged, nor target keys that the source lacks."""
     spark.range(10_000).selectExpr("id AS k", "uuid() AS v").write.parquet(str(tmp_path / "t"))
     target = spark.read.parquet(str(tmp_path / "t"))
     source = spark.createDataFrame(pa.table({"k": [1, 10**6], "v": ["x", "y"]}))
-    text = plan(history.upsert(target, source, ["k"]))
-    kept = text.split("Union")[1].split("LeftAnti")[0]
-    assert "BroadcastHashJoin" in kept and "SortMergeJoin" not in text
+    history_table = history.scd2_start(target, "2024-01-01 00:00:00")
+    for df in (history.upsert(target, source, ["k"]), history.scd2_apply(history_table, source, ["k"], "2024-01-02 00:00:00")):
+        text = plan(df)
+        assert "SortAggregate" not in text and "SortMergeJoin" not in text
+        for found in re.finditer(r"Exchange (\w+)[^\n]*\n((?:[^\n]*\n)*?)[^\n]*FileScan", text):
+            between = found.group(2)
+            assert "LeftSemi" in between or "BroadcastExchange" in found.group(0) or "Union" in between, found.group(0)
+
+
+def test_conditions_need_an_equality(spark):
+    good = ["target.k = source.k", "source.k = target.k AND target.v < source.v", "(target.v < 1 OR source.v > 2) AND target.`a b`==source.k".replace("`a b`", "`ab`")]
+    bad = ["target.v < source.v", "target.k = target.v", "target.k = source.k OR target.v = source.v", "NOT (target.k = source.k)", "target.k = 5 AND source.k = 5"]
+    assert all(map(history.has_equality, good)) and not any(map(history.has_equality, bad))
+    t = spark.createDataFrame([(1, 2)], "k int, v int")
+    with pytest.raises(ValueError, match="needs a term"):
+        history.upsert_where(t, t, "target.v < source.v", ["k"])

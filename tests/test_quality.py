@@ -1,3 +1,4 @@
+from pyspark.sql import functions as F
 import math
 from collections import Counter
 
@@ -169,3 +170,28 @@ def test_timeline_sorts_by_calendar(spark):
     days = ["1/9/21", "12/31/20", "1/10/21"]
     df = spark.createDataFrame([(d, 1, 0) for d in days], "data string, casos_acumulados long, mortes_acumuladas long")
     assert [r["data"] for r in gold.timeline(df).collect()] == ["12/31/20", "1/9/21", "1/10/21"]
+
+
+@pytest.mark.parametrize("make", [lambda: None, lambda: F.lit(7), lambda: F.pmod(F.hash("k"), F.lit(2))])
+def test_copies_are_exact_when_hashes_collide(spark, make):
+    row_hash = make()
+    df = spark.createDataFrame([(i % 7 or None, str(i % 5) if i % 3 else None) for i in range(60)] + [(99, "x")], "k int, v string")
+    want = (61, df.distinct().count())
+    assert tuple(quality.row_counts(df, row_hash).first()) == want
+    assert tuple(quality.row_counts(df.limit(0), row_hash).first()) == (0, 0)
+
+
+def test_profile_reads_its_source_once(spark, tmp_path):
+    spark.range(500).selectExpr("id", "CAST(id % 7 AS decimal(10,2)) AS d", "'x' AS s").write.parquet(str(tmp_path / "p"))
+    profile = quality.column_profile(spark.read.parquet(str(tmp_path / "p")))
+    got = {r["column"]: r for r in profile.collect()}
+    assert got["d"]["mean"] == pytest.approx(2.988, abs=1e-3) and got["id"]["stddev"] == pytest.approx(144.4818, abs=1e-4)
+    final = profile._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("FileScan") == 1
+
+
+def test_report_alerts_equal_threshold_alerts(spark):
+    df = spark.createDataFrame([(1, None, None), (2, None, "x"), (3, "y", "x")], "a int, b string, c string")
+    for rows_in in (df, df.limit(0)):
+        mine = quality.report_alerts(quality.quality_report(rows_in, "s")).drop("stage")
+        assert rows(mine) == rows(quality.threshold_alerts(rows_in))

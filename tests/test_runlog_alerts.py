@@ -180,3 +180,10 @@ def test_lag_must_last(spark):
     events = spark.createDataFrame([("q", START + timedelta(seconds=s)) for s in (0, 600, 1201)], "q string, ts timestamp")
     got = alerts.lag_held(events, "q", "ts", until=F.lit(START + timedelta(seconds=1500)))
     assert rows(got, "gap_seconds") == [(601.0,)]
+
+
+def test_spans_of_broken_steps_are_refused(spark):
+    events = spark.createDataFrame([("e", at("2024-01-01 00:00:10"))], "kind string, ts timestamp")
+    with pytest.raises(ValueError, match="multiple"):
+        alerts.trailing_counts(events, ["kind"], "ts", 90, 60)
+    assert alerts.trailing_counts(events, ["kind"], "ts", 90, 30).count() == 3

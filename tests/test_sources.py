@@ -72,6 +72,10 @@ class Recorder:
     def save(self):
         self.told["saved"] = True
 
+    def repartition(self, parts):
+        self.told["parts"] = parts
+        return self
+
     # as a session and as a frame
     @property
     def read(self):
@@ -112,10 +116,14 @@ def test_table_reads_are_split():
 def test_append_and_refresh():
     frame = Recorder()
     writers.append_table(frame, "gold", DB)
-    assert frame.told["numPartitions"] == "8"
+    assert "numPartitions" not in frame.told and "parts" not in frame.told
+    writers.append_table(frame, "gold", DB, connections=8)
+    assert frame.told["parts"] == 8 and "numPartitions" not in frame.told
     assert frame.told["mode"] == "append" and frame.told["dbtable"] == "gold" and frame.told["saved"]
     spark = Recorder()
-    writers.refresh_table(spark, "gold", DB, DB)
+    split = {"partitionColumn": "id", "lowerBound": "0", "upperBound": "9", "numPartitions": "4"}
+    writers.refresh_table(spark, "gold", DB, DB, split=split, staging="gold_next")
+    assert spark.told["numPartitions"] == "4" and spark.told["fetchsize"] == "10000" and spark.told["dbtable"] == "gold_next"
     assert spark.told["dropped"] == ("id", "created_at")
     assert spark.told["mode"] == "overwrite" and spark.told["truncate"] == "true"
 
@@ -165,11 +173,23 @@ def test_failing_feeds_are_empty(spark, landed, tmp_path):
         "covid_brasil": str(tmp_path / "nowhere.json"),
         "covid_historico": landed("fine", {"timeline": {"cases": {"1/1/21": 5}}}),
     }
-    loaded = feeds.load_feeds(spark, paths)
+    loads = feeds.load_feeds(spark, paths)
+    loaded = {name: load.rows for name, load in loads.items()}
     assert {name: df.count() for name, df in loaded.items()} == {
         "estados_ibge": 0, "covid_brasil": 0, "covid_historico": 1,
     }
-    assert feeds.load_feeds(spark, {})["estados_ibge"].columns == ["estado_id", "sigla", "nome_estado", "regiao"]
+    assert [(load.broken, load.failure is None) for load in loads.values()] == [(1, True), (0, False), (0, True)]
+    assert feeds.load_feeds(spark, {})["estados_ibge"].rows.columns == ["estado_id", "sigla", "nome_estado", "regiao"]
     written = feeds.land_feeds(loaded, str(tmp_path / "bronze"))
     assert list(written) == ["covid_historico"] and written["covid_historico"].endswith("api_covid_historico.json")
     assert rows(spark.read.json(written["covid_historico"]), "data", "casos_acumulados") == [("1/1/21", 5)]
+
+
+def test_a_broken_record_does_not_empty_a_feed(spark, tmp_path):
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    for i, body in enumerate(['{"country": "A", "cases": 1}', '{"country": "B", "ca', '{"country": "C", "cases": 3}']):
+        (folder / f"{i}.json").write_text(body)
+    load = feeds.read_feed(spark, "covid_brasil", str(folder))
+    assert rows(load.rows, "pais", "casos_total") == [("A", 1), ("C", 3)]
+    assert (load.broken, load.failure) == (1, None)

@@ -29,11 +29,9 @@ def arrive(spark, folder, *bodies):
 def test_broker_options():
     options = envelopes.broker_options("h:9092", "events")
     assert options == {
-        "kafka.bootstrap.servers": "h:9092", "subscribe": "events", "startingOffsets": "latest",
-        "failOnDataLoss": "false", "maxOffsetsPerTrigger": "10000", "kafka.session.timeout.ms": "30000",
-        "kafka.request.timeout.ms": "40000",
+        "kafka.bootstrap.servers": "h:9092", "subscribe": "events", "startingOffsets": "earliest", "failOnDataLoss": "true",
     }
-    assert "maxOffsetsPerTrigger" not in envelopes.broker_options("h", "t", max_offsets_per_trigger=None)
+    assert envelopes.broker_options("h", "t", max_offsets_per_trigger=9)["maxOffsetsPerTrigger"] == "9"
 
 
 def test_parse_enforces_the_schema(spark, tmp_path):
@@ -98,6 +96,29 @@ def test_complete_result_is_versioned(spark, tmp_path):
     assert table.read(version=versions[-1]).count() == 5 and table.read().count() == 10
 
 
+def test_complete_sink_restarts(spark, tmp_path):
+    """After a crash between the table's commit and the batch's, and with a new checkpoint."""
+    folder, out, marks = (str(tmp_path / n) for n in ("in", "out", "marks"))
+    schema = arrive(spark, folder, message(0))
+
+    def once(name):
+        stream = envelopes.parse(envelopes.read_files(spark, folder, schema))
+        sinks.drain(sinks.replace_result(windows.sliding(stream), out, marks, name, every=None))
+        return VersionedTable(spark, out)
+
+    first = once("agg").latest()
+    commits = sorted((tmp_path / "marks" / "agg" / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    for crc in (tmp_path / "marks" / "agg" / "commits").glob(f".{commits[-1].name}.crc"):
+        crc.unlink()
+    commits[-1].unlink()
+    again = once("agg")
+    assert again.latest() == first and again.read().count() == 5
+    arrive(spark, folder, message(0, "y"))
+    assert once("agg").read().count() == 10
+    fresh = once("anew")
+    assert fresh.latest() > first and fresh.read().count() == 10
+
+
 def test_layer_sink_keeps_a_checkpoint_per_table(spark, tmp_path):
     folder, layout = str(tmp_path / "in"), LakeLayout(str(tmp_path / "lake"))
     schema = arrive(spark, folder, message(0), message(24 * 60))
@@ -120,6 +141,16 @@ def test_console_and_progress(spark, tmp_path):
     assert query.exception() is None and (lag == 600.0 or newest)
 
 
+def test_unreadable_stream_part_is_an_error(spark, tmp_path):
+    stored = spark.createDataFrame([(1, "a")], "k int, v string")
+    (tmp_path / "empty").mkdir()
+    assert rows(sinks.with_stream(spark, stored, str(tmp_path / "empty"))) == [(1, "a")]
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "x.parquet").write_text("no parquet")
+    with pytest.raises(Exception, match="(?i)parquet|footer"):
+        sinks.with_stream(spark, stored, str(tmp_path / "bad")).count()
+
+
 def test_batch_goes_on_without_the_stream(spark, tmp_path):
     stored = spark.createDataFrame([(1, "a")], "k int, v string")
     assert rows(sinks.with_stream(spark, stored, str(tmp_path / "none"))) == [(1, "a")]

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from carelake.sources import tables, writers
@@ -70,16 +71,29 @@ def test_history_merge(spark, tmp_path):
     assert t.read().count() == 3
 
 
-def test_uncommitted_output_is_ignored(spark, table):
+def test_uncommitted_output_is_not_read_and_not_replaced(spark, table):
     spark.range(5).write.parquet(f"{table.root}/data/version=3")
     assert table.read().count() == 4
-    assert table.compact() == 3
+    with pytest.raises(AnalysisException, match="PATH_ALREADY_EXISTS"):
+        table.compact()
     assert table.read().count() == 4
 
 
+def test_own_column_is_refused(spark, tmp_path):
+    with pytest.raises(ValueError, match="version"):
+        VersionedTable(spark, str(tmp_path / "v")).save(spark.range(2).withColumnRenamed("id", "version"))
+
+
+def test_a_named_commit_is_made_once(spark, tmp_path):
+    t = VersionedTable(spark, str(tmp_path / "w"))
+    assert t.commit(spark.range(3), "X", token="a") == t.commit(spark.range(3), "X", token="a") == 0
+    assert t.commit(spark.range(5), "X", token="b") == 1
+    assert t.commits().count() == 2 and t.read(0).count() == 3 and t.read().count() == 5
+
+
 def test_partitioned_versions_keep_column_order(spark, tmp_path):
-    t = VersionedTable(spark, str(tmp_path / "p"))
-    t.save(spark.createDataFrame([("x", 1), ("y", 2)], "part string, v int"), partition_by=["part"])
+    t = VersionedTable(spark, str(tmp_path / "p"), partition_by=["part"])
+    t.save(spark.createDataFrame([("x", 1), ("y", 2)], "part string, v int"))
     assert t.read().columns == ["part", "v"]
     assert rows(t.read()) == [("x", 1), ("y", 2)]
 
@@ -89,11 +103,16 @@ def test_retention(spark, table, tmp_path):
     now = "2024-01-16 12:00:00"
     # version 2 was current until the 10th, so it is needed to read the table as of the 9th, 12:00
     assert rows(table.expired(168, now), "version") == [(0,), (1,)]
-    kept = table.retain_into(str(tmp_path / "kept"), 168, now)
-    assert set(rows(kept.read())) == set(rows(table.read()))
-    assert rows(kept.commits(), "version") == rows(table.retained(168, now), "version")
-    with pytest.raises(LookupError):
-        kept.read(version=0)
+    before = set(rows(table.read()))
+    files = lambda v: [p for p in (tmp_path / "t" / "data" / f"version={v}").rglob("*.parquet")]
+    kept = {v: files(v) for v in (2, 3)}
+    assert table.retain(168, now) == table.retain(168, now) == 2
+    assert set(rows(table.read())) == before and table.read(version=2).count() == 4
+    assert {v: files(v) for v in (2, 3)} == kept
+    assert all(spark.read.schema("k int").parquet(f"{table.root}/data/version={v}").count() == 0 for v in (0, 1))
+    for gone in (0, 1):
+        with pytest.raises(LookupError):
+            table.read(version=gone)
 
 
 def test_retention_keeps_the_base_of_a_young_append(spark, tmp_path):
@@ -109,26 +128,38 @@ def test_retention_keeps_the_base_of_a_young_append(spark, tmp_path):
 def test_compaction_merges_files(spark, tmp_path):
     t = VersionedTable(spark, str(tmp_path / "c"))
     t.save(spark.range(1000).repartition(16))
-    before = len(t.read().inputFiles())
+    files = lambda: t.read().select(F.input_file_name()).distinct().count()
+    before = files()
     t.compact()
-    assert (before, len(t.read().inputFiles()), t.read().count()) == (16, 1, 1000)
+    assert (before, files(), t.read().count()) == (16, 1, 1000)
 
 
-def test_clustering_narrows_files_on_every_column(spark, tmp_path):
+def test_clustering_narrows_files(spark, tmp_path):
+    """Ten columns, text of equal beginnings first: ranges of files follow each other."""
     df = spark.range(20_000).select(
-        (F.col("id") * 7919 % 1000).alias("a"), (F.col("id") * 104729 % 997).alias("b"), F.col("id").cast("string").alias("s")
+        F.format_string("PAC-%09d", F.col("id") * 7919 % 10_007).alias("s"), *[(F.col("id") * (104729 + i) % 997).alias(f"c{i}") for i in range(9)]
     )
     t = VersionedTable(spark, str(tmp_path / "z"))
-    t.save(df)
-    t.cluster(["a", "b"], files=16)
+    t.save(df.repartition(8))
+    t.cluster(df.columns, files=16)
     stored = t.read()
-    assert rows(stored.groupBy().agg(F.count("*"), F.sum("a"), F.sum("b"))) == rows(df.groupBy().agg(F.count("*"), F.sum("a"), F.sum("b")))
-    spans = stored.groupBy(F.input_file_name()).agg(
-        (F.max("a") - F.min("a")).alias("a"), (F.max("b") - F.min("b")).alias("b"), F.count("*").alias("n")
-    ).collect()
-    assert len(spans) == 16
-    for column in ("a", "b"):
-        assert sum(r[column] for r in spans) / 16 < 500
+    sums = [F.count("*"), F.sum("c0"), F.sum("c8"), F.sum(F.hash("s"))]
+    assert rows(stored.groupBy().agg(*sums)) == rows(df.groupBy().agg(*sums))
+    spans = rows(stored.groupBy(F.input_file_name().alias("f")).agg(F.min("s").alias("a"), F.max("s").alias("b")), "a", "b")
+    assert len(spans) == 16 and all(one[1] <= two[0] for one, two in zip(spans, spans[1:]))
+
+
+def test_upsert_rewrites_touched_partitions_only(spark, tmp_path):
+    path = tmp_path / "u"
+    spark.createDataFrame([("a", 1, "x"), ("a", 2, "x"), ("b", 1, "x"), (None, 1, "x")], "p string, k int, v string").write.partitionBy("p").parquet(str(path))
+    untouched = sorted((path / "p=b").iterdir())
+    source = spark.createDataFrame([("a", 2, "y"), ("c", 5, "z")], "p string, k int, v string")
+    tables.upsert_partitions(spark, str(path), source, ["p", "k"], ["p"])
+    stored = spark.read.schema("k int, v string, p string").parquet(str(path))
+    assert set(rows(stored, "p", "k", "v")) == {("a", 1, "x"), ("a", 2, "y"), ("b", 1, "x"), (None, 1, "x"), ("c", 5, "z")}
+    assert sorted((path / "p=b").iterdir()) == untouched
+    with pytest.raises(ValueError):
+        tables.upsert_partitions(spark, str(path), source, ["k"], ["p"])
 
 
 def test_clustering_splits_a_dominant_value(spark):
