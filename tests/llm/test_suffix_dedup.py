@@ -74,7 +74,7 @@ def planted(seed):
     return rows
 
 
-@pytest.mark.parametrize("crowd", [8_000_000, 1_000])
+@pytest.mark.parametrize("crowd", [1_500_000, 1_000])
 def test_planted_passages(spark, docs_of, monkeypatch, crowd):
     monkeypatch.setattr(suffix_dedup, "CROWD", crowd)
     rows = planted(crowd)
