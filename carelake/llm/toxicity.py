@@ -13,7 +13,7 @@ the sample. All documents are scored, whole, by a table of weights that is sent
 
 Defined results: null counts as the empty text, which has only the score 0; labels of documents that
 do not exist and labels without a grade are not used; without a toxic or without a clean label there
-is no model, and an error says so; every row, repeated or not, is scored by itself; an empty table of
+is no model, and an error says so; where no feature is kept all documents have score 0; every row, repeated or not, is scored by itself; an empty table of
 documents gives no rows. Other columns are not read.
 """
 
@@ -33,8 +33,9 @@ from pyspark.sql import functions as F
 GRADES = 3
 #: bounds of what is used for fitting
 SAMPLE, MOST_FEATURES = 20_000, 50_000
-#: a feature is kept from so many toxic documents and so many standard errors
-LEAST_DOCUMENTS, LEAST_ERRORS, LEAST_LOG_ODDS = 4, 4.0, 2.0
+#: a feature is kept from so many toxic documents, so many standard deviations of their number above
+#: what chance gives, and such odds
+LEAST_DOCUMENTS, LEAST_ERRORS, LEAST_LOG_ODDS = 4, 6.0, 2.0
 BEGINNINGS = range(4, 9)
 #: words a task remembers
 CACHED_WORDS = 500_000
@@ -114,9 +115,11 @@ def _feature_counts(sample: DataFrame) -> DataFrame:
 
 def kept_features(sample: DataFrame, toxic: int, clean: int) -> list[str]:
     odds = F.log((F.col("toxic") + 0.5) / (toxic - F.col("toxic") + 0.5)) - F.log((F.col("clean") + 0.5) / (clean - F.col("clean") + 0.5))
-    error = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
+    rate = toxic / (toxic + clean)
+    by_chance = (F.col("toxic") + F.col("clean")) * rate
+    errors = (F.col("toxic") - by_chance) / F.sqrt(by_chance * (1 - rate))
     counted = _feature_counts(sample).where(F.col("toxic") >= LEAST_DOCUMENTS)
-    told = counted.select("feature", odds.alias("odds"), (odds / error).alias("errors"))
+    told = counted.select("feature", odds.alias("odds"), errors.alias("errors"))
     told = told.where((F.col("odds") >= LEAST_LOG_ODDS) & (F.col("errors") >= LEAST_ERRORS))
     return [r["feature"] for r in told.orderBy(F.col("errors").desc(), "feature").limit(MOST_FEATURES).collect()]
 
@@ -163,8 +166,6 @@ def trained(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
         raise ValueError("labels need toxic and clean documents")
     names = kept_features(sample, sizes[1], sizes[0])
     number = {f: i for i, f in enumerate(names)}
-    if not names:
-        raise ValueError("no feature speaks for toxicity")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -162,7 +162,7 @@ def test_toxicity_of_odd_rows(spark, docs_of):
     bad = ["vile scum here", "such scum and trash", "trash talk", "scum trash vile"]
     rows = [(i, f"{bad[i % 4]} plain words number {i}") for i in range(40)] + [(100 + i, f"plain words number {i} and more") for i in range(80)]
     labels = spark.createDataFrame([(i, int(i < 100)) for i, _ in rows] + [(None, 1), (5, None), (9999, 1), (3, 1)], "doc_id bigint, toxic int")
-    docs = docs_of(rows + [(500, None), (501, ""), (502, "SCUM scum " * 30_000), (None, "trash"), (502, "scum")]).selectExpr("*", "1 AS toxic", "2 AS score")
+    docs = docs_of(rows + [(500, None), (501, ""), (502, "SCUM scum " * 30_000), (None, "trash scum"), (502, "vile scum trash")]).selectExpr("*", "1 AS toxic", "2 AS score")
     model = toxicity.trained(docs.drop("toxic", "score"), labels)
     got = toxicity.severity(docs, model).collect()
     assert len(got) == len(rows) + 5
