@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from carelake.llm.common import stored
 
 
+#: pairs written to one file
+ROWS_A_FILE = 500_000
+
+
 def _large_star(pairs: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is linked to the smallest one around the node."""
     both = pairs.union(pairs.select("b", "a"))
@@ -37,7 +41,9 @@ def connected(pairs: DataFrame) -> DataFrame:
     )
     mark = _mark(held)
     while mark[0]:
-        held = stored(_small_star(_large_star(held)), "pairs")
+        # few files for few pairs; a round never makes more of them
+        files = 1 + mark[0] // ROWS_A_FILE
+        held = stored(_small_star(_large_star(held)).repartition(files), "pairs")
         mark, before = _mark(held), mark
         if mark == before:
             break

@@ -212,7 +212,7 @@ def near_duplicates(
     if not 0 <= max_bits <= 5:
         raise ValueError("max_bits must be from 0 to 5")
     marked = stored(fingerprints(docs, length, text_col, [id_col, *carried]), "fingerprints")
-    prints = stored(marked.groupBy("_fp").agg(F.min(id_col).alias("_least")), "prints")
+    prints = marked.groupBy("_fp").agg(F.min(id_col).alias("_least"))
     roots = connected(links(prints.select("_fp"), max_bits))
     groups = prints.join(roots, prints["_fp"] == roots["node"], "left").select(
         "_fp", "_least", F.coalesce("root", "_fp").alias("_root")
