@@ -176,17 +176,17 @@ SEGMENTS = "part int, place bigint, n_ids bigint, content binary, ids array<bigi
 def _segments(vocabulary: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = library_encoder(vocabulary)
-        place = 0
+        place = waiting = 0
         held: list[np.ndarray] = []
         docs: list[int | None] = []
         sizes: list[int] = []
 
         def flush(part: int) -> pa.RecordBatch:
-            nonlocal place
+            nonlocal place, waiting
             ids = np.concatenate(held)
             row = [[part], [place], [len(ids)], [packed(ids)], [list(docs)], [list(sizes)]]
             kinds = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-            place += len(ids)
+            place, waiting = place + len(ids), 0
             held.clear(), docs.clear(), sizes.clear()
             names = ["part", "place", "n_ids", "content", "ids", "sizes"]
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds)], names=names)
@@ -204,7 +204,8 @@ def _segments(vocabulary: str, end_id: int):
                     held.append(np.append(token[stop - size : stop], end_id))
                     docs.append(doc)
                     sizes.append(size + 1)
-                    if sum(sizes) >= SEGMENT:
+                    waiting += size + 1
+                    if waiting >= SEGMENT:
                         yield flush(part)
         if docs:
             yield flush(part)
