@@ -42,7 +42,7 @@ RUNS = ("  ", "\n\n", " \n", "\n ", *map(chr, [9, 11, 12, 13, 28, 29, 30, 31, 13
 SETTLED = regex.compile(r"[\u0000-՗‐-⁞₠-₹぀-龥가-힣]*")
 NEVER = np.iinfo(np.int64).max
 #: words and tokens held by a task's cache before it starts anew
-CACHED_WORDS, CACHED_TOKENS = 600_000, 8_000_000
+CACHED_WORDS, CACHED_TOKENS = 200_000, 3_000_000
 #: bytes of a word up to which words are merged in step
 LONG_WORD = 128
 #: text put into one output batch
