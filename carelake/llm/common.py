@@ -27,6 +27,14 @@ def n_words(text: Column) -> Column:
     return F.regexp_count(whole(text), F.lit(WORD)).cast("long")
 
 
+def plainly_named(df: DataFrame) -> tuple[DataFrame, dict[str, str], list[Column]]:
+    """The rows under names that clash with none of the operators' own, the new name of each column,
+    and the columns under their old names, to select in the end."""
+    new = [f"_c{i}" for i in range(len(df.columns))]
+    back = [F.col(n).alias(name) for n, name in zip(new, df.columns)]
+    return df.toDF(*new), dict(zip(df.columns, new)), back
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows, written below the shared folder and read again, so that nothing before is ever
     computed twice and a lost executor repeats no earlier step."""

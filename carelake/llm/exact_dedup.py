@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from carelake.llm.common import whole
+from carelake.llm.common import plainly_named, whole
 
 
 def content_hash(text: Column) -> Column:
@@ -34,7 +34,11 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str, normalise: Callable | No
 def _collisions(keyed: DataFrame) -> DataFrame:
     """Different texts of one hash, numbered from 1: `_hash`, `_text`, `_variant`."""
     repeated = keyed.groupBy("_hash").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_hash")
-    texts = keyed.select("_hash", "_text").join(repeated, "_hash", "left_semi").groupBy("_hash", "_text").count()
+    # grouped as one value, which is no key of the join: copies collapse in each task before they are
+    # shuffled again, and Spark may split the join's large partitions
+    pair = F.struct("_hash", "_text").alias("_pair")
+    several = keyed.select("_hash", "_text").join(repeated, "_hash", "left_semi")
+    texts = several.groupBy(pair).agg(F.count(F.lit(1)).alias("_n")).select("_pair._hash", "_pair._text")
     clashing = texts.groupBy("_hash").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_hash")
     by_text = Window.partitionBy("_hash").orderBy("_text")
     return (
@@ -90,10 +94,11 @@ def classified(
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest") -> DataFrame:
     """The rows that stay, with all their columns."""
+    docs, named, back = plainly_named(docs)
+    id_col, text_col = named[id_col], named[text_col]
     marks = classified(docs, id_col, text_col, keep)
     decided = marks.where("group_size > 1").groupBy(F.col(id_col).alias("_id"), F.unhex("text_sha256").alias("_sha"))
     decided = decided.agg(F.max("kept").alias("_kept"), F.count(F.lit(1)).alias("_rows"))
-    columns = docs.columns
     signed = docs.withColumn("_sha", F.unhex(F.sha2(whole(text_col), 256)))
     same = F.col(id_col).eqNullSafe(F.col("_id")) & (signed["_sha"] == F.col("_sha_of"))
     decided = decided.withColumnRenamed("_sha", "_sha_of")
@@ -101,6 +106,6 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rest = signed.join(dropped, same, "left_anti")
     repeated = decided.where(F.col("_kept") & (F.col("_rows") > 1))
     if repeated.isEmpty():
-        return rest.select(*columns)
+        return rest.select(*back)
     once = rest.join(repeated, same, "left_semi").dropDuplicates([id_col, "_sha"])
-    return rest.join(repeated, same, "left_anti").unionByName(once).select(*columns)
+    return rest.join(repeated, same, "left_anti").unionByName(once).select(*back)

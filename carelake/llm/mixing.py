@@ -30,7 +30,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from carelake.llm.common import n_words, row_copies, stored, whole
+from carelake.llm.common import n_words, plainly_named, row_copies, stored, whole
 
 MOST_SOURCES = 100_000
 BINS = 1024
@@ -234,7 +234,8 @@ def mixed(
 ) -> DataFrame:
     """The documents as training takes them: every column, as many rows as copies, in the order of
     their positions."""
-    columns = docs.columns
+    docs, named, back = plainly_named(docs)
+    id_col, source_col, text_col = named[id_col], named[source_col], named[text_col]
     key = F.md5(whole(text_col))
     plan = curriculum(docs, schedule, most, id_col, source_col, n_words(F.col(text_col)), seed, key)
     # equal rows share all their positions
@@ -247,4 +248,4 @@ def mixed(
     if not repeated.isEmpty():
         signed = signed.dropDuplicates([id_col, source_col, "_md5"])
     taken = signed.join(merged, same).withColumn("_position", F.explode("_positions"))
-    return by_position(taken, "_position", "_md5").select(*columns)
+    return by_position(taken, "_position", "_md5").select(*back)

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelake.llm.common import stored, whole
+from carelake.llm.common import plainly_named, stored, whole
 from carelake.llm.components import connected
 
 SEED = 42
@@ -228,6 +228,8 @@ def near_duplicates(
 def one_of_each(docs: DataFrame, length: int = 3, max_bits: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs`, one of each group: the one with the smallest id (null last), and among
     those the smallest hash of the text. All columns are kept."""
+    docs, named, back = plainly_named(docs)
+    id_col, text_col = named[id_col], named[text_col]
     signed = docs.withColumn("_sha", F.unhex(F.sha2(whole(text_col), 256)))
     groups = near_duplicates(signed, length, max_bits, id_col, text_col, ("_sha",))
     # a group is named by its smallest id; groups without any id by their fingerprints
@@ -242,7 +244,7 @@ def one_of_each(docs: DataFrame, length: int = 3, max_bits: int = 3, id_col: str
         F.col(id_col).alias("_twice_id"), F.col("_sha").alias("_twice_sha")
     )
     if repeated.isEmpty():
-        return rest.select(*docs.columns)
+        return rest.select(*back)
     again = signed[id_col].eqNullSafe(repeated["_twice_id"]) & (signed["_sha"] == repeated["_twice_sha"])
     once = rest.join(repeated, again, "left_semi").dropDuplicates([id_col, "_sha"])
-    return rest.join(repeated, again, "left_anti").unionByName(once).select(*docs.columns)
+    return rest.join(repeated, again, "left_anti").unionByName(once).select(*back)

@@ -64,8 +64,8 @@ ODD = [(1, None, None), (1, None, None), (2, "", "z"), (3, "a b c", "é"), (3, "
 
 
 def test_odd_rows(docs_of):
-    docs = docs_of(ODD).selectExpr("*", "1 AS _size", "2 AS taken")
-    plan = mixing.curriculum(docs.drop("_size"), schedule).collect()
+    docs = docs_of(ODD).selectExpr("*", "1 AS _size", "2 AS taken", "3 AS _md5")
+    plan = mixing.curriculum(docs, schedule).collect()
     assert Counter((r["_id"], r["_source"], r["_size"]) for r in plan) == Counter((d, s, len((t or "").split())) for d, t, s in ODD)
     by_source = defaultdict(set)
     for r in plan:

@@ -74,9 +74,10 @@ def test_exact_groups(docs_of, keep, bits):
 
 
 def test_kept_rows_have_all_columns(docs_of):
-    docs = docs_of(ODD).selectExpr("*", "5 AS kept", "6 AS group_size")
+    docs = docs_of(ODD).selectExpr("*", "5 AS kept", "6 AS group_size", "7 AS _sha", "8 AS _id")
     kept = exact_dedup.deduplicated(docs)
     assert kept.columns == docs.columns
+    assert {(r["kept"], r["_sha"], r["_id"]) for r in kept.collect()} == {(5, 7, 8)}
     assert sorted((r["doc_id"], r["text"] or "") for r in kept.collect() if len(r["text"] or "") < 9) == [(1, ""), (3, "a"), (5, "b")]
     assert exact_dedup.classified(docs_of([])).count() == exact_dedup.deduplicated(docs_of([])).count() == 0
 

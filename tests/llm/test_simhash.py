@@ -97,7 +97,7 @@ def test_crowded_buckets_lose_no_link(spark, monkeypatch, crowd):
 def test_one_of_each_keeps_all_columns(docs_of):
     same = " ".join(f"word{i}" for i in range(200))
     rows = [(5, same), (3, same + " more"), (3, same + " more"), (8, "quite other words in this text"), (None, same)]
-    kept = simhash.one_of_each(docs_of(rows).selectExpr("*", "doc_id AS component_id", "text AS fingerprint"))
+    kept = simhash.one_of_each(docs_of(rows).selectExpr("*", "doc_id AS component_id", "text AS fingerprint", "1 AS _fp", "2 AS _sha"))
     assert sorted((r["doc_id"], r["component_id"]) for r in kept.collect()) == [(3, 3), (8, 8)]
 
 
