@@ -35,9 +35,9 @@ from carelake.llm.common import stored, whole
 
 GRAM = 64
 #: bytes of an anchor's segments from which its windows are counted instead of sorted
-CROWD = 8_000_000
+CROWD = 1_500_000
 #: segment bytes sorted together
-BATCH = 3_000_000
+BATCH = 800_000
 #: window starts handled at a time; places within must fit the low bits of a gram's hash
 STRETCH, LOW = 1 << 19, np.uint64((1 << 20) - 1)
 
