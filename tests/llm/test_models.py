@@ -125,6 +125,26 @@ def test_bands_reject_noise_and_keep_prose(spark, docs_of):
     assert quality.judged(docs_of([]), ["doc_id"]).count() == quality.accepted(docs_of([])).count() == 0
 
 
+def test_copies_move_neither_model_nor_band(spark, docs_of):
+    rng = random.Random(6)
+    vocabulary = ["".join(rng.choices(["the", "an", "er", "on", "re"], k=rng.randint(1, 3))) for _ in range(300)]
+    prose = [(i, " ".join(rng.choices(vocabulary, k=rng.randint(60, 300)))) for i in range(300)]
+    copies = [(1000 + i, prose[0][1]) for i in range(450)]  # with them, one text is well over half of the rows
+    counts = lambda rows: {r["code"]: r["n"] for r in quality.counted(docs_of(rows).repartition(3)).collect()}
+    assert counts(prose + copies) == counts(prose)
+    judged = lambda rows: {r["doc_id"]: r["kept"] for r in quality.judged(docs_of(rows), ["doc_id"]).collect()}
+    alone, among = judged(prose), judged(prose + copies)
+    assert len(among) == 750 and {d: among[d] for d in alone} == alone
+    assert sum(alone.values()) >= 295 and {among[1000 + i] for i in range(450)} == {alone[0]}
+
+
+def test_third_of_all_rows_is_one_text(spark, small, texts):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    one = docs.where(F.col("doc_id") == texts[0][0]).crossJoin(spark.range(len(texts) // 2)).drop("id")
+    judged = lambda df: dict(map(tuple, quality.judged(df, ["doc_id"]).select("doc_id", "kept").collect()))
+    assert judged(docs.union(one)) == judged(docs)
+
+
 def test_held_out_toxicity(spark):
     folder = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
