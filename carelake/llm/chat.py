@@ -1,23 +1,24 @@
-"""Chat formatting: schema fingerprints select declarative mappings to canonical turns.
+"""Chat formatting: field paths select declarative mappings to canonical turns.
 
-The nested field paths of a record are hashed; the hash selects a layout, which says by field paths
-where turns, roles and texts are. Tables with typed columns have one fingerprint, taken from their
-schema; records in JSON text have one each, taken from the fields they really have. Canonical turns
-are then written with control strings around them. Inside roles and texts every character that
+The nested field paths of a record select a layout, which says by field paths where turns, roles and
+texts are: of the layouts whose paths are all there the one with the most, and of these the first in
+`LAYOUTS`, so that further fields do not matter, whatever their names. Tables with typed columns have
+the paths of their schema; records in JSON text have their own each, those of null values and of all
+elements of lists among them. Canonical turns are then written with control strings around them. Inside roles and texts every character that
 could begin a control string, and the escape character, is followed by an escape character, so no
 control string can appear there, and removing these characters gives the text back.
 
 Defined results: null texts and roles are empty; turns are in the order of turn, role, text, nulls
 first; rows with no conversation id form one conversation; records of no known layout keep their
-row, with layout "unmapped" and no turns; an empty table gives no rows. Fields that no layout names
-do not matter. A conversation is one value by its nature and has to fit into one row.
+row, with layout "unmapped" and no turns; an empty table gives no rows. A conversation is one value by its nature and has to fit into one row.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,7 +42,7 @@ def unescaped(text: Column) -> Column:
 
 @dataclass(frozen=True)
 class Layout:
-    """Where the turns are. `paths`: the field paths that make the fingerprint, `[]` for elements.
+    """Where the turns are. `paths`: the field paths that it needs, `[]` for elements.
     `turns`: (role, path) pairs for single fields. `list_path`, `role`, `text`: for lists of turns.
     `order`: for tables with a row for each turn."""
 
@@ -73,14 +74,9 @@ LAYOUTS = (
 ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 
 
-def known_paths() -> list[str]:
-    return sorted({p for layout in LAYOUTS for p in layout.paths})
-
-
-def fingerprint(paths: list[str] | tuple[str, ...]) -> str:
-    """Hash of the nested field paths that any layout names."""
-    known = set(known_paths())
-    return hashlib.md5("\n".join(sorted(set(paths) & known)).encode()).hexdigest()
+def preferred() -> list[Layout]:
+    """The layouts, those with more paths first."""
+    return sorted(LAYOUTS, key=lambda layout: -len(layout.paths))
 
 
 def schema_paths(schema: T.StructType, prefix: str = "") -> list[str]:
@@ -95,10 +91,10 @@ def schema_paths(schema: T.StructType, prefix: str = "") -> list[str]:
 
 
 def layout_of(schema: T.StructType) -> Layout:
-    """The layout of a typed table: the one with its fingerprint."""
-    mark = fingerprint(schema_paths(schema))
-    for layout in LAYOUTS:
-        if fingerprint(layout.paths) == mark:
+    """The layout of a typed table: the first preferred one whose paths it has."""
+    present = set(schema_paths(schema))
+    for layout in preferred():
+        if present.issuperset(layout.paths):
             return layout
     raise ValueError(f"no layout for the field paths {schema_paths(schema)}")
 
@@ -114,8 +110,8 @@ def _turn(role: Column, text: Column) -> Column:
     return F.struct(role.cast("string").alias("role"), F.coalesce(text.cast("string"), F.lit("")).alias("text"))
 
 
-def _from_list(layout: Layout, elements: Column) -> Column:
-    return F.transform(elements, lambda t: _turn(_role(t[layout.role]), t[layout.text])).cast(TURNS)
+def _from_list(elements: Column, role: Callable[[Column], Column], text: Callable[[Column], Column]) -> Column:
+    return F.transform(elements, lambda t: _turn(_role(role(t)), text(t))).cast(TURNS)
 
 
 def _from_fields(layout: Layout, field: Callable[[str], Column], has: Callable[[str], Column]) -> Column:
@@ -136,34 +132,43 @@ def canonical(df: DataFrame, key: str = "conv_id") -> DataFrame:
         return df.groupBy(key).agg(turns.alias("turns")).select(key, F.lit(layout.name).alias("layout"), "turns")
     if layout.list_path:
         elements = F.coalesce(F.col(layout.list_path), F.array())
-        turns = _from_list(layout, elements)
+        turns = _from_list(elements, lambda t: t[layout.role], lambda t: t[layout.text])
     else:
         turns = _from_fields(layout, F.col, lambda path: F.col(path).isNotNull())
     return df.select(key, F.lit(layout.name).alias("layout"), turns.alias("turns"))
 
 
 def canonical_json(df: DataFrame, key: str, record: str) -> DataFrame:
-    """`key`, `layout` and `turns` of records in JSON text, each by the fingerprint of its own fields."""
+    """`key`, `layout` and `turns` of records in JSON text, each by the paths of its own fields."""
     parsed = df.select(F.col(key), F.try_parse_json(F.col(record).cast("string")).alias("_record"))
 
-    def at(path: str) -> Column:
-        return F.try_variant_get("_record", "$." + path.replace("[]", "[0]"), "string")
+    def at(path: str, of: str | Column = "_record", kind: str = "string") -> Column:
+        return F.try_variant_get(of, f"$.{path}", kind)
+
+    def names(of: str | Column) -> Column:
+        """Of the fields of an object, also of null ones; none if it is no object."""
+        return F.coalesce(F.map_keys(F.try_variant_get(of, "$", "map<string,variant>")), F.array().cast("array<string>"))
+
+    def elements(path: str) -> Column:
+        return F.coalesce(at(path, kind="array<variant>"), F.array().cast("array<variant>"))
+
+    def has(path: str) -> Column:
+        above, listed, name = path.partition("[].")
+        if not listed:
+            return F.array_contains(names("_record"), path)
+        return F.exists(elements(above), lambda t: F.array_contains(names(t), name))
 
-    present = F.concat_ws("\n", *(F.when(at(p).isNotNull(), F.lit(p)) for p in known_paths()))
-    marked = parsed.withColumn("_mark", F.md5(present))
     name, turns = F.lit("unmapped"), F.lit(None).cast(TURNS)
-    for layout in LAYOUTS:
+    for layout in reversed(preferred()):
         if layout.order:
             continue
         if layout.list_path:
-            kind = f"array<struct<{layout.role}:string,{layout.text}:string>>"
-            listed = F.coalesce(F.try_variant_get("_record", f"$.{layout.list_path}", kind), F.array().cast(kind))
-            mapped = _from_list(layout, listed)
+            mapped = _from_list(elements(layout.list_path), lambda t: at(layout.role, t), lambda t: at(layout.text, t))
         else:
             mapped = _from_fields(layout, at, lambda path: at(path).isNotNull())
-        hit = F.col("_mark") == fingerprint(layout.paths)
+        hit = reduce(and_, (has(p) for p in layout.paths))
         name, turns = F.when(hit, layout.name).otherwise(name), F.when(hit, mapped).otherwise(turns)
-    return marked.select(key, name.alias("layout"), turns.alias("turns"))
+    return parsed.select(key, name.alias("layout"), turns.alias("turns"))
 
 
 def formatted(df: DataFrame, learn: tuple[str, ...] = ("assistant",)) -> DataFrame:

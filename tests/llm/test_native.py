@@ -126,6 +126,27 @@ def test_layouts_of_records(spark):
     assert said["system_prompt"][0] == ("system", "s")
 
 
+def test_null_fields_and_all_elements_select_layouts(spark):
+    records = {
+        "prompt_response": ('{"prompt":"q","response":null}', [("user", "q")]),
+        "messages": ('{"messages":[{"role":"user","content":null},{"role":"assistant","content":"a"}]}', [("user", ""), ("assistant", "a")]),
+        "turns": ('{"turns":[{"role":"user"},{"text":"a"}],"prompt":"p","output":1}', [("user", ""), ("", "a")]),
+        "instruction_input": ('{"instruction":"q","input":null,"output":"a","system":"s"}', [("user", "q"), ("assistant", "a")]),
+    }
+    df = spark.createDataFrame([(k, r) for k, (r, _) in records.items()], "key string, record string")
+    for r in chat.canonical_json(df, "key", "record").collect():
+        assert (r["layout"], [(t["role"], t["text"]) for t in r["turns"]]) == (r["key"], records[r["key"]][1])
+
+
+def test_further_columns_do_not_matter(spark):
+    rows = spark.createDataFrame([(1, 0, "user", "q"), (1, 1, "assistant", "a")], "conv_id int, turn int, role string, text string")
+    want = [tuple(r) for r in chat.canonical(rows).collect()]
+    more = rows.selectExpr("*", *(f"'x' AS {n}" for n in ("system", "prompt", "response", "input", "output", "instruction")))
+    assert [tuple(r) for r in chat.canonical(more).collect()] == want and want[0][1] == "turn_rows"
+    pairs = spark.createDataFrame([(1, "q", "a", "o")], "conv_id int, prompt string, response string, output string")
+    assert chat.canonical(pairs).first()["layout"] == "prompt_response"
+
+
 def test_unknown_schema_is_refused(spark):
     with pytest.raises(ValueError, match="no layout"):
         chat.canonical(spark.range(1).selectExpr("id AS conv_id", "'x' AS question"))
