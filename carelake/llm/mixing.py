@@ -223,6 +223,14 @@ def by_position(rows: DataFrame, position: str, *ties: str) -> DataFrame:
     return rows.orderBy(F.col(position).asc_nulls_last(), *ties)
 
 
+def _row_key(docs: DataFrame, text_col: str) -> Column:
+    """Hash of all columns: 128 bits of the text, and of the others, with their nulls, as JSON."""
+    exact = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    written = {"ignoreNullFields": "false", "timestampFormat": exact + "XXX", "timestampNTZFormat": exact}
+    others = F.struct(*(F.col(c) for c in docs.columns if c != text_col), F.col(text_col).isNull().alias("_no_text"))
+    return F.md5(F.concat(F.md5(whole(text_col)), F.to_json(others, written)))
+
+
 def mixed(
     docs: DataFrame,
     schedule: Callable[[int, str | None], Knots],
@@ -236,9 +244,9 @@ def mixed(
     their positions."""
     docs, named, back = plainly_named(docs)
     id_col, source_col, text_col = named[id_col], named[source_col], named[text_col]
-    key = F.md5(whole(text_col))
+    key = _row_key(docs, text_col)
     plan = curriculum(docs, schedule, most, id_col, source_col, n_words(F.col(text_col)), seed, key)
-    # equal rows share all their positions
+    # rows that are equal in every column share all their positions
     merged = plan.where("_copies > 0").groupBy("_id", "_source", "_key").agg(
         F.count(F.lit(1)).alias("_rows"), F.flatten(F.collect_list("_positions")).alias("_positions")
     )

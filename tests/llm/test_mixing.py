@@ -81,6 +81,15 @@ def test_odd_rows(docs_of):
     assert mixing.curriculum(docs_of([]), schedule).count() == mixing.mixed(docs_of([]), schedule).count() == 0
 
 
+def test_mixed_keeps_rows_that_differ_in_other_columns(docs_of):
+    twins = docs_of([(1, "a b c", "web")] * 4 + [(1, None, "web"), (1, "", "web")] + [(i, "w " * i, "web") for i in range(2, 9)])
+    apart = "timestamp_micros(CASE WHEN n < 2 THEN n ELSE 0 END) AS at"
+    odd = twins.selectExpr("*", "row_number() OVER (PARTITION BY doc_id, text ORDER BY doc_id) - 1 AS n").selectExpr("* EXCEPT (n)", apart, "CASE WHEN n = 2 THEN 'x' END AS left", "CASE WHEN n = 3 THEN 'x' END AS right")
+    always = lambda place, name: [(0.0, 1.0), (1.0, 1.0)]
+    got = mixing.mixed(odd, always, 1.0).collect()  # one source, each document with words once
+    assert Counter(map(tuple, got)) == Counter(tuple(r) for r in odd.collect() if (r["text"] or "").split())
+
+
 def test_odd_schedules_are_refused():
     for knots in ([(0.1, 1.0), (1.0, 1.0)], [(0.0, 1.0), (0.0, 2.0), (1.0, 1.0)], [(0.0, -1.0), (1.0, 1.0)]):
         with pytest.raises(ValueError):
