@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from carelake.functions import records, vitals
 from carelake.operators import cleaning
 from carelake.session import observed
-from conftest import at, rows
+from helpers import at, rows
 
 
 def test_clean_removes_copies_and_counts_them(people):

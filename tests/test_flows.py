@@ -5,7 +5,7 @@ from carelake import schemas
 from carelake.plans import flows
 from carelake.sources import writers
 from carelake.sources.writers import LakeLayout
-from conftest import rows
+from helpers import rows
 
 
 @pytest.fixture

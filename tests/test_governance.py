@@ -2,7 +2,7 @@ import pytest
 
 from carelake import fixed_values as fx
 from carelake.operators import governance as g
-from conftest import at, rows
+from helpers import at, rows
 
 
 @pytest.fixture(scope="module")

@@ -5,7 +5,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from carelake.operators import history, privacy
-from conftest import at, rows
+from helpers import at, rows
 
 FIELDS = "k int, name string, v int"
 T0, T1, T2 = ("2024-01-01 00:00:00", "2024-02-01 00:00:00", "2024-03-01 00:00:00")

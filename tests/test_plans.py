@@ -7,7 +7,7 @@ import pytest
 
 from carelake.plans import catalog, inputs
 from carelake.operators import cleaning, gold, history, quality
-from conftest import SMALL
+from helpers import SMALL
 
 # queries that run streams or write tables first; their result is a plain scan
 STAGED = {

@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from carelake.operators import alerts, gold, quality
-from conftest import at, rows
+from helpers import at, rows
 
 
 def test_report_of_the_sample(people):

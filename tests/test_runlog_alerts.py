@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from carelake import fixed_values as fx
 from carelake.operators import alerts, runlog
-from conftest import at, rows
+from helpers import at, rows
 
 NO_FIXTURE_CHECK = [HealthCheck.function_scoped_fixture]
 

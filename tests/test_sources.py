@@ -4,7 +4,7 @@ import pytest
 
 from carelake import schemas
 from carelake.sources import feeds, readers, writers
-from conftest import rows
+from helpers import rows
 
 
 def test_formats(spark, people, tmp_path):

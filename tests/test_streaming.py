@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from carelake.sources.tables import VersionedTable
 from carelake.sources.writers import LakeLayout
 from carelake.streaming import envelopes, sinks, windows
-from conftest import at, rows
+from helpers import at, rows
 
 START = datetime(2024, 1, 1, tzinfo=timezone.utc)
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from carelake.sources import tables, writers
 from carelake.sources.tables import VersionedTable
 from carelake.sources.writers import LakeLayout
-from conftest import at, rows
+from helpers import at, rows
 
 D = [f"2024-01-{day:02d} 00:00:00" for day in (1, 2, 9, 10, 11)]
 
