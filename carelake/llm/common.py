@@ -35,12 +35,12 @@ def plainly_named(df: DataFrame) -> tuple[DataFrame, dict[str, str], list[Column
     return df.toDF(*new), dict(zip(df.columns, new)), back
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, **options: str) -> DataFrame:
     """The rows, written below the shared folder and read again, so that nothing before is ever
     computed twice and a lost executor repeats no earlier step."""
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

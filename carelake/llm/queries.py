@@ -2,7 +2,17 @@
 
 from __future__ import annotations
 
-from carelake.llm import queries_mixing, queries_native, queries_near, queries_passages, queries_quality, queries_tokens
+from carelake.llm import (
+    queries_mixing,
+    queries_native,
+    queries_near,
+    queries_passages,
+    queries_quality,
+    queries_resampling,
+    queries_tokens,
+)
 
-QUERIES = {**queries_mixing.QUERIES, **queries_native.QUERIES, **queries_near.QUERIES, **queries_passages.QUERIES, **queries_quality.QUERIES, **queries_tokens.QUERIES}
-CHECKS = {**queries_native.CHECKS}
+_MODULES = (queries_mixing, queries_native, queries_near, queries_passages, queries_quality, queries_resampling, queries_tokens)
+
+QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
+CHECKS = {name: sql for module in _MODULES for name, sql in getattr(module, "CHECKS", {}).items()}

@@ -54,16 +54,21 @@ for _n in range(1, 16):
     _NIBBLES.append(_c)
 _DIGITS = "'123456789ABCDEF'"
 _HALF = "xor({0} >> 4, %s[CAST({0} & 15 AS INT) + 1]::BIGINT)" % _NIBBLES
-_CRC_SQL = f"""xor(4294967295, list_reduce(list_transform(regexp_extract_all(hexed, '..'),
+
+
+def crc_sql() -> str:
+    """CRC-32 of the bytes that the column `hexed` spells."""
+    return f"""xor(4294967295, list_reduce(list_transform(regexp_extract_all(hexed, '..'),
   lambda h: CAST(16 * instr({_DIGITS}, h[1]) + instr({_DIGITS}, h[2]) AS BIGINT)),
   lambda c, x: {_HALF.format(_HALF.format("xor(c, x)"))}, 4294967295::BIGINT))"""
 
+
 _SHARD_SQL = f"""
 WITH RECURSIVE keys AS (
   SELECT doc_id, coalesce(text, '') AS body, hex(body) AS hexed, strlen(body) + 1 AS size,
     row_number() OVER (ORDER BY doc_id NULLS FIRST) - 1 AS row_number, count(*) OVER () AS total FROM documents
 ), {sharding.permutation_sql("row_number", "total", SEED, "keys")}
-SELECT doc_id, CAST(size AS BIGINT) AS size, CAST({_CRC_SQL} AS BIGINT) AS text_crc32, 'rows' AS law, CAST(spot % {SHARDS} AS INT) AS shard,
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST({crc_sql()} AS BIGINT) AS text_crc32, 'rows' AS law, CAST(spot % {SHARDS} AS INT) AS shard,
   CAST(spot // {SHARDS} AS BIGINT) AS slot, CAST(NULL AS INT) AS grown_shard, row_number FROM placed
 """
 
