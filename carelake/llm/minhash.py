@@ -283,15 +283,17 @@ def _solved(groups: DataFrame, solver: Solver) -> DataFrame:
         if held:
             yield links(*given(held))
 
-    dealt = groups.select("_key", "_part", "_turn", "_node", "_payload").repartition("_key", "_part", "_turn")
-    return dealt.sortWithinPartitions("_key", "_part", "_turn").mapInArrow(run, "a bigint, b bigint")
+    # in order of the nodes, so that buckets with much in common name the same roots
+    names = ["_key", "_part", "_turn"]
+    dealt = groups.select(*names, "_node", "_payload").repartition(*names).sortWithinPartitions(*names, "_node")
+    return dealt.mapInArrow(run, "a bigint, b bigint")
 
 
-def linked_within(rows: DataFrame, solver: Solver) -> DataFrame:
+def linked_within(rows: DataFrame, sizes: DataFrame, solver: Solver) -> DataFrame:
     """Links a, b that connect, within every `_key`, all rows (`_node`, `_payload`) that the solver
-    links directly. `rows` are read more than once, so they should be stored."""
+    links directly. `sizes`: `_key`, `_n`, `_bytes` of each key. `rows` are read once more where a key
+    has more than one part."""
     weight = F.length("_payload")
-    sizes = rows.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), F.sum(weight).alias("_bytes"))
     needed = F.greatest(F.ceil(F.col("_n") / PART_ROWS), F.ceil(F.col("_bytes") / PART_BYTES))
     crowded = stored(sizes.select("_key", needed.cast("int").alias("_parts")).where("_parts > 1"), "crowded")
     own_part = F.pmod(F.xxhash64("_node"), F.coalesce("_parts", F.lit(1))).cast("int")
@@ -317,8 +319,9 @@ def linked_within(rows: DataFrame, solver: Solver) -> DataFrame:
     return first.unionByName(second)
 
 
-def _bucketed(classes: DataFrame) -> DataFrame:
-    """`_key`, `_node`, `_payload`: every class in each bucket that it may share with others."""
+def _bucketed(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """`_key`, `_node`, `_payload`: every class in each bucket that it may share with others; and the
+    sizes of the buckets that are shared."""
 
     def entered(mask):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -339,9 +342,10 @@ def _bucketed(classes: DataFrame) -> DataFrame:
 
     signs = classes.select("_node", "_signature")
     every = signs.mapInArrow(entered(None), "_key bigint")
-    shared = every.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    counted = every.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    shared = stored(counted.withColumn("_bytes", F.col("_n") * (2 * VALUES)), "shared")
     mask = classes.sparkSession.sparkContext.broadcast(bits.bit_map(shared, "_key"))
-    return signs.mapInArrow(entered(mask), "_key bigint, _node bigint, _payload binary")
+    return signs.mapInArrow(entered(mask), "_key bigint, _node bigint, _payload binary"), shared
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, length: int, text_col: str) -> DataFrame:
@@ -375,14 +379,16 @@ def near_duplicates(
         raise ValueError("percent must be from 80 to 100")
     marked = stored(signed(docs, length, id_col, text_col), "signatures")
     by_words = marked.where("_digest IS NOT NULL").groupBy("_digest")
-    classes = by_words.agg(F.min("_id").alias("_least"), F.first("_signature").alias("_signature"))
+    classes = by_words.agg(F.min("_id").alias("_least"), F.first("_signature").alias("_signature"), F.first("n_shingles").alias("_n_shingles"))
     classes = stored(classes.withColumn("_node", F.monotonically_increasing_id()), "classes")
-    near = connected(linked_within(stored(_bucketed(classes), "buckets"), near_signatures))
+    near = connected(linked_within(*_bucketed(classes), near_signatures))
     grouped = stored(near.union(near.select("root", "root").distinct()), "groups")
-    wanted = stored(classes.join(grouped, F.col("_node") == F.col("node")).select("_digest", "_node", F.col("root").alias("_key")), "wanted")
-    sets = _full_sets(docs, wanted, length, text_col)
-    rows = wanted.join(sets, "_digest").groupBy("_key", "_node").agg(F.first("_payload").alias("_payload"))
-    confirmed = connected(linked_within(stored(rows, "sets"), similar_sets(percent)))
+    wanted = classes.join(grouped, F.col("_node") == F.col("node")).select("_digest", "_node", F.col("root").alias("_key"), "_n_shingles")
+    wanted = stored(wanted, "wanted")
+    sizes = wanted.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), (8 * F.sum("_n_shingles")).alias("_bytes"))
+    sets = _full_sets(docs, wanted, length, text_col).groupBy("_digest").agg(F.first("_payload").alias("_payload"))
+    rows = stored(wanted.join(sets, "_digest").select("_key", "_node", "_payload"), "sets")
+    confirmed = connected(linked_within(rows, sizes, similar_sets(percent)))
     named = classes.join(confirmed, F.col("_node") == F.col("node"), "left")
     named = named.select("_digest", "_least", F.coalesce("root", "_node").alias("_root"))
     least = named.groupBy("_root").agg(F.min("_least").alias("component_id"))
