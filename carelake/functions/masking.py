@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from carelake import fixed_values as fx
 
+#: bytes of a block of SHA-256
+HMAC_BLOCK = 64
+
 
 def mask_cpf(value: Column) -> Column:
     """Only the middle three digits of ``ddd.ddd.ddd-dd`` stay readable."""
@@ -18,6 +23,16 @@ def keyed_hash(value: Column, key: str) -> Column:
     return F.sha2(F.concat(value.cast("string"), F.lit(key)), 256)
 
 
+def hmac_hash(value: Column, key: str | bytes) -> Column:
+    """Hex HMAC-SHA-256 of the value under a key, as RFC 2104 says: unlike ``keyed_hash``, nobody can
+    go on from a digest without the key, nor move characters between value and key."""
+    secret = key.encode() if isinstance(key, str) else key
+    secret = hashlib.sha256(secret).digest() if len(secret) > HMAC_BLOCK else secret
+    inner, outer = (bytes(b ^ pad for b in secret.ljust(HMAC_BLOCK, b"\0")) for pad in (0x36, 0x5C))
+    digest = F.sha2(F.concat(F.lit(inner), value.cast("binary")), 256)
+    return F.sha2(F.concat(F.lit(outer), F.unhex(digest)), 256)
+
+
 def mask_name(value: Column) -> Column:
     """Initial plus a six-digit digest: equal names keep equal pseudonyms."""
     digest = F.sha2(value, 256)

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carelake.columns import all_of, any_of, instant, ref, refs
+from carelake.operators import intervals
 
 VALID_FROM, VALID_TO, IS_CURRENT = "valid_from", "valid_to", "is_current"
 _ROW, _N, _KEY = "__row", "__n", "__k"
@@ -131,15 +132,20 @@ def upsert_where(
     """Upsert on any SQL condition over ``target.`` and ``source.`` columns.
 
     ``row_id`` names columns that identify one target row; they tell a row matched twice (an
-    error) from two rows matched once. Equality terms of the condition become join keys; without
-    one every pair of rows would have to be tried, so such a condition is refused.
+    error) from two rows matched once. Equality terms of the condition become join keys; so do the
+    bins of a term like ``source.a BETWEEN target.b AND target.c``. Without either, every pair of
+    rows would have to be tried, so such a condition is refused.
     """
     _check_columns(target, source)
-    if not has_equality(condition):
-        raise ValueError(f"the condition needs a term like target.a = source.b: {condition}")
     t, s, on = target.alias("target"), source.alias("source"), F.expr(condition)
+    if has_equality(condition):
+        pairs, lacking = t.join(s, on, "inner"), s.join(t, on, "left_anti")
+    elif found := range_term(condition):
+        pairs, lacking = _ranged(target, source, on, found)
+    else:
+        raise ValueError(f"the condition needs a term like target.a = source.b, or one with BETWEEN: {condition}")
     names = [f"{_KEY}{i}" for i in range(len(row_id))]
-    claims = t.join(s, on, "inner").select(
+    claims = pairs.select(
         *[ref(c, "target").alias(n) for c, n in zip(row_id, names)],
         F.struct(*refs(source.columns, "source")).alias(_ROW),
     )
@@ -148,8 +154,39 @@ def upsert_where(
     claims = claims.join(counts.toDF(*[f"{n}c" for n in names], _N), same_claim).select(*names, _ROW, _N)
     same_row = all_of(ref(c).eqNullSafe(F.col(f"{_KEY}{i}")) for i, c in enumerate(row_id))
     joined = target.join(claims, same_row, "left")
-    added = s.join(t, on, "left_anti")
-    return _applied(joined, added, target, source, update_columns, action_column)
+    return _applied(joined, lacking, target, source, update_columns, action_column)
+
+
+def _ranged(target: DataFrame, source: DataFrame, on: Column, term: tuple[str, str, str, str]) -> tuple[DataFrame, DataFrame]:
+    """Pairs that a condition with a range term joins, and source rows that it joins with nothing.
+    Values and intervals meet on equal bins; the whole condition is then checked."""
+    value_side, value, low, high = term
+    side = {"target": target, "source": source}
+    held_side = "source" if value_side == "target" else "target"
+    held = intervals.binned_intervals(side[held_side], ref(low), ref(high))
+    on_levels = intervals.levels(held)
+    values = intervals.binned_values(side[value_side], ref(value), on_levels)
+    binned = {value_side: values, held_side: held}
+    t, s = binned["target"].alias("target"), binned["source"].alias("source")
+    met = all_of(ref(c, "target") == ref(c, "source") for c in (intervals.LEVEL, intervals.BIN)) & on
+    # a row stands in several bins, so what has met is found by the rows' values
+    names = [f"{_KEY}s{i}" for i in range(len(source.columns))]
+    known = t.join(s, met).select(*[ref(c, "source").alias(n) for c, n in zip(source.columns, names)])
+    same = all_of(ref(c, "source").eqNullSafe(F.col(n)) for c, n in zip(source.columns, names))
+    return t.join(s, met), source.alias("source").join(known, same, "left_anti")
+
+
+def range_term(condition: str) -> tuple[str, str, str, str] | None:
+    """Side, value, low and high of a term ``a.value BETWEEN b.low AND b.high`` over both sides that
+    must hold for the whole condition."""
+    column = r"(target|source)\.`?(\w+)`?"
+    outside = re.sub(r"\([^()]*\)", " ", condition)
+    if re.search(r"(?i)\b(or|not|case)\b|[()]", outside):
+        return None
+    for m in re.finditer(rf"(?i)(?<![\w.+*/-]){column}\s+between\s+{column}\s+and\s+{column}(?=\s*(?:$|\band\b))", outside):
+        if re.search(r"(?i)(?:^|\band)\s*$", outside[: m.start()]) and m[3] == m[5] != m[1]:
+            return m[1], m[2], m[4], m[6]
+    return None
 
 
 def has_equality(condition: str) -> bool:

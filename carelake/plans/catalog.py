@@ -4,6 +4,7 @@ from carelake.plans import (  # noqa: F401
     batch_queries,
     governance_queries,
     history_queries,
+    layout_queries,
     ops_queries,
     source_queries,
     stream_queries,

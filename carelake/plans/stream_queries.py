@@ -6,13 +6,14 @@ from pyspark.sql import functions as F
 
 from carelake import schemas
 from carelake.columns import refs
+from carelake.operators import alerts
 from carelake.plans import inputs, staging
 from carelake.plans.inputs import VITALS_SQL
 from carelake.plans.registry import register, rounded
 from carelake.session import fresh_path
 from carelake.sources.tables import VersionedTable
 from carelake.sources.writers import LakeLayout
-from carelake.streaming import envelopes, sinks, windows
+from carelake.streaming import envelopes, progress, sinks, windows
 
 
 def _messages(spark, path):
@@ -133,3 +134,50 @@ def _(spark, sf_dir):
     envelopes.wrap(late.withColumn("timestamp", shifted), "timestamp").write.mode("append").parquet(arriving)
     run_once()
     return _flat(spark.read.parquet(out))
+
+
+# -- what running streams say of themselves --------------------------------------------------------
+
+_BATCHES = 6
+
+
+def _watched(spark, sf_dir):
+    """Events land in six files of five days each; a watched stream reads a file in each batch."""
+    landing, out, marks, log = (fresh_path(spark, kind) for kind in ("arriving", "watched", "checkpoints", "progress"))
+    events = inputs.events(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+    slot = F.least(F.floor((F.dayofmonth("ts") - 1) / 5), F.lit(_BATCHES - 1))
+    for batch in range(_BATCHES):
+        events.where(slot == batch).coalesce(1).write.mode("append").parquet(landing)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(landing)
+    with progress.ProgressTable(spark, log, {"events"}) as watched:
+        writer = stream.withWatermark("ts", "10 minutes").writeStream.queryName("events").format("parquet")
+        query = writer.option("checkpointLocation", f"{marks}/events").trigger(availableNow=True).start(out)
+        watched.drained(query)
+    return watched.rows()
+
+
+_SLOTS = (
+    f"SELECT least((day(ts) - 1) // 5, {_BATCHES - 1}) AS batch, count(*) AS rows, date_trunc('milliseconds', max(ts)) AS newest FROM events GROUP BY 1"
+)
+
+
+@register(
+    "stream_progress",
+    f"SELECT 'events' AS query, range AS batch, coalesce(rows, 0) AS rows, newest FROM range({_BATCHES}) LEFT JOIN ({_SLOTS}) s ON s.batch = range",
+)
+def _(spark, sf_dir):
+    return _watched(spark, sf_dir).select("query", "batch", "rows", "newest")
+
+
+@register(
+    "alert_running_stream_lag",
+    f"""SELECT 'events' AS query, newest AS quiet_from, next AS quiet_to, round(epoch_us(next) / 1e6 - epoch_us(newest) / 1e6, 3) AS gap_seconds
+    FROM (SELECT newest, coalesce(lead(newest) OVER (ORDER BY newest), TIMESTAMP '{inputs.EVENTS_AS_OF}') AS next FROM ({_SLOTS}))
+    WHERE epoch_us(next) - epoch_us(newest) > 600 * 1000000""",
+)
+def _(spark, sf_dir):
+    """The rule for streams that lag, over the table that a listener has written."""
+    until = F.lit(inputs.EVENTS_AS_OF).cast("timestamp")
+    spans = alerts.lag_held(_watched(spark, sf_dir).where("newest IS NOT NULL"), "query", "newest", until=until)
+    times = [F.timestamp_micros(c).alias(c) for c in ("quiet_from", "quiet_to")]
+    return rounded(spans.select("query", *times, "gap_seconds"), 3)

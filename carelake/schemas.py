@@ -75,3 +75,13 @@ COMMIT = record(
     columns="string",
     token="string",
 )
+
+PROGRESS = record(
+    query="string",
+    run="string",
+    batch="bigint",
+    at="timestamp",
+    rows="bigint",
+    newest="timestamp",
+    watermark="timestamp",
+)

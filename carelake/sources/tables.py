@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,7 @@ from carelake import schemas
 from carelake.columns import all_of, before, instant, ref, refs
 from carelake.operators import history as hist
 from carelake.session import fresh_path, observed, path_exists
+from carelake.sources import curves, widening
 from carelake.sources.writers import balanced
 
 RETENTION_HOURS = 168
@@ -79,10 +81,39 @@ class VersionedTable:
         if commit is None or version < self._kept_from():
             raise LookupError(f"{self.root} has no version {version}")
         schema = T.StructType.fromJson(json.loads(commit["columns"]))
-        with_version = T.StructType([*schema.fields, T.StructField(VERSION, T.LongType())])
-        stored = self.spark.read.schema(with_version).parquet(f"{self.root}/data")
         # versions follow each other and an unfinished one stops the next, so all of these are committed
-        return stored.where(F.col(VERSION).between(commit["base"], version)).select(*refs(schema.fieldNames()))
+        parts = [self._between(*span, schema) for span in self._spans(commit["base"], version)]
+        return reduce(DataFrame.unionAll, parts)
+
+    def _spans(self, first: int, last: int) -> list[tuple[int, int, T.StructType]]:
+        """Neighbouring versions whose files hold the same types: first, last and their columns. A
+        new column starts no span, a type that has grown does."""
+        log = self.commits().where(F.col(VERSION).between(first, last)).groupBy("columns").agg(F.min(VERSION).alias("at"))
+        spans: list[tuple[int, int, T.StructType]] = []
+        # one row for each schema that the table has had
+        for row in log.orderBy("at").collect():
+            columns = T.StructType.fromJson(json.loads(row["columns"]))
+            if spans and widening.same_types(spans[-1][2], columns):
+                spans[-1] = (spans[-1][0], last, columns)
+            else:
+                if spans:
+                    spans[-1] = (spans[-1][0], row["at"] - 1, spans[-1][2])
+                spans.append((row["at"], last, columns))
+        return spans
+
+    def _between(self, first: int, last: int, held: T.StructType, schema: T.StructType) -> DataFrame:
+        """Rows of some versions, read by the types of their files and brought to the schema's."""
+        with_version = T.StructType([*held.fields, T.StructField(VERSION, T.LongType())])
+        stored = self.spark.read.schema(with_version).parquet(f"{self.root}/data")
+        stored = stored.where(F.col(VERSION).between(first, last))
+        return stored.select(
+            *[
+                (ref(f.name) if held[f.name].dataType == f.dataType else ref(f.name).cast(f.dataType)).alias(f.name)
+                if f.name in held.names
+                else F.lit(None).cast(f.dataType).alias(f.name)
+                for f in schema
+            ]
+        )
 
     # -- writing ---------------------------------------------------------------------------------
 
@@ -108,21 +139,26 @@ class VersionedTable:
         out = df.observe(seen, *[m.alias(name) for name, m in measured.items()]).drop(*drop)
         if VERSION in out.columns:
             raise ValueError(f"{VERSION} is the table's own partition column")
+        added = append and newest is not None
+        schema = widening.widened(T.StructType.fromJson(json.loads(newest["columns"])), out.schema) if added else out.schema
+        # files hold the types of the commit, so a version is read by what its commit says
+        grown = {f.name: ref(f.name).cast(schema[f.name].dataType) for f in out.schema if schema[f.name].dataType != f.dataType}
+        out = out.withColumns(grown) if grown else out
         writer = out.write.mode("errorifexists" if token is None else "overwrite")
         writer = writer.partitionBy(*self.partition_by) if self.partition_by else writer
         writer.parquet(f"{self.root}/data/{VERSION}={version}")
         if again is not None:
             return version
         counts = observed(seen, measured, df)
-        added = append and newest is not None
-        schema = _widened(T.StructType.fromJson(json.loads(newest["columns"])), out.schema) if added else out.schema
         record = (version, newest["base"] if added else version, None, operation, self.user, counts, schema.json(), token)
         row = self.spark.createDataFrame([record], schemas.COMMIT).withColumn("timestamp", instant(as_of))
         row.coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
         return version
 
     def save(self, df: DataFrame, mode: str = "overwrite", as_of=None) -> int:
-        """Overwrite (a new snapshot) or append; appended rows may bring new columns."""
+        """Overwrite (a new snapshot) or append; appended rows may bring new columns, and types that
+        the table's grow to or that fit into them (see ``widening``). Others raise TypeError before
+        anything is written."""
         if mode not in ("overwrite", "append"):
             raise ValueError(f"unsupported mode: {mode}")
         laid = balanced(df, self.partition_by) if self.partition_by else df
@@ -182,8 +218,12 @@ class VersionedTable:
         return self.commit(balanced(self.read(), self.partition_by), "OPTIMIZE", as_of=as_of)
 
     def cluster(self, columns: Sequence[str], files: int | None = None, as_of=None) -> int:
-        """Rewrite the newest version so that filters on the columns skip files."""
-        return self.commit(clustered(self.read(), columns, files), "OPTIMIZE ZORDER", as_of=as_of)
+        """Rewrite the newest version sorted by the columns: filters on the first skip most files."""
+        return self.commit(clustered(self.read(), columns, files), "OPTIMIZE SORT", as_of=as_of)
+
+    def zorder(self, columns: Sequence[str], files: int | None = None, as_of=None) -> int:
+        """Rewrite the newest version along a curve: filters on any of the columns skip files."""
+        return self.commit(curves.zordered(self.read(), columns, files), "OPTIMIZE ZORDER", as_of=as_of)
 
     def expired(self, retention_hours: float = RETENTION_HOURS, as_of=None) -> DataFrame:
         """Commits that were no longer current when the retention time began, and that no later
@@ -247,6 +287,31 @@ def upsert_partitions(
     writer.partitionBy(*partition_by).parquet(path)
 
 
+def compact_partitions(
+    spark: SparkSession, path: str, partition_by: Sequence[str], target_bytes: int = 134_217_728
+) -> DataFrame:
+    """Rewrite those partitions of a Parquet table that hold two or more files below half the target
+    size; the files of all others stay. Returns the partitions rewritten, with their files and bytes
+    before. Sizes come from the files' metadata, no column is read for them. One writer at a time.
+    """
+    stored = spark.read.parquet(path)
+    files = stored.select(*refs(partition_by), F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_size").alias("__size"))
+    sizes = files.groupBy(*refs(partition_by), "__file").agg(F.first("__size").alias("__size"))
+    found = sizes.groupBy(*refs(partition_by)).agg(
+        F.count(F.lit(1)).alias("files"), F.sum("__size").alias("bytes"), F.count_if(F.col("__size") * 2 < target_bytes).alias("__small")
+    )
+    needy = found.where("__small >= 2").drop("__small")
+    kept = fresh_path(spark, "compacted")
+    needy.coalesce(1).write.parquet(kept)
+    needy = spark.read.schema(needy.schema).parquet(kept)
+    if not needy.isEmpty():
+        same = all_of(ref(c, "rows").eqNullSafe(ref(c, "needy")) for c in partition_by)
+        moved = stored.alias("rows").join(needy.alias("needy"), same, "left_semi")
+        writer = balanced(moved, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*partition_by).parquet(path)
+    return needy
+
+
 # -- layout --------------------------------------------------------------------------------------
 
 
@@ -257,9 +322,3 @@ def clustered(df: DataFrame, columns: Sequence[str], files: int | None = None) -
     order = [*refs(columns), F.xxhash64(*refs(df.columns))]
     ranged = df.repartitionByRange(files, *order) if files else df.repartitionByRange(*order)
     return ranged.sortWithinPartitions(*refs(columns))
-
-
-def _widened(known: T.StructType, more: T.StructType) -> T.StructType:
-    """Fields of both by name, in order of first appearance."""
-    fields = {f.name: T.StructField(f.name, f.dataType, True) for f in [*known.fields, *more.fields][::-1]}
-    return T.StructType([fields[n] for n in dict.fromkeys([*known.fieldNames(), *more.fieldNames()])])

@@ -51,3 +51,15 @@ def test_key_changes_the_hash(spark):
     df = spark.createDataFrame([("p",)], "patient_id string")
     one, two = (cleaning.mask_column(df, "patient_id", k).first()[0] for k in ("a", "b"))
     assert one != two and len(one) == 64
+
+
+def test_hmac_equals_published_vectors(spark):
+    """RFC 4231, cases 1, 2 and 6, and the null value."""
+    cases = [
+        (b"\x0b" * 20, "Hi There", "b0344c61d8db38535ca8afceaf0bf12b881dc200c9833da726e9376c2e32cff7"),
+        (b"Jefe", "what do ya want for nothing?", "5bdcc146bf60754e6a042426089575c75a003f089d2739839dec58b964ec3843"),
+        (b"\xaa" * 131, "Test Using Larger Than Block-Size Key - Hash Key First", "60e431591ee0b67f0d8a26aacbf5b77f8e0bc6213728c5140546040f0ee37f54"),
+    ]
+    for key, text, digest in cases:
+        assert spark.range(1).select(masking.hmac_hash(F.lit(text), key)).first()[0] == digest
+    assert spark.range(1).select(masking.hmac_hash(F.lit(None).cast("string"), "k")).first()[0] is None

@@ -92,5 +92,5 @@ def test_conditions_need_an_equality(spark):
     bad = ["target.v < source.v", "target.k = target.v", "target.k = source.k OR target.v = source.v", "NOT (target.k = source.k)", "target.k = 5 AND source.k = 5"]
     assert all(map(history.has_equality, good)) and not any(map(history.has_equality, bad))
     t = spark.createDataFrame([(1, 2)], "k int, v int")
-    with pytest.raises(ValueError, match="needs a term"):
+    with pytest.raises(ValueError, match="needs a term"):  # neither an equality nor a range
         history.upsert_where(t, t, "target.v < source.v", ["k"])

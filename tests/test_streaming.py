@@ -178,3 +178,28 @@ def test_panes_equal_windows(spark, events):
     for mine, theirs in zip(got, want):
         assert mine[:4] == theirs[:4] and mine[6] == theirs[6]
         assert mine[4:6] == pytest.approx(theirs[4:6])
+
+
+def test_progress_of_streams_as_a_table(spark, tmp_path):
+    from carelake.streaming import progress
+
+    log, landing, marks = str(tmp_path / "log"), str(tmp_path / "in"), str(tmp_path / "marks")
+    assert progress.read_progress(spark, log).count() == 0
+
+    def run(name, rows_in):
+        spark.createDataFrame(rows_in, "ts timestamp, v int").coalesce(1).write.mode("append").parquet(landing)
+        stream = spark.readStream.schema("ts timestamp, v int").parquet(landing).withWatermark("ts", "1 minute")
+        writer = stream.writeStream.queryName(name).format("parquet").option("checkpointLocation", f"{marks}/{name}")
+        query = writer.trigger(availableNow=True).start(str(tmp_path / name))
+        watched.drained(query)
+
+    with progress.ProgressTable(spark, log, {"mine"}) as watched:
+        run("mine", [(at("2024-01-01 10:00:00"), 1), (at("2024-01-01 09:00:00"), 2)])
+        run("other", [(at("2024-01-05 10:00:00"), 1)])
+        run("mine", [(at("2024-01-02 10:00:00"), 3)])
+    seen = rows(watched.rows(), "query", "batch", "rows", "newest")
+    assert seen == [("mine", 0, 2, at("2024-01-01 10:00:00")), ("mine", 1, 2, at("2024-01-05 10:00:00"))]
+    # a batch that ran twice is there once
+    again = spark.read.parquet(log).where("batch = 1").withColumns({"run": F.lit("second"), "at": F.col("at") + F.expr("INTERVAL 1 HOUR")})
+    again.write.mode("append").parquet(log)
+    assert rows(watched.rows().where("batch = 1"), "run") == [("second",)]
