@@ -43,6 +43,11 @@ SETTLED = re.compile("[\t\n\r -~¡-įı-˿‐-⁞₠-₹]*")
 #: the pre-tokenizer's pattern for these, a fixed value of the format
 PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_²³¹¼-¾]+|[\d²³¹¼-¾]|(?:[^\s\w]|_)+")
 
+#: the letters that stand for bytes in the model's alphabet: printable ones for themselves, the others
+#: for numbers from 256 on, in order
+_PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
+
 
 def _header(ids: int, starts: list[int]) -> bytes:
     return struct.pack("<III", MAGIC, ids, len(starts) - 1) + np.array(starts, "<u4").tobytes()
@@ -140,22 +145,25 @@ class LibraryEncoder:
         self._inner = WordCache(self._from_library, CACHED_WORDS, CACHED_TOKENS)
 
     def _from_library(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        made = [e.ids for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
+        """Tokens of pieces by the library's model; what is marked by a space goes all its way."""
+        tokens = self.library.model.tokenize
+        made = [
+            self.library.encode(word[1:], add_special_tokens=False).ids
+            if word[0] == " "
+            else [t.id for t in tokens(word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_LETTERS))]
+            for word in words
+        ]
         count = np.fromiter(map(len, made), np.int64, len(made))
         return np.fromiter((i for ids in made for i in ids), np.int64, int(count.sum())), count
 
-    def _settled(self, text: str) -> bool:
-        return (text.isascii() and text.isprintable()) or bool(SETTLED.fullmatch(text))
-
     def _pieces(self, cache: WordCache, word: str) -> Iterator[int]:
-        words = PIECES.findall(word) if self._settled(word) and not any(a in word for a in self._added) else [word]
-        return map(cache.plain.__getitem__, words)
+        return iter([cache.spaced[word[1:]]]) if word[0] == " " else map(cache.plain.__getitem__, PIECES.findall(word))
 
     def _numbered(self, cache: WordCache, text: str) -> Iterator[int]:
         # no token goes over white space; a text the rules here do not settle is encoded as one word
         if SETTLED.fullmatch(text) and not any(a in text for a in self._added):
             return map(cache.plain.__getitem__, text.lower().split())
-        return iter([cache.plain[text]] if text else [])
+        return iter([cache.spaced[text]] if text else [])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         return self._words.encode(self._numbered, texts)
