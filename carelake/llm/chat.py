@@ -1,10 +1,11 @@
-"""Chat formatting: field paths select declarative mappings to canonical turns.
-
-The nested field paths of a record select a layout, which says by field paths where turns, roles and
-texts are: of the layouts whose paths are all there the one with the most, and of these the first in
-`LAYOUTS`, so that further fields do not matter, whatever their names. Tables with typed columns have
-the paths of their schema; records in JSON text have their own each, those of null values and of all
-elements of lists among them. Canonical turns are then written with control strings around them. Inside roles and texts every character that
+"""Chat formatting: schema fingerprints select declarative mappings to canonical turns.
+
+Every nested field path of a record is hashed, and the hashes together are its schema fingerprint. A
+layout, which says by field paths where turns, roles and texts are, is chosen once for each different
+fingerprint, and records find theirs by fingerprint: of the layouts whose paths are all there the one
+with the most, and of these the first in `LAYOUTS`, so that further fields do not matter, whatever
+their names. Tables with typed columns have the paths of their schema, hence one fingerprint; records
+in JSON text have their own each, with the paths of null values and of all elements of lists. Canonical turns are then written with control strings around them. Inside roles and texts every character that
 could begin a control string, and the escape character, is followed by an escape character, so no
 control string can appear there, and removing these characters gives the text back.
 
@@ -15,10 +16,9 @@ row, with layout "unmapped" and no turns; an empty table gives no rows. A conver
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -90,13 +90,42 @@ def schema_paths(schema: T.StructType, prefix: str = "") -> list[str]:
     return found
 
 
+def fingerprint(paths: Column) -> Column:
+    """Of an array of field paths, in whatever order: the hash of their sorted hashes."""
+    return F.md5(F.array_join(F.array_sort(F.transform(F.array_distinct(paths), F.md5)), ""))
+
+
+def schema_fingerprint(schema: T.StructType) -> str:
+    """The fingerprint of a typed table, the same as of a record with these paths."""
+    hashed = sorted(hashlib.md5(p.encode()).hexdigest() for p in set(schema_paths(schema)))
+    return hashlib.md5("".join(hashed).encode()).hexdigest()
+
+
+#: layouts of the fingerprints that tables have had
+_MAPPINGS: dict[str, Layout | None] = {}
+
+
 def layout_of(schema: T.StructType) -> Layout:
-    """The layout of a typed table: the first preferred one whose paths it has."""
-    present = set(schema_paths(schema))
-    for layout in preferred():
-        if present.issuperset(layout.paths):
-            return layout
-    raise ValueError(f"no layout for the field paths {schema_paths(schema)}")
+    """The layout of a typed table, by its fingerprint; found out when the fingerprint is new."""
+    print_of = schema_fingerprint(schema)
+    if print_of not in _MAPPINGS:
+        present = set(schema_paths(schema))
+        _MAPPINGS[print_of] = next((layout for layout in preferred() if present.issuperset(layout.paths)), None)
+    layout = _MAPPINGS[print_of]
+    if layout is None:
+        raise ValueError(f"no layout for the field paths {schema_paths(schema)}")
+    return layout
+
+
+def mappings(records: DataFrame) -> DataFrame:
+    """`_fingerprint`, `layout`: a row for each different fingerprint of rows with `_paths`."""
+    each = records.groupBy("_fingerprint").agg(F.get(F.collect_set("_paths"), F.lit(0)).alias("_paths"))
+    name = F.lit("unmapped")
+    for layout in reversed(preferred()):
+        if not layout.order:
+            needed = F.array(*map(F.lit, layout.paths))
+            name = F.when(F.size(F.array_except(needed, F.col("_paths"))) == 0, layout.name).otherwise(name)
+    return each.select("_fingerprint", name.alias("layout"))
 
 
 def _role(role: Column) -> Column:
@@ -139,36 +168,39 @@ def canonical(df: DataFrame, key: str = "conv_id") -> DataFrame:
 
 
 def canonical_json(df: DataFrame, key: str, record: str) -> DataFrame:
-    """`key`, `layout` and `turns` of records in JSON text, each by the paths of its own fields."""
-    parsed = df.select(F.col(key), F.try_parse_json(F.col(record).cast("string")).alias("_record"))
+    """`key`, `layout` and `turns` of records in JSON text, each by its own fingerprint."""
+    no_names, no_elements = F.array().cast("array<string>"), F.array().cast("array<variant>")
 
     def at(path: str, of: str | Column = "_record", kind: str = "string") -> Column:
         return F.try_variant_get(of, f"$.{path}", kind)
 
-    def names(of: str | Column) -> Column:
-        """Of the fields of an object, also of null ones; none if it is no object."""
-        return F.coalesce(F.map_keys(F.try_variant_get(of, "$", "map<string,variant>")), F.array().cast("array<string>"))
-
-    def elements(path: str) -> Column:
-        return F.coalesce(at(path, kind="array<variant>"), F.array().cast("array<variant>"))
-
-    def has(path: str) -> Column:
-        above, listed, name = path.partition("[].")
-        if not listed:
-            return F.array_contains(names("_record"), path)
-        return F.exists(elements(above), lambda t: F.array_contains(names(t), name))
-
-    name, turns = F.lit("unmapped"), F.lit(None).cast(TURNS)
-    for layout in reversed(preferred()):
+    def fields(of: str | Column) -> Column:
+        return F.try_variant_get(of, "$", "map<string,variant>")
+
+    def below(name: Column, value: Column) -> Column:
+        """Paths from a field on: of the fields of all its elements, of its own fields, or else itself."""
+        elements = F.try_variant_get(value, "$", "array<variant>")
+        listed = F.flatten(F.transform(elements, lambda e: F.coalesce(F.map_keys(fields(e)), no_names)))
+        listed = F.transform(listed, lambda n: F.concat(name, F.lit("[]."), n))
+        own = F.transform(F.map_keys(fields(value)), lambda n: F.concat(name, F.lit("."), n))
+        return F.coalesce(F.when(F.size(listed) > 0, listed), F.when(F.size(own) > 0, own), F.array(name))
+
+    every = F.flatten(F.transform(F.map_entries(fields("_record")), lambda e: below(e["key"], e["value"])))
+    paths = F.array_sort(F.array_distinct(F.coalesce(every, no_names)))
+    parsed = df.select(F.col(key), F.try_parse_json(F.col(record).cast("string")).alias("_record")).withColumn("_paths", paths)
+    parsed = parsed.withColumn("_fingerprint", fingerprint(F.col("_paths")))
+    found = parsed.join(mappings(parsed.select("_fingerprint", "_paths")), "_fingerprint")
+    turns = F.lit(None).cast(TURNS)
+    for layout in preferred():
         if layout.order:
             continue
         if layout.list_path:
-            mapped = _from_list(elements(layout.list_path), lambda t: at(layout.role, t), lambda t: at(layout.text, t))
+            elements = F.coalesce(at(layout.list_path, kind="array<variant>"), no_elements)
+            mapped = _from_list(elements, lambda t: at(layout.role, t), lambda t: at(layout.text, t))
         else:
             mapped = _from_fields(layout, at, lambda path: at(path).isNotNull())
-        hit = reduce(and_, (has(p) for p in layout.paths))
-        name, turns = F.when(hit, layout.name).otherwise(name), F.when(hit, mapped).otherwise(turns)
-    return parsed.select(key, name.alias("layout"), turns.alias("turns"))
+        turns = F.when(F.col("layout") == layout.name, mapped).otherwise(turns)
+    return found.select(key, "layout", turns.alias("turns"))
 
 
 def formatted(df: DataFrame, learn: tuple[str, ...] = ("assistant",)) -> DataFrame:

@@ -6,15 +6,17 @@ rise. The expected severity is the sum of these probabilities.
 
 Features are words and their beginnings. Of the labelled documents at most `SAMPLE` are used, those
 with the smallest hash of their id; tasks count in how many toxic and clean ones a feature occurs,
-and features that speak for toxicity beyond doubt are kept, at most `MOST_FEATURES`. Labels only say
+and features that speak for toxicity beyond doubt are kept, all of them: each is in `LEAST_DOCUMENTS`
+toxic documents of the sample or more, so the sample bounds them. Labels only say
 toxic or not: a toxic document's grade is the third of toxic training documents, ordered by how many
 of its words have such features, that it falls in. Fitting is on the driver, over the kept features of
 the sample. All documents are scored, whole, by a table of weights that is sent to the tasks.
 
 Defined results: null counts as the empty text, which has only the score 0; labels of documents that
-do not exist and labels without a grade are not used; without a toxic or without a clean label there
-is no model, and an error says so; where no feature is kept all documents have score 0; every row, repeated or not, is scored by itself; an empty table of
-documents gives no rows. Other columns are not read.
+do not exist and labels without a grade are not used; without a toxic or without a clean label
+nothing is learnt, and all documents have score 0 and severity 0; where no feature is kept all
+documents have score 0; every row, repeated or not, is scored by itself; an empty table of documents
+gives no rows. Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -31,8 +33,10 @@ from pyspark.sql import functions as F
 
 #: grades above clean
 GRADES = 3
-#: bounds of what is used for fitting
-SAMPLE, MOST_FEATURES = 20_000, 50_000
+#: labelled documents that are used for fitting
+SAMPLE = 20_000
+#: thresholds of a model without labels of both kinds: no score passes them
+NOTHING_LEARNT = (float("inf"),)
 #: a feature is kept from so many toxic documents, so many standard deviations of their number above
 #: what chance gives, and such odds
 LEAST_DOCUMENTS, LEAST_ERRORS, LEAST_LOG_ODDS = 4, 6.0, 2.0
@@ -87,11 +91,13 @@ class Severity:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
-    """text and toxic (0 or 1) of the sample."""
-    marked = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id"))
-    sample = marked.agg(F.max((F.col(label_col) > 0).cast("int")).alias("toxic")).orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE)
+    """_id, text and toxic (0 or 1) of the sample, whatever other columns there are."""
+    texts = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("text"))
+    known = labels.select(F.col(id_col).alias("_id"), F.col(label_col).alias("_label"))
+    marked = known.where(F.col("_label").isNotNull() & F.col("_id").isNotNull()).groupBy("_id")
+    sample = marked.agg(F.max((F.col("_label") > 0).cast("int")).alias("toxic")).orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE)
     # at most SAMPLE rows
-    return docs.join(F.broadcast(sample), docs[id_col] == F.col("_id")).select("_id", F.col(text_col).alias("text"), "toxic")
+    return texts.join(F.broadcast(sample), F.col("_doc") == F.col("_id")).select("_id", "text", "toxic")
 
 
 def _feature_counts(sample: DataFrame) -> DataFrame:
@@ -121,7 +127,7 @@ def kept_features(sample: DataFrame, toxic: int, clean: int) -> list[str]:
     counted = _feature_counts(sample).where(F.col("toxic") >= LEAST_DOCUMENTS)
     told = counted.select("feature", odds.alias("odds"), errors.alias("errors"))
     told = told.where((F.col("odds") >= LEAST_LOG_ODDS) & (F.col("errors") >= LEAST_ERRORS))
-    return [r["feature"] for r in told.orderBy(F.col("errors").desc(), "feature").limit(MOST_FEATURES).collect()]
+    return [r["feature"] for r in told.orderBy(F.col("errors").desc(), "feature").collect()]
 
 
 def fitted(x: list[dict[int, float]], grade: np.ndarray, features: int, steps: int = 400, ridge: float = 1e-4) -> tuple[np.ndarray, np.ndarray]:
@@ -163,7 +169,7 @@ def trained(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     sample = labelled(docs, labels, id_col, text_col, label_col)
     sizes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     if not sizes.get(0) or not sizes.get(1):
-        raise ValueError("labels need toxic and clean documents")
+        return Severity({}, NOTHING_LEARNT)
     names = kept_features(sample, sizes[1], sizes[0])
     number = {f: i for i, f in enumerate(names)}
 

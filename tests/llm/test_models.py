@@ -182,15 +182,41 @@ def test_toxicity_of_odd_rows(spark, docs_of):
     bad = ["vile scum here", "such scum and trash", "trash talk", "scum trash vile"]
     rows = [(i, f"{bad[i % 4]} plain words number {i}") for i in range(40)] + [(100 + i, f"plain words number {i} and more") for i in range(80)]
     labels = spark.createDataFrame([(i, int(i < 100)) for i, _ in rows] + [(None, 1), (5, None), (9999, 1), (3, 1)], "doc_id bigint, toxic int")
-    docs = docs_of(rows + [(500, None), (501, ""), (502, "SCUM scum " * 30_000), (None, "trash scum"), (502, "vile scum trash")]).selectExpr("*", "1 AS toxic", "2 AS score")
-    model = toxicity.trained(docs.drop("toxic", "score"), labels)
+    docs = docs_of(rows + [(500, None), (501, ""), (502, "SCUM scum " * 30_000), (None, "trash scum"), (502, "vile scum trash")]).selectExpr("*", "1 AS toxic", "2 AS score", "3 AS _id", "4 AS _label", "5 AS _doc")
+    model = toxicity.trained(docs, labels.selectExpr("*", "'x' AS text", "6 AS _doc"))
     got = toxicity.severity(docs, model).collect()
     assert len(got) == len(rows) + 5
     flagged = Counter(r["doc_id"] for r in got if r["toxic"])
     assert flagged[502] == 2 and flagged[None] == 1 and not flagged[500] and not flagged[501]
     assert toxicity.severity(docs_of([]), model).count() == 0
-    with pytest.raises(ValueError, match="toxic and clean"):
-        toxicity.trained(docs.drop("toxic", "score"), labels.where("toxic = 1"))
+    for few in (labels.where("toxic = 1"), labels.where("toxic = 0"), labels.where("false")):
+        nothing = toxicity.severity(docs, toxicity.trained(docs, few)).collect()
+        assert len(nothing) == len(rows) + 5 and not any(r["toxic"] or r["score"] or r["expected_severity"] for r in nothing)
+    assert toxicity.severity(docs_of([]), toxicity.trained(docs_of([]), labels)).count() == 0
+
+
+def test_features_and_scores_equal_brute_force(spark, docs_of):
+    rng = random.Random(8)
+    bad, plain = ["vile", "scumbag", "trashy", "scummy"], [f"word{i}" for i in range(40)]
+    rows = [(i, " ".join(rng.choices(plain, k=20) + (rng.choices(bad, k=3) if i < 60 else []))) for i in range(200)]
+    sample = toxicity.labelled(docs_of(rows), spark.createDataFrame([(i, int(i < 60)) for i, _ in rows], "doc_id bigint, toxic int"), "doc_id", "text", "toxic")
+    counts = {1: Counter(), 0: Counter()}
+    for i, text in rows:
+        counts[int(i < 60)].update({f for w in text.split() for f in [w + "$", *(w[:n] for n in range(4, 9) if n <= len(w))]})
+    want = {}
+    for f, t in counts[1].items():
+        c = counts[0][f]
+        odds = math.log((t + 0.5) / (60 - t + 0.5)) - math.log((c + 0.5) / (140 - c + 0.5))
+        errors = (t - (t + c) * 0.3) / math.sqrt((t + c) * 0.3 * 0.7)
+        if t >= 4 and odds >= 2 and errors >= 6:
+            want[f] = errors
+    assert toxicity.kept_features(sample, 60, 140) == sorted(want, key=lambda f: (-want[f], f))
+    model = toxicity.Severity({f: 0.5 + i for i, f in enumerate(want)}, (0.4, 2.0, 9.0))
+    for r in toxicity.severity(docs_of(rows), model).collect():
+        tally = Counter(f for w in rows[r["doc_id"]][1].split() for f in [w + "$", *(w[:n] for n in range(4, 9) if n <= len(w))] if f in want)
+        score = sum(model.weights[f] * math.log1p(n) for f, n in tally.items())
+        above = [1 / (1 + math.exp(t - score)) for t in model.thresholds]
+        assert abs(r["score"] - score) < 1e-9 and abs(r["expected_severity"] - sum(above)) < 1e-9 and r["grade"] == sum(a >= 0.5 for a in above)
 
 
 def test_long_texts_are_read_by_pieces(monkeypatch):

@@ -150,3 +150,20 @@ def test_further_columns_do_not_matter(spark):
 def test_unknown_schema_is_refused(spark):
     with pytest.raises(ValueError, match="no layout"):
         chat.canonical(spark.range(1).selectExpr("id AS conv_id", "'x' AS question"))
+
+
+def test_equal_paths_share_a_fingerprint(spark):
+    rows = [
+        ("a", '{"prompt": "x", "response": null}'), ("b", '{"response": "y", "prompt": null}'), ("c", '{"prompt": 1, "response": [], "more": {"k": 2}}'),
+        ("d", '{"messages": [{"role": "user"}, {"content": "t"}]}'), ("e", '{"messages": [{"content": null, "role": 1}]}'), ("f", "[1]"), ("g", None),
+    ]
+    got = {r["key"]: r["layout"] for r in chat.canonical_json(spark.createDataFrame(rows, "key string, record string"), "key", "record").collect()}
+    assert got == {"a": "prompt_response", "b": "prompt_response", "c": "prompt_response", "d": "messages", "e": "messages", "f": "unmapped", "g": "unmapped"}
+    typed = spark.range(1).selectExpr("'x' AS response", "'y' AS prompt").schema
+    other = spark.range(1).selectExpr("1 AS prompt", "2 AS response").schema
+    assert chat.schema_fingerprint(typed) == chat.schema_fingerprint(other)
+    one = spark.createDataFrame([(["response", "prompt", "prompt"],)], "p array<string>")
+    assert one.select(chat.fingerprint(F.col("p"))).first()[0] == chat.schema_fingerprint(typed)
+    assert chat.schema_fingerprint(typed) != chat.schema_fingerprint(spark.range(1).selectExpr("'x' AS response").schema)
+    paths = spark.createDataFrame([("1", ["prompt", "response"]), ("1", ["prompt", "response"]), ("2", ["x"])], "_fingerprint string, _paths array<string>")
+    assert sorted(tuple(r) for r in chat.mappings(paths).collect()) == [("1", "prompt_response"), ("2", "unmapped")]
