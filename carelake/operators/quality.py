@@ -9,6 +9,7 @@ they are, everything else combined map-side along with them.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -81,32 +82,51 @@ def row_counts(df: DataFrame, row_hash: Column | None = None) -> DataFrame:
     Rows are grouped by their hash; a hash that occurs once is one distinct row. The others choose
     the rows that are then grouped whole, which also tells apart rows that share a hash.
     """
+    return _counted_rows(df, row_hash).select("total_records", "distinct_records")
+
+
+#: columns whose nulls one number tells
+_MASK_BITS = 62
+
+
+def _counted_rows(df: DataFrame, row_hash: Column | None = None, with_nulls: bool = False) -> DataFrame:
+    """``row_counts`` and, if asked for, the null count of column i as ``n<i>``. Which columns are null
+    is a number beside the hash: rows that are equal agree in it, so it makes no more groups, and
+    null counts need no scan of their own."""
     names = df.columns
     signed = df.withColumn(HASH, F.xxhash64(*refs(names)) if row_hash is None else row_hash)
-    hashes = signed.groupBy(HASH).agg(F.count(F.lit(1)).alias(COPIES))
+    keys = [HASH]
+    for first in range(0, len(names) if with_nulls else 0, _MASK_BITS):
+        bits = [F.when(ref(c).isNull(), F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint") for i, c in enumerate(names[first : first + _MASK_BITS])]
+        keys.append(f"{HASH}{first}")
+        signed = signed.withColumn(keys[-1], reduce(lambda a, b: a.bitwiseOR(b), bits))
+    hashes = signed.groupBy(*keys).agg(F.count(F.lit(1)).alias(COPIES))
+
+    def nulls(i: int) -> Column:
+        bit = F.shiftright(F.col(keys[1 + i // _MASK_BITS]), i % _MASK_BITS).bitwiseAND(F.lit(1))
+        return F.coalesce(F.sum(F.col(COPIES) * bit), F.lit(0))
+
+    counted = [f"n{i}" for i in range(len(names) if with_nulls else 0)]
     once = F.count_if(F.col(COPIES) == 1)
-    by_hash = hashes.agg(F.coalesce(F.sum(COPIES), F.lit(0)).alias("total_records"), once.alias("distinct_records"))
-    several = signed.join(hashes.where(F.col(COPIES) > 1).select(HASH), HASH, "left_semi")
+    by_hash = hashes.agg(
+        F.coalesce(F.sum(COPIES), F.lit(0)).alias("total_records"),
+        once.alias("distinct_records"),
+        *[nulls(i).alias(n) for i, n in enumerate(counted)],
+    )
+    several = signed.join(hashes.where(F.col(COPIES) > 1).select(*keys), keys, "left_semi")
     whole = several.groupBy(*refs(names)).agg(F.count(F.lit(1)).alias(COPIES))
-    by_row = whole.agg(F.lit(0).cast("bigint").alias("total_records"), F.count(F.lit(1)).alias("distinct_records"))
-    return by_hash.unionByName(by_row).agg(
-        F.sum("total_records").alias("total_records"), F.sum("distinct_records").alias("distinct_records")
+    nothing = F.lit(0).cast("bigint")
+    by_row = whole.agg(
+        nothing.alias("total_records"), F.count(F.lit(1)).alias("distinct_records"), *[nothing.alias(n) for n in counted]
     )
+    sums = ["total_records", "distinct_records", *counted]
+    return by_hash.unionByName(by_row).agg(*[F.sum(c).alias(c) for c in sums])
 
 
 def _totals(df: DataFrame) -> DataFrame:
     """One row: all rows, surplus copies, and the null count of column i as ``n<i>``."""
-    places = range(len(df.columns))
-    nulls = df.agg(*[F.count_if(ref(c).isNull()).alias(f"n{i}") for i, c in enumerate(df.columns)])
-    nothing = F.lit(0).cast("bigint")
-    counts = row_counts(df).select("*", *[nothing.alias(f"n{i}") for i in places])
-    nulls = nulls.select(nothing.alias("total_records"), nothing.alias("distinct_records"), *nulls.columns)
-    both = counts.unionByName(nulls)
-    return both.agg(
-        F.sum("total_records").alias("total_records"),
-        (F.sum("total_records") - F.sum("distinct_records")).alias("duplicates"),
-        *[F.sum(f"n{i}").alias(f"n{i}") for i in places],
-    )
+    surplus = F.col("total_records") - F.col("distinct_records")
+    return _counted_rows(df, with_nulls=True).select("*", surplus.alias("duplicates")).drop("distinct_records")
 
 
 def quality_report(df: DataFrame, stage: str = "") -> DataFrame:
@@ -473,6 +493,34 @@ def anomalies(profile: DataFrame, null_limit_pct: float = fx.NULL_ALERT_PCT) ->
     return profile.select(F.inline(F.array_compact(found)))
 
 
+def suspicious(df: DataFrame, null_limit_pct: float = fx.NULL_ALERT_PCT) -> DataFrame:
+    """``anomalies`` of the rows from one aggregate without a shuffle of values: whether a column has
+    one value or more is whether its smallest and largest differ, so nothing is counted exactly."""
+    stats = _numeric_stats(df)
+    aggregates = [F.count(F.lit(1)).alias("total")]
+    for i, field in enumerate(df.schema.fields):
+        value = F.coalesce(*[v.cast("string") for v in _exact_value(field).values()]) if isinstance(field.dataType, _NESTED) else ref(field.name)
+        aggregates += [
+            F.count_if(ref(field.name).isNull()).alias(f"n{i}"),
+            F.min(value).alias(f"low{i}"),
+            F.max(value).alias(f"high{i}"),
+            (stats[field.name]["stddev"] if field.name in stats else F.lit(None).cast("double")).alias(f"deviation{i}"),
+        ]
+    folded = df.agg(*aggregates)
+
+    def of(i: int) -> dict[str, Column]:
+        nulls, total = F.col(f"n{i}"), F.col("total")
+        values = F.when(total == nulls, 0).when(F.col(f"low{i}") == F.col(f"high{i}"), 1).otherwise(2)
+        return {
+            "null_count": nulls,
+            "null_pct": _pct(nulls, total),
+            "distinct_count": (values + F.when(nulls > 0, 1).otherwise(0)).cast("bigint"),
+            "stddev": F.col(f"deviation{i}"),
+        }
+
+    return anomalies(_explode_columns(folded, {c: of(i) for i, c in enumerate(df.columns)}), null_limit_pct)
+
+
 # -- gauges --------------------------------------------------------------------------------------
 
 

@@ -492,7 +492,7 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     rows = encounters(spark, sf_dir).withColumn("unit", F.lit(1))
-    return quality.anomalies(quality.column_profile(rows.select(*refs(_PROFILED))))
+    return quality.suspicious(rows.select(*refs(_PROFILED)))
 
 
 @register(

@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from carelake import fixed_values as fx
 from carelake import schemas
 from carelake.columns import refs
-from carelake.operators import alerts
+from carelake.operators import alerts, runlog
 from carelake.plans import inputs, staging
 from carelake.plans.inputs import VITALS_SQL
-from carelake.plans.registry import register, rounded
+from carelake.plans.ops_queries import _RATE_LIMIT as RATE_LIMIT
+from carelake.plans.registry import CHECKS, register, rounded
 from carelake.session import fresh_path
 from carelake.sources.tables import VersionedTable
 from carelake.sources.writers import LakeLayout
-from carelake.streaming import envelopes, progress, sinks, windows
+from carelake.streaming import alert_spans, envelopes, progress, sinks, windows
 
 
 def _messages(spark, path):
@@ -181,3 +183,47 @@ def _(spark, sf_dir):
     spans = alerts.lag_held(_watched(spark, sf_dir).where("newest IS NOT NULL"), "query", "newest", until=until)
     times = [F.timestamp_micros(c).alias(c) for c in ("quiet_from", "quiet_to")]
     return rounded(spans.select("query", *times, "gap_seconds"), 3)
+
+
+# -- alerts with a hold time -----------------------------------------------------------------------
+
+
+def _streamed(spark, frame):
+    """The rows of a frame, stored, as a stream."""
+    path = fresh_path(spark, "arriving")
+    frame.write.parquet(path)
+    return spark.readStream.schema(frame.schema).parquet(path)
+
+
+def _landed(spark, spans, name):
+    out, marks = fresh_path(spark, name), fresh_path(spark, "checkpoints")
+    sinks.drain(sinks.append_rows(spans, out, marks, name, every=None))
+    return spark.read.schema(spans.schema).parquet(out)
+
+
+_ERROR_TIMES = f"SELECT max(started) FROM ({inputs.LOG_SQL}) WHERE error_type IS NOT NULL"
+
+
+@register(
+    "alert_error_rate_stream",
+    f"SELECT * FROM ({CHECKS['alert_error_rate']}) WHERE (\"until\" + 90) * 1000000 - 1 <= 1000 * epoch_ms(({_ERROR_TIMES})) - 600 * 1000000",
+)
+def _(spark, sf_dir):
+    """The spans of the batch rule that the watermark, ten minutes behind, has passed."""
+    errors = _streamed(spark, inputs.stage_log(spark, sf_dir).where(F.col("error_type").isNotNull()))
+    errors = errors.withWatermark("started", "10 minutes")
+    return _landed(spark, alert_spans.error_rate(errors, ["stage"], "started", limit_per_second=RATE_LIMIT), "error-spans")
+
+
+_DAY = 86_400
+_DAYS = f"SELECT stage, (epoch_us(date_trunc('day', started)) // 1000000) + {_DAY} AS tick, sum(duration) AS value FROM ({inputs.LOG_SQL}) GROUP BY ALL"
+
+
+@register(
+    "alert_stage_timeout_stream",
+    f"SELECT * FROM ({CHECKS['alert_stage_timeout_held']}) WHERE \"until\" + {_DAY * 3 // 2} <= (SELECT max(tick) - 600 FROM ({_DAYS}))",
+)
+def _(spark, sf_dir):
+    daily = runlog.samples(inputs.stage_log(spark, sf_dir), ["stage"], "started", F.sum("duration"), "1 day")
+    samples = _streamed(spark, daily).withWatermark("at", "10 minutes")
+    return _landed(spark, alert_spans.gauge_held(samples, ["stage"], fx.STAGE_TIMEOUT_SECONDS, _DAY, _DAY), "timeout-spans")

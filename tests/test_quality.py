@@ -109,6 +109,19 @@ def test_estimated_distinct_counts(spark):
     assert quality.uniqueness(df, ["g"], 0.02).first()[0] == pytest.approx(50 / 20_000, rel=0.1)
 
 
+def test_suspicious_equals_the_anomalies_of_the_exact_profile(spark):
+    df = spark.sql("""SELECT * FROM VALUES (1, 1, 'a', 0.0D, CAST(NULL AS STRING), array(1), true, 5.0D),
+        (1, NULL, 'a', -0.0D, NULL, array(1), true, 5.0D), (1, NULL, 'b', 0.0D, NULL, array(1), NULL, NULL)
+        AS t(one, few, text, zero, none, list, flag, same)""")
+    for frame in (df, df.where("false"), df.select(*[F.col(c).alias(f"{c}{i}") for i in range(9) for c in df.columns])):
+        got = rows(quality.suspicious(frame), "type", "column", "value", "threshold", "severity")
+        assert got == rows(quality.anomalies(quality.column_profile(frame)), "type", "column", "value", "threshold", "severity")
+        report = quality.quality_report(frame).first()
+        nulls = {c: frame.where(F.col(c).isNull()).count() for c in frame.columns[:10]}
+        assert {c: n for c, n in report["null_columns"].items() if c in nulls} == {c: n for c, n in nulls.items() if n}
+        assert report["duplicates"] == frame.count() - frame.distinct().count()
+
+
 def test_anomalies_of_a_profile(spark):
     profile = spark.createDataFrame(
         [("a", 4, 40.0, 2, None), ("b", 0, 0.0, 1, 0.0), ("c", 0, 0.0, 3, 0.0), ("d", 3, 30.0, 1, None)],
