@@ -2,15 +2,14 @@
 
 Texts are joined and read as bytes. Prefix sums of a polynomial over the bytes, in numpy, give the
 fingerprint of any run of words from two places of the sums, so no phrase is spelled out to be
-counted. Tasks count fingerprints and a shuffle adds the counts up; a phrase of n words is counted
-only where both phrases of n - 1 words within it may be frequent, by a bit map of frequent
-fingerprints. Fingerprints may collide, so the texts decide in the end: each task reads its texts once
-more, and what may be frequent is grouped by fingerprint with a pointer to its place, every occurrence
-is compared byte by byte with the one it is grouped with, and only then is the phrase spelled out, once
-for each group. The counts of phrases are added up by text, so no collision can join two phrases.
-
-Pointers stay within the task that set them: looking texts up by pointers of other tasks would send
-all texts through a shuffle.
+counted. Tasks count fingerprints, each with a pointer to one task that holds an occurrence and with
+the sum of a second hash over all occurrences; a shuffle adds up counts and sums. A phrase of n words is
+counted only where both phrases of n - 1 words within it may be frequent, by a bit map of frequent
+fingerprints. The texts are then read once more, and the task that a frequent fingerprint points to
+spells its phrase, once. The text decides whether all occurrences were this phrase: its second hash,
+times the count, has to be the sum. Fingerprints that fail, because phrases collide or because the rows
+were dealt differently the second time, are counted anew by text: there every occurrence is compared
+byte by byte with the one it is grouped with, and counts are added up by phrase.
 
 Defined results: null and empty texts have no words; a null language is the one given for it (`und`);
 copies of rows count as often as they are there; phrases never go over a delimiter or the end of a
@@ -21,10 +20,11 @@ not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,9 +36,14 @@ from carelake.llm.fingerprints import PIECE, Words, cut, gathered, kinds, same_t
 KINDS = kinds(b" \t", b".,;:!?\n\x0b\x0c\r")
 #: different fingerprints, and bytes of phrases, that a task holds before it gives them out
 MOST_HELD, MOST_BYTES = 1_500_000, 16_000_000
+#: sums of the second hash are kept modulo this, so that they can be added up without end
+CHECKS = 1 << 31
 #: rows of a language from which each of this many parts may bring its best
 PARTS = 64
 
+_TASK_MIX, _MIX = np.uint64(0x9FB21C651E98DF25), np.uint64(0xD6E8FEB86659FD93)
+
+
 @lru_cache(maxsize=4096)
 def _seed(lang: str) -> np.uint64:
     """What a language adds to its fingerprints."""
@@ -83,33 +88,40 @@ def _within(words: Words, n: int, at: np.ndarray, seed: np.uint64, frequent: np.
     return at
 
 
-def counted_prints(docs: DataFrame, sizes: list[int], longest: int, frequent) -> DataFrame:
-    """`print`, `n`: fingerprints of runs of so many words, with counts to be added up. Runs with a
-    part that is not frequent, by the map broadcast as `frequent` if given, are left out."""
+def counted_prints(docs: DataFrame, n: int, longest: int, frequent) -> DataFrame:
+    """`print`, `n`, `check`, `part`: fingerprints of runs of n words, with counts and sums of
+    the second hash, to be added up, and the task that they are in. Runs with a part that is not
+    frequent, by the map broadcast as `frequent` if given, are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = frequent.value if frequent is not None else None
+        own_part = TaskContext.get().partitionId()
 
-        def summed() -> tuple[np.ndarray, np.ndarray]:
-            prints, counts = np.concatenate([p for p, _ in held]), np.concatenate([c for _, c in held])
+        def folded(prints: np.ndarray, counts: np.ndarray | None, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             order = np.argsort(prints)
-            prints, counts = prints[order], counts[order]
-            first = np.flatnonzero(np.append(True, prints[1:] != prints[:-1]))
-            return prints[first], np.add.reduceat(counts, first)
+            prints = prints[order]
+            first = np.flatnonzero(np.append(True, prints[1:] != prints[:-1])[: len(prints)])
+            if not len(first):
+                return prints, np.empty(0, np.int64), np.empty(0, np.int64)
+            count = np.diff(np.append(first, len(prints))) if counts is None else np.add.reduceat(counts[order], first)
+            return prints[first], count, np.add.reduceat(checks[order], first) % CHECKS
 
-        def given(prints: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        def summed() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            return folded(*(np.concatenate([h[i] for h in held]) for i in range(3)))
+
+        def given(prints: np.ndarray, counts: np.ndarray, checks: np.ndarray) -> Iterator[pa.RecordBatch]:
             for a in range(0, len(prints), 65_536):
                 part = slice(a, a + 65_536)
-                yield pa.RecordBatch.from_arrays([pa.array(prints[part].view(np.int64)), pa.array(counts[part])], names=["print", "n"])
+                columns = [pa.array(prints[part].view(np.int64)), pa.array(counts[part]), pa.array(checks[part])]
+                columns.append(pa.array(np.full(len(columns[0]), own_part, np.int32)))
+                yield pa.RecordBatch.from_arrays(columns, names=["print", "n", "check", "part"])
 
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         waiting = 0
         for lang, words, first in _pieces(batches, longest):
-            for n in sizes:
-                at = _within(words, n, words.runs(n, first), _seed(lang), known)
-                prints, counts = np.unique(words.prints(at, n, _seed(lang)), return_counts=True)
-                held.append((prints, counts))
-                waiting += len(prints)
+            at = _within(words, n, words.runs(n, first), _seed(lang), known)
+            held.append(folded(words.prints(at, n, _seed(lang)), None, words.checks(at, n)))
+            waiting += len(held[-1][0])
             if waiting > MOST_HELD:
                 held = [summed()]
                 waiting = len(held[0][0])
@@ -119,7 +131,7 @@ def counted_prints(docs: DataFrame, sizes: list[int], longest: int, frequent) ->
         if waiting:
             yield from given(*summed())
 
-    return docs.mapInArrow(run, "print bigint, n bigint")
+    return docs.mapInArrow(run, "print bigint, n bigint, check bigint, part int")
 
 
 def grouped(data: np.ndarray, start: np.ndarray, size: np.ndarray, prints: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -137,6 +149,61 @@ def grouped(data: np.ndarray, start: np.ndarray, size: np.ndarray, prints: np.nd
     return first, total[first]
 
 
+def _pointed(prints: np.ndarray, part: int) -> np.ndarray:
+    """Hashes of fingerprints together with the task they point to."""
+    made = (prints ^ np.uint64((part + 1) * int(_TASK_MIX) % (1 << 64))) * _MIX
+    return made ^ made >> np.uint64(31)
+
+
+def _pointers(often: DataFrame) -> DataFrame:
+    """The same hashes of rows `print`, `part`."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prints, part = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy().astype(np.uint64)
+            made = (prints ^ (part + np.uint64(1)) * _TASK_MIX) * _MIX
+            yield pa.RecordBatch.from_arrays([pa.array((made ^ made >> np.uint64(31)).view(np.int64))], names=["pointer"])
+
+    return often.select("print", "part").mapInArrow(run, "pointer bigint")
+
+
+def spelled_once(docs: DataFrame, longest: int, frequent: list, pointers) -> DataFrame:
+    """`print`, `lang`, `words`, `phrase`, `check`: the phrase of each fingerprint that is frequent, spelled
+    by the task that it points to (`pointers`, a broadcast map), with its second hash; and for each
+    language rows with 0 words whose `check` counts its words."""
+    schema = "print bigint, lang string, words int, phrase binary, check bigint"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        maps, own_part = [f.value for f in frequent], TaskContext.get().partitionId()
+        seen: set[int] = set()
+        total: dict[str, int] = {}
+        names = ["print", "lang", "words", "phrase", "check"]
+        for lang, words, first in _pieces(batches, longest):
+            total[lang] = total.get(lang, 0) + len(words.start) - first
+            for n in range(1, longest + 1):
+                at = words.runs(n, first)
+                prints = words.prints(at, n, _seed(lang))
+                some = np.flatnonzero(bits.held(maps[n - 1], prints))
+                some = some[bits.held(pointers.value, _pointed(prints[some], own_part))]
+                _, place = np.unique(prints[some], return_index=True)
+                some = some[place]
+                new = np.array([p not in seen for p in prints[some].tolist()], bool)
+                some = some[new] if len(some) else some
+                if not len(some):
+                    continue
+                seen.update(prints[some].tolist())
+                start, size = words.spans(at[some], n)
+                phrases = [words.data[a : a + b].tobytes() for a, b in zip(start.tolist(), size.tolist())]
+                columns = [pa.array(prints[some].view(np.int64)), pa.array([lang] * len(some)), pa.array([n] * len(some), pa.int32())]
+                columns += [pa.array(phrases, pa.binary()), pa.array(words.checks(at[some], n))]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+        for own_lang, n in total.items():
+            columns = [pa.array([0], pa.int64()), pa.array([own_lang]), pa.array([0], pa.int32()), pa.array([b""]), pa.array([n])]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return docs.mapInArrow(run, schema)
+
+
 def spelled(docs: DataFrame, longest: int, frequent: list) -> DataFrame:
     """`lang`, `words`, `phrase`, `n`: texts of all runs that may be frequent, with counts to be added
     up; and for each language rows with 0 words that count its words. `frequent`: one broadcast map
@@ -207,13 +274,30 @@ def frequent_phrases(docs: DataFrame, longest: int, least: int, lang_col: str, t
     spark = docs.sparkSession
     picked = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit(no_lang)).alias("lang"), F.col(text_col).cast("string").alias("_text"))
     maps: list = []
-    for sizes in [[1, 2], *([n] for n in range(3, longest + 1))] if longest > 1 else [[1]]:
-        prints = counted_prints(picked, sizes, longest, maps[-1] if maps else None)
-        often = prints.groupBy("print").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-        maps += [spark.sparkContext.broadcast(bits.bit_map(often, "print"))] * len(sizes)
-    found = spelled(picked, longest, maps).groupBy("lang", "words", "phrase").agg(F.sum("n").alias("f"))
-    found = stored(found.where((F.col("f") >= least) | (F.col("words") == 0)).withColumn("phrase", F.col("phrase").cast("string")), "phrases")
-    return found.where("words > 0"), found.where("words = 0").select("lang", F.col("f").alias("n"))
+    counted: list[DataFrame] = []
+    for n in range(1, longest + 1):
+        prints = counted_prints(picked, n, longest, maps[-1] if maps else None)
+        often = prints.groupBy("print").agg(F.sum("n").alias("n"), (F.sum("check") % CHECKS).alias("check"), F.min("part").alias("part"))
+        counted.append(stored(often.where(F.col("n") >= least), "prints"))
+        maps.append(spark.sparkContext.broadcast(bits.bit_map(counted[-1], "print")))
+    every = reduce(DataFrame.unionAll, counted)
+    pointers = spark.sparkContext.broadcast(bits.bit_map(_pointers(every), "pointer"))
+    said = stored(spelled_once(picked, longest, maps, pointers), "spelled")
+    # a bit map may let a second task spell a phrase too
+    texts = said.where("words > 0").withColumnRenamed("check", "_check").dropDuplicates(["print"])
+    both = stored(every.join(texts, "print", "left"), "phrases")
+    agrees = F.col("check") == (F.col("n") % CHECKS) * F.col("_check") % CHECKS
+    right = both.where(agrees).select("lang", "words", F.col("phrase").cast("string").alias("phrase"), F.col("n").alias("f"))
+    wrong = both.where(~F.coalesce(agrees, F.lit(False)))
+    words = said.where("words = 0").groupBy("lang").agg(F.sum("check").alias("n"))
+    if not wrong.isEmpty():
+        doubtful = spark.sparkContext.broadcast(bits.bit_map(wrong, "print"))
+        anew = spelled(picked, longest, [doubtful] * longest).where("words > 0").groupBy("lang", "words", "phrase").agg(F.sum("n").alias("f"))
+        anew = anew.where(F.col("f") >= least).withColumn("phrase", F.col("phrase").cast("string"))
+        # the map lets others pass as well, which are right already
+        anew = stored(anew.join(right.select("lang", "phrase"), ["lang", "phrase"], "left_anti").select(*right.columns), "anew")
+        right = right.unionByName(anew)
+    return right, words
 
 
 def _part(phrase: Column, first: int, size: Column | int) -> Column:

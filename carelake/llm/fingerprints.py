@@ -27,19 +27,22 @@ _RANDOM = np.random.default_rng(0x5EED)
 #: a random number for each byte, and the odd base of the polynomial, modulo 2^64
 _CODES = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
+#: those of the second hash
+_SECOND_CODES = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_SECOND_BASE = 0xC2B2AE3D27D4EB4F
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
 
-@lru_cache(maxsize=1)
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse."""
-    inverse = pow(_BASE, -1, 1 << 64)
-    return tuple(np.cumprod(np.concatenate([[np.uint64(1)], np.full(size, b, np.uint64)])) for b in (_BASE, inverse))
+@lru_cache(maxsize=2)
+def _powers(size: int, base: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of a base and of its inverse."""
+    inverse = pow(base, -1, 1 << 64)
+    return tuple(np.cumprod(np.concatenate([[np.uint64(1)], np.full(size, b, np.uint64)])) for b in (base, inverse))
 
 
 def _grown(size: int) -> tuple[np.ndarray, np.ndarray]:
     # a power of two above, so that few sizes are ever made
-    return _powers(1 << max(20, int(size).bit_length()))
+    return _powers(1 << max(20, int(size).bit_length()), _BASE)
 
 
 class Words:
@@ -65,6 +68,18 @@ class Words:
         power, self._inverse = _grown(len(self.data))
         self._prefix = np.zeros(len(self.data) + 1, np.uint64)
         np.cumsum(_CODES[self.data] * power[: len(self.data)], out=self._prefix[1:])
+        self._second: np.ndarray | None = None
+
+    def checks(self, at: np.ndarray, n: int) -> np.ndarray:
+        """A second hash of these runs, of 31 bits, by another polynomial."""
+        if self._second is None:
+            power, _ = _powers(len(self._inverse) - 1, _SECOND_BASE)
+            self._second = np.zeros(len(self.data) + 1, np.uint64)
+            np.cumsum(_SECOND_CODES[self.data] * power[: len(self.data)], out=self._second[1:])
+        start, size = self.spans(at, n)
+        _, inverse = _powers(len(self._inverse) - 1, _SECOND_BASE)
+        made = (self._second[start + size] - self._second[start]) * inverse[start]
+        return ((made ^ made >> np.uint64(32)) * _MIX >> np.uint64(33)).astype(np.int64)
 
     def runs(self, n: int, first: int = 0) -> np.ndarray:
         """First words of all runs of n words within a piece that end at word `first` or behind."""

@@ -57,6 +57,14 @@ def test_odd_rows_equal_brute_force(spark):
     assert got(collocations.collocations(frame.where("doc_id < 0"))) == []
 
 
+def test_what_the_texts_contradict_is_counted_by_text(spark, monkeypatch):
+    # with sums of another modulus no fingerprint agrees with its phrase
+    monkeypatch.setattr(collocations, "CHECKS", 1_000_003)
+    rows = [(i, f"deep blue sea {i % 7} and the old man, the old man and the sea" if i % 3 else None, "en") for i in range(90)]
+    frame = spark.createDataFrame([(i, t, l, "s", 0) for i, t, l in rows], DOCS)
+    assert got(collocations.collocations(frame)) == plain(rows)
+
+
 def test_large_counts_stay_exact(spark):
     # a product of counts beyond 64 bits
     frame = spark.sql("SELECT 4000000000000L AS f, 3999999999999L AS l, 5000000000000L AS r")
