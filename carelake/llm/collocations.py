@@ -35,7 +35,7 @@ from carelake.llm.fingerprints import PIECE, Words, cut, gathered, kinds, same_t
 #: white space, and delimiters that no phrase goes over
 KINDS = kinds(b" \t", b".,;:!?\n\x0b\x0c\r")
 #: different fingerprints, and bytes of phrases, that a task holds before it gives them out
-MOST_HELD, MOST_BYTES = 1_500_000, 16_000_000
+MOST_HELD, MOST_BYTES = 1_000_000, 16_000_000
 #: sums of the second hash are kept modulo this, so that they can be added up without end
 CHECKS = 1 << 31
 #: rows of a language from which each of this many parts may bring its best
