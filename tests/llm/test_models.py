@@ -42,14 +42,21 @@ def test_statistics_by_pieces(monkeypatch):
     assert quality.plain_statistics(text) == whole
 
 
+def plain_points(text):
+    low = [c.lower() if len(c.lower()) == 1 else c for c in text]
+    return [1] * 4 + [0xFFFD if ord(c) < 2 else ord(c) for c in low]
+
+
 def plain_kneser_ney(corpus):
-    """Probability of a symbol after three others, from nested dictionaries."""
-    symbols = [[0] * 3 + [int(quality._folds()[min(ord(c), 1 << 16)]) for c in text] for text in corpus]
-    counts = {4: Counter(tuple(s[i - 3 : i + 1]) for s in symbols for i in range(3, len(s)))}
-    for n in (3, 2, 1):
-        left = defaultdict(set)
+    """Probability of a code point after four others, from nested dictionaries."""
+    symbols = [plain_points(text) for text in corpus]
+    counts = {5: Counter(tuple(s[i - 4 : i + 1]) for s in dict.fromkeys(map(tuple, symbols)) for i in range(4, len(s)))}
+    met = {5: counts[5]}
+    for n in (4, 3, 2, 1):
+        left, met[n] = defaultdict(set), Counter()
         for gram in counts[n + 1]:
             left[gram[1:]].add(gram[0])
+            met[n][gram[1:]] += met[n + 1][gram]
         counts[n] = Counter({g: len(v) for g, v in left.items()})
 
     def discounts(n):
@@ -58,42 +65,113 @@ def plain_kneser_ney(corpus):
         return [0.0] + [min(max(k - (k + 1) * base * t[k + 1] / t[k] if t[k] else base * k, 0.0), k) for k in (1, 2, 3)]
 
     cuts = {n: discounts(n) for n in counts}
+    around = defaultdict(list)
+    for n in counts:
+        for gram in counts[n]:
+            around[gram[:-1]].append(gram)
+
+    def own(gram):
+        n = len(gram)
+        return counts[n][gram] - cuts[n][min(counts[n][gram], 3)] if n == 1 or met[n][gram] > 1 else 0.0
 
     def probability(gram):
-        if not gram:
-            return 1 / 32
-        n, context = len(gram), gram[:-1]
-        around = [c for g, c in counts[n].items() if g[:-1] == context]
-        if not around:
-            return probability(gram[1:])
-        total, cut = sum(around), cuts[n]
-        own = counts[n][gram]
-        return max(own - cut[min(own, 3)], 0) / total + sum(cut[min(c, 3)] for c in around) / total * probability(gram[1:])
+        n = len(gram)
+        total = sum(counts[n][g] for g in around[gram[:-1]])
+        rest = 1 - sum(own(g) for g in around[gram[:-1]]) / total
+        return own(gram) / total + rest * (probability(gram[1:]) if n > 1 else 1 / (len(counts[1]) + 1))
 
     return symbols, probability
 
 
-def test_model_equals_plain_kneser_ney(spark, docs_of):
-    corpus = ["the cat sat on the mat", "a cat and a hat, the end.", "Étude 12 #", "thththth", ""]
-    docs = docs_of(list(enumerate(corpus)))
-    model = quality.models(quality.counted(docs))["en"]
+def plain_sums(corpus):
     symbols, probability = plain_kneser_ney(corpus)
-    for text, folded in zip(corpus, symbols):
-        got = model.log_probability(quality.codes(text)) if text else []
-        want = [math.log(probability(tuple(folded[i - 3 : i + 1]))) for i in range(3, len(folded))]
-        assert list(got) == pytest.approx(want, abs=1e-4)
-    unseen = quality.codes("zebra qu!")
-    folded = [0] * 3 + [int(quality._folds()[ord(c)]) for c in "zebra qu!"]
-    want = [math.log(probability(tuple(folded[i - 3 : i + 1]))) for i in range(3, len(folded))]
-    assert list(model.log_probability(unseen)) == pytest.approx(want, abs=1e-4)
-    assert len(model.keys) + len(model.back_keys) <= quality.ARRAY_ROWS and (np.diff(model.keys.astype(object)) > 0).all()
+    return [sum(math.log(probability(tuple(s[i - 4 : i + 1]))) for i in range(4, len(s))) for s in symbols]
+
+
+def sums_of(docs):
+    marked = quality.scored(docs, ["doc_id"], "text", "lang", True)
+    found = {r["_of"]: r["_sum"] for r in quality.perplexities(docs, quality.model_of(docs, marked)).collect()}
+    return {r["doc_id"]: found.get(r["_digest"]) for r in marked.collect()}
+
+
+CORPUS = ["the cat sat on the mat", "a cat and a hat, the end.", "\u00c9tude 12 #", "thththth", "\u0130x \x00\x01 \U0001f600 the cat", "\u6f22\u5b57 the cat", ""]
+
+
+def test_model_equals_plain_kneser_ney(spark, docs_of):
+    got = sums_of(docs_of([*enumerate(CORPUS), (99, CORPUS[0]), (100, None)]))
+    assert [got[i] for i in range(len(CORPUS) - 1)] == pytest.approx(plain_sums(CORPUS)[:-1], abs=1e-3)
+    assert got[99] == got[0] and not got[len(CORPUS) - 1] and not got[100]
+
+
+def test_blocks_of_the_model_add_up(spark, docs_of, monkeypatch):
+    docs = docs_of(list(enumerate(CORPUS)))
+    docs = docs.unionByName(docs.withColumn("lang", F.lit(None).cast("string")).withColumn("doc_id", F.col("doc_id") + 50))
+    whole = sums_of(docs)
+    monkeypatch.setattr(quality, "PART_ROWS", 16)
+    monkeypatch.setattr(quality, "BLOCK_ROWS", 60)
+    monkeypatch.setattr(quality, "PIECE", 7)
+    cut = sums_of(docs)
+    assert set(cut) == set(whole)
+    for i in range(len(CORPUS) - 1):
+        assert cut[i] == cut[i + 50] == pytest.approx(whole[i], abs=1e-3)
+
+
+def test_probabilities_of_a_context_sum_to_less_than_one(spark, docs_of):
+    docs = docs_of(list(enumerate(CORPUS)))
+    known = quality.probabilities(quality.counted(docs, quality.scored(docs, ["doc_id"], "text", "lang", False)))
+    rows = known.groupBy("_key", F.substring("gram", 1, 4).alias("c")).agg(F.sum("p").alias("p"), F.min("p").alias("least")).collect()
+    assert all(0 < r["least"] and r["p"] <= 1 + 1e-9 for r in rows)
 
 
 def test_counts_are_of_all_documents(spark, docs_of):
     docs = docs_of([(i, "ab" * (i + 1)) for i in range(30)]).repartition(5)
-    got = {r["code"]: r["n"] for r in quality.counted(docs).collect()}
-    want = Counter(int(c) for i in range(30) for c in quality.codes("ab" * (i + 1)))
-    assert got == want
+    got = {r["gram"]: r["n"] for r in quality.counted(docs, quality.scored(docs, [], "text", "lang", False)).collect()}
+    texts = ["\x01" * 4 + "ab" * (i + 1) for i in range(30)]
+    assert got == Counter(t[i - 4 : i + 1] for t in texts for i in range(4, len(t)))
+
+
+def test_more_letters_than_fit_a_number():
+    rng = random.Random(9)
+    text = "".join(chr(rng.randint(0x3400, 0x9FFF)) for _ in range(60_000)) + "ab" * 20_000
+    flat = quality.points([text])
+    total = Counter()
+    for piece in quality._pieces(flat):
+        for grams, times in quality._spelled(piece):
+            for gram, n in zip(map(tuple, grams.tolist()), times.tolist()):
+                total[gram] += n
+    points = plain_points(text)
+    assert total == Counter(tuple(points[i - 4 : i + 1]) for i in range(4, len(points)))
+
+
+def test_verdict_equals_plain_computation(spark, docs_of):
+    rng = random.Random(12)
+    vocabulary = ["".join(rng.choices(["the", "an", "er", "on", "re"], k=rng.randint(1, 3))) for _ in range(60)]
+    corpus = [" ".join(rng.choices(vocabulary, k=rng.randint(55, 90))) for _ in range(40)] + ["".join(rng.choices("qxzjk 0123", k=400)) for _ in range(2)]
+    judged = {r["doc_id"]: r for r in quality.judged(docs_of(list(enumerate(corpus))), ["doc_id"]).collect()}
+    score = [-s / len(t) for s, t in zip(plain_sums(corpus), corpus)]
+    passing = sorted(math.floor(s * 2000) for i, s in enumerate(score) if not judged[i]["base_failed"])
+    middle = float(np.percentile(passing, 50))
+    spread = max(1.4826 * float(np.percentile([abs(b - middle) for b in passing], 50)) / 2000, 0.01)
+    for i, s in enumerate(score):
+        inside = abs(s - (middle + 0.5) / 2000) <= 4 * spread + 0.5 / math.sqrt(len(corpus[i]))
+        assert judged[i]["log_perplexity"] == pytest.approx(s, abs=1e-4)
+        assert judged[i]["kept"] == (inside and not judged[i]["base_failed"])
+
+
+def test_other_scripts_and_a_hundred_languages(spark, docs_of):
+    rng = random.Random(8)
+    vocabulary = ["".join(rng.choices(["\u043f\u0440\u043e", "\u0441\u0442\u043e", "\u043d\u0430", "\u043a\u043e", "\u0435\u0442"], k=rng.randint(1, 3))) for _ in range(200)]
+    letters = [chr(c) for c in range(0x430, 0x450)]
+    prose = [(i, " ".join(rng.choices(vocabulary, k=150))) for i in range(100)]
+    shuffled = [(1000 + i, " ".join("".join(rng.sample(w, len(w))) for w in rng.choices(vocabulary, k=150))) for i in range(2)]
+    noise = [(2000 + i, " ".join("".join(rng.choices(letters, k=6)) for _ in range(100))) for i in range(2)]
+    many = [(3000 + i, t) for i, (_, t) in enumerate(prose)]
+    docs = docs_of(prose + shuffled + noise + many)
+    docs = docs.withColumn("lang", F.when(F.col("doc_id") < 3000, F.lit("ru")).otherwise(F.concat(F.lit("x"), F.col("doc_id").cast("string"))))
+    judged = {r["doc_id"]: r for r in quality.judged(docs, ["doc_id"]).collect()}
+    assert len(judged) == 204 and sum(judged[i]["kept"] for i, _ in prose) >= 97
+    assert not any(judged[i]["kept"] for i, _ in shuffled + noise)
+    assert all(judged[i]["kept"] for i, _ in many)
 
 
 def test_quality_query(spark, small, texts):
@@ -125,12 +203,16 @@ def test_bands_reject_noise_and_keep_prose(spark, docs_of):
     assert quality.judged(docs_of([]), ["doc_id"]).count() == quality.accepted(docs_of([])).count() == 0
 
 
+def grams(docs):
+    return {r["gram"]: r["n"] for r in quality.counted(docs, quality.scored(docs, [], "text", "lang", False)).collect()}
+
+
 def test_copies_move_neither_model_nor_band(spark, docs_of):
     rng = random.Random(6)
     vocabulary = ["".join(rng.choices(["the", "an", "er", "on", "re"], k=rng.randint(1, 3))) for _ in range(300)]
     prose = [(i, " ".join(rng.choices(vocabulary, k=rng.randint(60, 300)))) for i in range(300)]
     copies = [(1000 + i, prose[0][1]) for i in range(450)]  # with them, one text is well over half of the rows
-    counts = lambda rows: {r["code"]: r["n"] for r in quality.counted(docs_of(rows).repartition(3)).collect()}
+    counts = lambda rows: grams(docs_of(rows).repartition(3))
     assert counts(prose + copies) == counts(prose)
     judged = lambda rows: {r["doc_id"]: r["kept"] for r in quality.judged(docs_of(rows), ["doc_id"]).collect()}
     alone, among = judged(prose), judged(prose + copies)
