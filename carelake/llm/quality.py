@@ -71,20 +71,17 @@ def _folds() -> np.ndarray:
     if _FOLDED is None:
         low = [chr(c).lower() for c in range(1 << 16)]
         _FOLDED = np.array([ord(x) if len(x) == 1 and ord(x) >> 16 == 0 else c for c, x in enumerate(low)], np.uint32)
-        _FOLDED[: EDGE + 1] = 0xFFFD
     return _FOLDED
 
 
 def points(texts: Iterable[str]) -> np.ndarray:
     """Code points of the texts, each after the edges of its first n-grams; every other place ends an n-gram."""
     lead = chr(EDGE) * (ORDER - 1)
-    found = [np.frombuffer(t.encode("utf-32-le", "surrogatepass"), "<u4") for t in texts]
-    edge = np.frombuffer(lead.encode("utf-32-le"), "<u4")
-    parts = []
-    for p in found:
-        folded = _folds()[np.minimum(p, 0xFFFF)]
-        parts += [edge, np.where(p > 0xFFFF, p, folded)]
-    return np.concatenate(parts) if parts else np.empty(0, np.uint32)
+    joined = "".join(lead + t.replace("\0", "\ufffd").replace(chr(EDGE), "\ufffd") for t in texts)
+    p = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4")
+    if not len(p) or p.max() <= 0xFFFF:
+        return _folds()[p]
+    return np.where(p > 0xFFFF, p, _folds()[np.minimum(p, 0xFFFF)])
 
 
 def plain_statistics(text: str) -> tuple[int, int, int, int, int]:
@@ -258,8 +255,8 @@ def probabilities(counts: DataFrame) -> DataFrame:
     return known
 
 
-def hashed(letters: np.ndarray, n: int) -> np.ndarray:
-    """64-bit hashes of n n-grams; row i of `letters` has their i-th code points."""
+def hashed(letters: Iterable[np.ndarray], n: int) -> np.ndarray:
+    """64-bit hashes of n n-grams; array i of `letters` has their i-th code points."""
     x = np.zeros(n, np.uint64)
     for column in letters:
         x ^= column
@@ -313,10 +310,11 @@ class Arrays:
         owner = np.repeat(np.arange(len(texts)), [len(t) + ORDER - 1 for t in texts])
         out = np.zeros(len(texts))
         for place, piece in enumerate(_pieces(flat)):
+            # n-grams that end at an edge are in no model
             n = len(piece) - ORDER + 1
-            ends = np.flatnonzero(piece[ORDER - 1 :] != EDGE)
-            values = self.find(hashed(np.array([piece[i : i + n][ends] for i in range(ORDER)]), len(ends)))
-            out += np.bincount(owner[place * PIECE + ORDER - 1 + ends], values, len(texts))
+            values = self.find(hashed([piece[i : i + n] for i in range(ORDER)], n))
+            first = place * PIECE + ORDER - 1
+            out += np.bincount(owner[first : first + n], values, len(texts))
         return out
 
 
