@@ -5,6 +5,10 @@ of all rows is a few counters per task. Texts move only for hashes that occur mo
 equal ones collapse before the shuffle. Where two different texts share a hash, the texts
 themselves tell their groups apart.
 
+A hash of more than one in `MOST_HOT` of all rows is hot; there are fewer than `MOST_HOT` of them,
+whatever the data. Their rows are dealt over `SALTS` parts by id, for joins of texts and of ids
+alike, and equal texts collapse within a part before the parts meet.
+
 Defined results: null counts as the empty text; null ids are larger than none and smaller than all
 others, so they stay only where a group has no other; of rows that repeat both id and text one is
 kept; an empty table gives no rows. Other columns are not read.
@@ -17,7 +21,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from carelake.llm.common import plainly_named, whole
+from carelake.llm.common import plainly_named, stored, whole
+
+#: a hash is hot from this share of all rows on, so fewer hashes than this are
+MOST_HOT = 4096
+#: parts that a hot hash is dealt over
+SALTS = 256
+#: copies of one row that are numbered at once
+CHUNK = 65_536
 
 
 def content_hash(text: Column) -> Column:
@@ -31,13 +42,32 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str, normalise: Callable | No
     return docs.select(F.col(id_col).alias("_id"), text.alias("_text")).withColumn("_hash", hashed(F.col("_text")))
 
 
-def _collisions(keyed: DataFrame) -> DataFrame:
+def _repeated(keyed: DataFrame) -> DataFrame:
+    """`_hash` of more than one row, and whether it is `_hot`."""
+    counted = stored(keyed.groupBy("_hash").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"), "repeated-hashes")
+    return counted.select("_hash", (F.col("_n") > keyed.count() / MOST_HOT).alias("_hot"))
+
+
+def _dealt(rows: DataFrame, repeated: DataFrame, by: Column) -> DataFrame:
+    """Adds `_salt`, the part of a row: 0 unless its hash is hot."""
+    # fewer than MOST_HOT rows
+    hot = F.broadcast(repeated.where("_hot"))
+    part = F.when(F.col("_hot"), F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
+    return rows.join(hot, "_hash", "left").withColumn("_salt", part).drop("_hot")
+
+
+def _for_all_parts(rows: DataFrame) -> DataFrame:
+    """The rows, those that are `_hot` once for each part that theirs are dealt over."""
+    parts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return rows.withColumn("_salt", F.explode(parts)).drop("_hot")
+
+
+def _collisions(keyed: DataFrame, repeated: DataFrame) -> DataFrame:
     """Different texts of one hash, numbered from 1: `_hash`, `_text`, `_variant`."""
-    repeated = keyed.groupBy("_hash").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_hash")
     # grouped as one value, which is no key of the join: copies collapse in each task before they are
     # shuffled again, and Spark may split the join's large partitions
     pair = F.struct("_hash", "_text").alias("_pair")
-    several = keyed.select("_hash", "_text").join(repeated, "_hash", "left_semi")
+    several = keyed.select("_hash", "_salt", "_text").join(_for_all_parts(repeated), ["_hash", "_salt"], "left_semi")
     texts = several.groupBy(pair).agg(F.count(F.lit(1)).alias("_n")).select("_pair._hash", "_pair._text")
     clashing = texts.groupBy("_hash").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_hash")
     by_text = Window.partitionBy("_hash").orderBy("_text")
@@ -62,14 +92,16 @@ def classified(
     that is compared.
     """
     keyed = _keyed(docs, id_col, text_col, normalise, hashed)
-    collisions = _collisions(keyed)
+    repeated = _repeated(keyed)
+    keyed = _dealt(keyed, repeated, F.col("_id"))
+    collisions = _collisions(keyed, repeated)
     if collisions.isEmpty():
         keyed = keyed.withColumn("_variant", F.lit(0))
     else:
         keyed = keyed.join(collisions, ["_hash", "_text"], "left").fillna(0, ["_variant"])
     ids = (
-        keyed.select("_id", "_hash", "_variant", F.unhex(F.sha2(F.col("_text"), 256)).alias("_sha"))
-        .groupBy("_id", "_hash", "_variant", "_sha")
+        keyed.select("_id", "_hash", "_salt", "_variant", F.unhex(F.sha2(F.col("_text"), 256)).alias("_sha"))
+        .groupBy("_id", "_hash", "_salt", "_variant", "_sha")
         .agg(F.count(F.lit(1)).alias("_rows"))
     )
     best = F.min("_id") if keep == "smallest" else F.max("_id")
@@ -77,12 +109,15 @@ def classified(
         ids.groupBy("_hash", "_variant")
         .agg(F.sum("_rows").alias("_size"), best.alias("_keep"))
         .where("_size > 1")
-        .withColumnRenamed("_hash", "_group")
-        .withColumnRenamed("_variant", "_group_variant")
     )
-    same = (F.col("_hash") == F.col("_group")) & (F.col("_variant") == F.col("_group_variant"))
-    joined = ids.join(groups, same, "left").withColumn("_keep", F.when(F.col("_size").isNull(), F.col("_id")).otherwise(F.col("_keep")))
-    one_each = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_rows").cast("int"))))
+    hot = F.broadcast(repeated.where("_hot"))
+    groups = _for_all_parts(groups.join(hot, "_hash", "left"))
+    joined = ids.join(groups, ["_hash", "_salt", "_variant"], "left")
+    joined = joined.withColumn("_keep", F.when(F.col("_size").isNull(), F.col("_id")).otherwise(F.col("_keep")))
+    # chunks first, so that no row holds the numbers of all its copies
+    chunks = joined.withColumn("_from", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_rows"), F.lit(CHUNK).cast("long"))))
+    last = F.least(F.col("_rows"), F.col("_from") + (CHUNK - 1))
+    one_each = chunks.withColumn("_copy", F.explode(F.sequence(F.col("_from"), last)))
     return one_each.select(
         F.col("_id").alias(id_col),
         F.col("_keep").alias("keep_id"),

@@ -50,8 +50,12 @@ def test_shards_of_odd_rows(spark, docs_of):
 
 @pytest.mark.parametrize("keep", ["smallest", "largest"])
 @pytest.mark.parametrize("bits", [128, 4])
-def test_exact_groups(docs_of, keep, bits):
-    """A hash of four bits forces collisions, which the comparison of bytes has to tell apart."""
+@pytest.mark.parametrize("most_hot, chunk", [(4096, 65_536), (1, 1), (20, 2)])
+def test_exact_groups(docs_of, monkeypatch, keep, bits, most_hot, chunk):
+    """A hash of four bits forces collisions, which the comparison of bytes has to tell apart. With
+    4096, every repeated hash is hot, with 1 none, with 20 some."""
+    monkeypatch.setattr(exact_dedup, "MOST_HOT", most_hot)
+    monkeypatch.setattr(exact_dedup, "CHUNK", chunk)
     hashed = exact_dedup.content_hash
     if bits == 4:
         hashed = lambda text: F.substring(F.md5(text), 1, 1)
@@ -73,6 +77,20 @@ def test_exact_groups(docs_of, keep, bits):
     assert Counter(tuple(r) for r in got) == want
 
 
+def test_hot_group_is_dealt_out(docs_of):
+    docs = docs_of([(i, "hot") for i in range(3000)] + [(i, f"text {i // 2}") for i in range(3000, 9000)])
+    keyed = exact_dedup._keyed(docs, "doc_id", "text", None, exact_dedup.content_hash)
+    repeated = exact_dedup._repeated(keyed)
+    assert [r["_hash"] for r in repeated.where("_hot").collect()] == [hashlib.md5(b"hot").digest()]
+    dealt = exact_dedup._dealt(keyed, repeated, F.col("_id"))
+    parts = {r["_salt"]: r["count"] for r in dealt.where("_text = 'hot'").groupBy("_salt").count().collect()}
+    assert len(parts) == exact_dedup.SALTS and max(parts.values()) < 40
+    assert dealt.where("_text <> 'hot' AND _salt <> 0").isEmpty()
+    got = exact_dedup.classified(docs)
+    assert got.where("group_size = 3000 AND keep_id = 0").count() == 3000
+    assert got.where("group_size = 2").count() == 6000 and got.where("kept").count() == 3001
+
+
 def test_kept_rows_have_all_columns(docs_of):
     docs = docs_of(ODD).selectExpr("*", "5 AS kept", "6 AS group_size", "7 AS _sha", "8 AS _id")
     kept = exact_dedup.deduplicated(docs)
