@@ -2,6 +2,7 @@
 
 from carelake.plans import (  # noqa: F401
     batch_queries,
+    daily_queries,
     governance_queries,
     history_queries,
     layout_queries,

@@ -7,15 +7,16 @@ only, and quality numbers are taken from the stored Parquet, not by re-reading s
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from carelake.columns import instant
-from carelake.operators import cleaning, gold, governance, quality
+from carelake.operators import cleaning, gold, gold_daily, governance, quality
 from carelake.operators.runlog import StageTimer
 from carelake.sources import feeds, readers, writers
 from carelake.sources.writers import LakeLayout, Written
@@ -61,9 +62,7 @@ def build_silver(spark: SparkSession, settings: FlowSettings, streamed_path: str
     rows = writers.read_layer(spark, settings.layout, "bronze", TABLE)
     if streamed_path is not None:
         rows = cleaning.with_event_instant(sinks.with_stream(spark, rows, streamed_path))
-    silver = rows.drop("date").transform(cleaning.to_silver, settings.masking_key, settings.as_of)
-    silver = silver.transform(cleaning.add_record_metrics, settings.as_of)
-    written = writers.land_by_date(silver, settings.layout, "silver", TABLE)
+    written = writers.land_by_date(_silver(rows, settings), settings.layout, "silver", TABLE)
     report = _report(spark, settings, "silver")
     alerts = quality.report_alerts(report).withColumn("run_id", F.lit(settings.run_id))
     writers.write_layer(alerts, settings.layout, "ops", "alerts", mode="append")
@@ -96,6 +95,25 @@ def store_gold(spark: SparkSession, settings: FlowSettings) -> dict[str, Written
     }
 
 
+def store_gold_by_day(spark: SparkSession, settings: FlowSettings) -> dict[str, Written]:
+    """Gold by way of partial sums of every day, which `refresh_days` keeps up."""
+    names = gold_daily.store_partials(spark, settings.layout, TABLE)
+    return _store_folded(spark, settings, names)
+
+
+def refresh_days(spark: SparkSession, settings: FlowSettings, days: Sequence[date]) -> dict[str, Written]:
+    """Silver and Gold after `days` were landed again in Bronze. Only these days of Bronze and Silver
+    are read; Gold is folded from the stored sums of all days.
+
+    Copies of a row have its time, so deduplicating a day by itself gives the same rows. A day that
+    cleaning leaves no rows of keeps those that Silver had. Needs `store_gold_by_day` once before."""
+    _guard(spark, settings, "write", "silver")
+    bronze = writers.read_layer(spark, settings.layout, "bronze", TABLE).where(gold_daily.on_days(days))
+    writers.land_by_date(_silver(bronze, settings), settings.layout, "silver", TABLE)
+    names = gold_daily.store_partials(spark, settings.layout, TABLE, days)
+    return _store_folded(spark, settings, names)
+
+
 def publish(frames: Mapping[str, DataFrame], connection: Mapping[str, str]) -> dict[str, str | None]:
     """Append frames to serving tables; a table that fails is reported, not fatal."""
     outcome: dict[str, str | None] = {}
@@ -152,6 +170,18 @@ def run(
         timer.append(spark, settings.layout.path("ops", "runs"))
 
 
+def _silver(bronze: DataFrame, settings: FlowSettings) -> DataFrame:
+    silver = bronze.drop("date").transform(cleaning.to_silver, settings.masking_key, settings.as_of)
+    return silver.transform(cleaning.add_record_metrics, settings.as_of)
+
+
+def _store_folded(spark: SparkSession, settings: FlowSettings, names: Sequence[str]) -> dict[str, Written]:
+    return {
+        name: writers.write_layer(gold_daily.read_gold(spark, settings.layout, name), settings.layout, "gold", name)
+        for name in names
+    }
+
+
 def _guard(spark: SparkSession, settings: FlowSettings, action: str, resource: str) -> None:
     """Leave an audit row for the step, then let it go on only if the user may take it."""
     request = spark.range(1).select(
