@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelake import fixed_values as fx
-from carelake.columns import ref
+from carelake.columns import ref, refs
+from carelake.functions import masking
 from carelake.operators import cleaning
 
 
@@ -105,6 +106,34 @@ def masked_view(df: DataFrame, role: str, key: str) -> DataFrame:
     return cleaning.mask_sensitive(df, key)
 
 
+def view_for_users(
+    df: DataFrame,
+    name: str,
+    granted: DataFrame,
+    key: str,
+    scopes: DataFrame | None = None,
+    region: str = "estado",
+    fields: Sequence[str] = fx.SENSITIVE_FIELDS,
+) -> None:
+    """Register ``name`` for SQL users: who asks decides what is shown, when the query runs.
+
+    Personal fields are in clear for users to whom ``granted(user_id, permission)`` gives ``mask``,
+    masked for all others. With ``scopes(user_id, region)``, users see rows of their regions only.
+    The permission is one value, looked up once for each query, so the rows are not joined for it; a
+    query reads the columns that it names. A user who may explain queries sees the key in the plan:
+    for such users, register the view over rows that are stored masked.
+    """
+    spark = df.sparkSession
+    own = granted.where((F.col("user_id") == F.current_user()) & (F.col("permission") == "mask"))
+    clear = own.agg((F.count(F.lit(1)) > 0).alias("clear")).scalar()
+    masked = {f: masking.mask_for(f, ref(f), key) for f in fields if f in df.columns}
+    shown = df.withColumns({f: F.when(clear, ref(f).cast("string")).otherwise(mask) for f, mask in masked.items()})
+    if scopes is not None:
+        regions = scopes.where(F.col("user_id") == F.current_user()).select(F.col("region").alias(region)).distinct()
+        shown = shown.join(regions, region, "left_semi")
+    shown.select(*refs(df.columns)).createOrReplaceTempView(name)
+
+
 def region_scope(df: DataFrame, scopes: DataFrame, user: str, region: str = "estado") -> DataFrame:
     """Rows of the regions assigned to a user in ``scopes(user_id, region)``."""
     own = scopes.where(F.col("user_id") == user).select(F.col("region").alias(region)).distinct()

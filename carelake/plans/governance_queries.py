@@ -90,6 +90,23 @@ _register_view("admin", masked=False)
 _register_view("visitante", masked=True)
 
 
+def _register_user_view(role, masked):
+    """What a user of a role gets by SQL; the user who runs the query is given the role."""
+    names = ("patient_id", "cpf", "nome", "email", "telefone")
+    shown = ", ".join(f"{_MASK_SQL[c]} AS {c}" if masked else c for c in names)
+
+    @register(f"sql_view_{role}", f"SELECT encounter_id, {shown}, estado, heart_rate FROM ({ENC_SQL})")
+    def _(spark, sf_dir):
+        users = spark.range(1).select(F.current_user().alias("user_id"), F.lit(role).alias("role"))
+        granted = governance.grants(users, governance.role_table(spark))
+        governance.view_for_users(inputs.encounters(spark, sf_dir), f"encounters_{role}", granted, KEY)
+        return spark.sql(f"SELECT encounter_id, {', '.join(names)}, estado, heart_rate FROM encounters_{role}")
+
+
+_register_user_view("admin", masked=False)
+_register_user_view("visitante", masked=True)
+
+
 @register(
     "region_scope",
     "SELECT e.encounter_id, e.estado FROM "

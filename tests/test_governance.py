@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from carelake import fixed_values as fx
 from carelake.operators import governance as g
@@ -81,3 +82,23 @@ def test_views(spark, people):
     scopes = spark.createDataFrame([("u", "PE"), ("u", "PE"), ("v", "RJ")], "user_id string, region string")
     assert set(rows(g.region_scope(people, scopes, "u"), "estado")) == {("PE",)}
     assert g.region_scope(people, scopes, "w").count() == 0
+
+
+def test_sql_users_see_what_they_may(spark, people):
+    me = F.current_user()
+    granted = spark.range(1).select(me.alias("user_id"), F.lit("mask").alias("permission"))
+    others = granted.withColumn("user_id", F.concat(me, F.lit("x"))).unionByName(granted.withColumn("permission", F.lit("read")))
+    g.view_for_users(people, "clear_people", granted, "k")
+    g.view_for_users(people, "masked_people", others, "k")
+    assert rows(spark.sql("SELECT * FROM clear_people")) == rows(people)
+    assert spark.table("masked_people").columns == people.columns
+    assert rows(spark.sql("SELECT * FROM masked_people")) == rows(g.masked_view(people, "visitante", "k"))
+    scopes = spark.range(1).select(me.alias("user_id"), F.lit("PE").alias("region"))
+    g.view_for_users(people, "scoped_people", others, "k", scopes.union(scopes))
+    assert rows(spark.sql("SELECT estado, nome LIKE 'A***_%' AS hidden FROM scoped_people")) == [("PE", True)] * 2
+    g.view_for_users(people, "nobody", others, "k", scopes.where("false"))
+    assert spark.table("nobody").isEmpty()
+    g.view_for_users(people.drop("nome"), "narrow", others.where("false"), "k")
+    assert "nome" not in spark.table("narrow").columns and spark.table("narrow").count() == 5
+    joins = spark.sql("SELECT nome FROM masked_people")._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in joins
