@@ -159,7 +159,8 @@ def upsert_where(
 
 def _ranged(target: DataFrame, source: DataFrame, on: Column, term: tuple[str, str, str, str]) -> tuple[DataFrame, DataFrame]:
     """Pairs that a condition with a range term joins, and source rows that it joins with nothing.
-    Values and intervals meet on equal bins; the whole condition is then checked."""
+    Values and intervals meet on equal bins; the whole condition is then checked. A value stands in a
+    bin of every level, which Spark's size of it does not count, so the join is one that shuffles."""
     value_side, value, low, high = term
     side = {"target": target, "source": source}
     held_side = "source" if value_side == "target" else "target"
@@ -167,7 +168,7 @@ def _ranged(target: DataFrame, source: DataFrame, on: Column, term: tuple[str, s
     on_levels = intervals.levels(held)
     values = intervals.binned_values(side[value_side], ref(value), on_levels)
     binned = {value_side: values, held_side: held}
-    t, s = binned["target"].alias("target"), binned["source"].alias("source")
+    t, s = binned["target"].alias("target"), binned["source"].hint("merge").alias("source")
     met = all_of(ref(c, "target") == ref(c, "source") for c in (intervals.LEVEL, intervals.BIN)) & on
     # a row stands in several bins, so what has met is found by the rows' values
     names = [f"{_KEY}s{i}" for i in range(len(source.columns))]

@@ -207,3 +207,19 @@ def test_upsert_on_a_range(spark):
     twice = spark.createDataFrame([(5, 50), (6, 60)], "at int, v int")
     with pytest.raises(Exception, match="several source rows"):
         history.upsert_where(target, twice, "source.at BETWEEN target.lo AND target.hi", ["k"]).collect()
+
+
+def test_points_of_any_size_share_a_level_and_no_copies_are_broadcast(spark):
+    """Ranges of one value at 40 magnitudes: a value stands in one bin for all of them, and a table that
+    is small before its rows are copied to bins is not sent to every task after."""
+    target = spark.range(40).selectExpr("id AS k", "shiftleft(1L, CAST(id AS INT)) AS lo", "CAST(NULL AS BIGINT) AS at").withColumn("hi", F.col("lo"))
+    source = spark.range(40).selectExpr("shiftleft(1L, CAST(id AS INT)) + id % 2 AS at")
+    held = intervals.binned_intervals(target, F.col("lo"), F.col("hi"))
+    assert len(intervals.levels(held)) == 1
+    assert intervals.binned_values(source, F.col("at"), intervals.levels(held)).count() == 40
+    merged = history.upsert_where(target, source, "source.at BETWEEN target.lo AND target.hi", ["k"], action_column="did")
+    plan = merged._jdf.queryExecution().sparkPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line and intervals.BIN in line]
+    assert joins and all("SortMergeJoin" in line for line in joins)
+    # the odd ones miss their range by one
+    assert {r["did"]: r["count"] for r in merged.groupBy("did").count().collect()} == {"updated": 20, "kept": 20, "inserted": 20}
