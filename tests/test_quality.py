@@ -208,3 +208,20 @@ def test_report_alerts_equal_threshold_alerts(spark):
     for rows_in in (df, df.limit(0)):
         mine = quality.report_alerts(quality.quality_report(rows_in, "s")).drop("stage")
         assert rows(mine) == rows(quality.threshold_alerts(rows_in))
+
+
+@pytest.mark.parametrize("slots", [1, 3, quality.SLOTS])
+def test_copies_are_counted_without_a_shuffle_of_whole_rows(spark, monkeypatch, slots):
+    """Whatever slots hashes share. Rows are chosen by a broadcast of marks, also where the rows are far
+    too large to be broadcast themselves."""
+    monkeypatch.setattr(quality, "SLOTS", slots)
+    df = spark.range(300).selectExpr("IF(id % 7 = 0, NULL, id DIV 2) AS a", "repeat('x', CAST(id DIV 2 % 5 AS INT)) AS b")
+    want = (300, len(set(map(tuple, df.collect()))))
+    assert tuple(quality.row_counts(df).first()) == want
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = quality.row_counts(df)._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
