@@ -213,3 +213,21 @@ def test_layer_bytes(spark, people, tmp_path):
     files = [p for p in (tmp_path / "lake" / "gold").rglob("*.parquet")]
     assert got["files"] == len(files)
     assert got["size_bytes"] == sum(p.stat().st_size for p in files)
+
+
+def test_columns_made_on_landing_are_not_shuffled(spark, people, tmp_path):
+    """Rows are brought to their days before `refine` widens them; what is stored is the same."""
+    seen = []
+
+    def refine(rows):
+        seen.append(rows)
+        return rows.withColumn("long_name", F.repeat("nome", 50))
+
+    here, there = LakeLayout(str(tmp_path / "a")), LakeLayout(str(tmp_path / "b"))
+    written = writers.land_by_date(people, here, "silver", "people", refine=refine)
+    writers.land_by_date(people.withColumn("long_name", F.repeat("nome", 50)), there, "silver", "people")
+    assert written.rows == people.count()
+    assert "Rebalance" in seen[0]._jdf.queryExecution().analyzed().toString() and seen[0].columns == people.columns
+    stored = [writers.read_layer(spark, at, "silver", "people") for at in (here, there)]
+    assert stored[0].columns == stored[1].columns
+    assert sorted(map(str, stored[0].collect())) == sorted(map(str, stored[1].collect()))
