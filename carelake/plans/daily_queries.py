@@ -6,9 +6,9 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from carelake.operators import gold_daily
+from carelake.operators import cleaning, gold_daily
 from carelake.plans import flows, inputs
-from carelake.plans.batch_queries import _DIAGNOSIS_SQL, _PRESSURE_SQL, _ROUNDED, _STATE_SQL, _round_sql, silver
+from carelake.plans.batch_queries import _DIAGNOSIS_SQL, _PRESSURE_SQL, _ROUNDED, _STATE_SQL, _round_sql
 from carelake.plans.inputs import SILVER_SQL
 from carelake.plans.registry import register, rounded
 from carelake.plans.staging import once
@@ -29,8 +29,9 @@ _CORRECTED_SQL = (
 def refreshed_lake(spark, sf_dir):
     """Silver of all encounters with sums by day, after one day was landed again."""
     layout = LakeLayout(fresh_path(spark, "daily"))
-    rows = silver(spark, sf_dir).withColumn("timestamp", F.expr(inputs.LANDED_AT))
-    writers.land_by_date(rows, layout, "silver", flows.TABLE)
+    rows = cleaning.clean(inputs.encounters(spark, sf_dir), inputs.AS_OF).drop("processing_time")
+    placed = rows.withColumn("timestamp", F.expr(inputs.LANDED_AT))
+    writers.land_by_date(placed, layout, "silver", flows.TABLE, refine=cleaning.refine)
     gold_daily.store_partials(spark, layout, flows.TABLE)
     landed = writers.read_layer(spark, layout, "silver", flows.TABLE).where(gold_daily.on_days([_AGAIN]))
     better = landed.where("categoria_pressao <> 'alta'").withColumn("heart_rate", F.col("heart_rate") + 10)
