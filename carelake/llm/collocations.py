@@ -35,7 +35,7 @@ from carelake.llm.fingerprints import PIECE, Words, cut, gathered, kinds, same_t
 #: white space, and delimiters that no phrase goes over
 KINDS = kinds(b" \t", b".,;:!?\n\x0b\x0c\r")
 #: different fingerprints, and bytes of phrases, that a task holds before it gives them out
-MOST_HELD, MOST_BYTES = 1_000_000, 16_000_000
+MOST_HELD, MOST_BYTES = 500_000, 16_000_000
 #: sums of the second hash are kept modulo this, so that they can be added up without end
 CHECKS = 1 << 31
 #: rows of a language from which each of this many parts may bring its best
@@ -167,14 +167,14 @@ def _pointers(often: DataFrame) -> DataFrame:
     return often.select("print", "part").mapInArrow(run, "pointer bigint")
 
 
-def spelled_once(docs: DataFrame, longest: int, frequent: list, pointers) -> DataFrame:
-    """`print`, `lang`, `words`, `phrase`, `check`: the phrase of each fingerprint that is frequent, spelled
-    by the task that it points to (`pointers`, a broadcast map), with its second hash; and for each
-    language rows with 0 words whose `check` counts its words."""
+def spelled_once(docs: DataFrame, longest: int, frequent, pointers) -> DataFrame:
+    """`print`, `lang`, `words`, `phrase`, `check`: the phrase of each fingerprint that is frequent (one
+    broadcast map of phrases of all sizes), spelled by the task that it points to (`pointers`, another),
+    with its second hash; and for each language rows with 0 words whose `check` counts its words."""
     schema = "print bigint, lang string, words int, phrase binary, check bigint"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        maps, own_part = [f.value for f in frequent], TaskContext.get().partitionId()
+        known, own_part = frequent.value, TaskContext.get().partitionId()
         seen: set[int] = set()
         total: dict[str, int] = {}
         names = ["print", "lang", "words", "phrase", "check"]
@@ -183,7 +183,7 @@ def spelled_once(docs: DataFrame, longest: int, frequent: list, pointers) -> Dat
             for n in range(1, longest + 1):
                 at = words.runs(n, first)
                 prints = words.prints(at, n, _seed(lang))
-                some = np.flatnonzero(bits.held(maps[n - 1], prints))
+                some = np.flatnonzero(bits.held(known, prints))
                 some = some[bits.held(pointers.value, _pointed(prints[some], own_part))]
                 _, place = np.unique(prints[some], return_index=True)
                 some = some[place]
@@ -273,16 +273,22 @@ def frequent_phrases(docs: DataFrame, longest: int, least: int, lang_col: str, t
     phrase, f), stored, and the number of words of each language (lang, n)."""
     spark = docs.sparkSession
     picked = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit(no_lang)).alias("lang"), F.col(text_col).cast("string").alias("_text"))
-    maps: list = []
+    # the latest map for the tasks, and what is frequent of any size
+    own, of_all = None, np.zeros(0, np.uint8)
     counted: list[DataFrame] = []
     for n in range(1, longest + 1):
-        prints = counted_prints(picked, n, longest, maps[-1] if maps else None)
+        prints = counted_prints(picked, n, longest, own)
         often = prints.groupBy("print").agg(F.sum("n").alias("n"), (F.sum("check") % CHECKS).alias("check"), F.min("part").alias("part"))
         counted.append(stored(often.where(F.col("n") >= least), "prints"))
-        maps.append(spark.sparkContext.broadcast(bits.bit_map(counted[-1], "print")))
+        found = bits.bit_map(counted[-1], "print")
+        of_all = np.bitwise_or(of_all, found) if len(of_all) else found
+        if own is not None:
+            own.unpersist()
+        own = spark.sparkContext.broadcast(found) if n < longest else None
+    known = spark.sparkContext.broadcast(of_all)
     every = reduce(DataFrame.unionAll, counted)
     pointers = spark.sparkContext.broadcast(bits.bit_map(_pointers(every), "pointer"))
-    said = stored(spelled_once(picked, longest, maps, pointers), "spelled")
+    said = stored(spelled_once(picked, longest, known, pointers), "spelled")
     # a bit map may let a second task spell a phrase too
     texts = said.where("words > 0").withColumnRenamed("check", "_check").dropDuplicates(["print"])
     both = stored(every.join(texts, "print", "left"), "phrases")
